@@ -135,7 +135,11 @@ class Dataset:
 
     @cached_property
     def raw_videos(self) -> DataFrame:
-        return save(make_raw_videos(self.spark, self.sf_dir), self.store, "raw_videos")
+        rows = make_raw_videos(self.spark, self.sf_dir)
+        cores = self.spark.sparkContext.defaultParallelism
+        if _read(self.spark, self.sf_dir, "orders").rdd.getNumPartitions() < cores:
+            rows = rows.repartition(cores)  # a small table is a single file
+        return save(rows, self.store, "raw_videos")
 
     @cached_property
     def marts(self) -> marts.Marts:
@@ -149,13 +153,19 @@ class Dataset:
     def stg_videos(self) -> DataFrame:
         return staging.stg_videos(self.raw_videos)
 
+    @property
+    def written_channels(self) -> DataFrame:
+        """Staging channels as the model build wrote them."""
+        _ = self.marts
+        return self.store.read("stg_channels", self.stg_channels.schema)
+
     @property
     def video_metrics(self) -> DataFrame:
-        return metrics.video_metrics(self.stg_videos, self.stg_channels, AS_OF)
+        return metrics.video_metrics(self.stg_videos, self.written_channels, AS_OF)
 
     @property
     def channel_summary(self) -> DataFrame:
-        return metrics.channel_summary(self.stg_videos, self.stg_channels, AS_OF)
+        return metrics.channel_summary(self.stg_videos, self.written_channels, AS_OF)
 
     # what an ingest run finds
 

@@ -8,42 +8,33 @@ and would show 1.45 as ``1.5`` where the value lies just below it.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
 
-_SPLITTER = float(2**27 + 1)
 
+def fixed_point(value: Column, digits: int) -> Column:
+    """Text with exactly ``digits`` decimals.
 
-def _scaled_whole(value: Column, factor: int) -> Column:
-    """``value * factor`` rounded half up to a bigint, for value >= 0.
-
-    The product is taken together with its rounding error (an exact two-part
-    product), so a fraction that only looks like one half is told apart.
+    Where the scaled value shows a fraction of one half, the sign of the exact
+    remainder decides: the value is taken apart into a 24-bit head and the rest,
+    whose products are both exact.
     """
-    product = value * F.lit(float(factor))
-    widened = value * F.lit(_SPLITTER)
-    high = widened - (widened - value)
-    error = (high * factor - product) + (value - high) * factor
-    whole = F.floor(product)
-    fraction = product - whole
-    up = (fraction > 0.5) | ((fraction == 0.5) & (error >= 0))
-    return whole + F.when(up, 1).otherwise(0)
-
-
-def fixed_point(value: Column, digits: int) -> Column:
-    """Text with exactly ``digits`` decimals."""
     value = value.cast("double")
+    size = F.abs(value)
     factor = 10**digits
-    whole = _scaled_whole(F.abs(value), factor).cast("bigint")
-    return F.concat(
-        F.when(value < 0, "-").otherwise(""),
-        F.call_function("div", whole, F.lit(factor)).cast("string"),
-        F.lit("."),
-        F.lpad((whole % factor).cast("string"), digits, "0"),
-    )
+    scaled = size * float(factor)
+    whole = F.floor(scaled)
+    fraction = scaled - whole
+    head = size.cast("float").cast("double")
+    remainder = (head * factor - (whole + 0.5)) + (size - head) * factor
+    up = (fraction > 0.5) | ((fraction == 0.5) & (remainder >= 0))
+    rounded = (whole + F.when(up, 1).otherwise(0)).cast("decimal(18,0)")
+    signed = F.when(value < 0, -rounded).otherwise(rounded)
+    return (signed * F.lit(Decimal(1).scaleb(-digits))).cast("string")
 
 
 def round_half_up(value: Column) -> Column:
@@ -71,11 +62,12 @@ def compact_number(value: Column, *, guarded: bool = True) -> Column:
     number; unguarded text is NULL for NULL.
     """
     wide = value.cast("double")
-    text = (
-        F.when(wide >= 1e9, F.concat(fixed_point(wide / 1e9, 1), F.lit("B")))
-        .when(wide >= 1e6, F.concat(fixed_point(wide / 1e6, 1), F.lit("M")))
-        .when(wide >= 1e3, F.concat(fixed_point(wide / 1e3, 1), F.lit("K")))
-    )
+    units = ((1e9, "B"), (1e6, "M"), (1e3, "K"))
+    unit, suffix = F.lit(None).cast("double"), F.lit("")
+    for size, letter in reversed(units):
+        unit = F.when(wide >= size, F.lit(size)).otherwise(unit)
+        suffix = F.when(wide >= size, F.lit(letter)).otherwise(suffix)
+    text = F.concat(fixed_point(wide / unit, 1), suffix)
     if guarded:
         return F.when(F.coalesce(wide, F.lit(0.0)) == 0, "0").otherwise(
             F.coalesce(text, grouped_number(wide))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -49,10 +49,11 @@ def lookup_join(
 
 def hot_keys(facts: DataFrame, key: str, shares: int) -> list:
     """Keys holding more than ``1/shares`` of the rows: fewer than ``shares`` of them."""
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).count()
+    seen = Observation()
+    counted = facts.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counts = counted.filter(F.col(key).isNotNull()).groupBy(key).count()
     largest = counts.orderBy(F.desc("count")).limit(shares).collect()
-    total = facts.count() if largest else 0
-    return [row[key] for row in largest if row["count"] * shares > total]
+    return [row[key] for row in largest if row["count"] * shares > seen.get["rows"]]
 
 
 def spread_join(
@@ -84,14 +85,14 @@ def spread_join(
     return salted_facts.join(salted_lookup, [key, _SALT], how).drop(_SALT)
 
 
-def unseen(
+def known_keys(
     batch: DataFrame,
     history: DataFrame,
     key: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``history`` (NULL keys stay).
+    """Distinct keys of ``batch`` that occur in ``history``.
 
     A batch is small next to everything loaded before, so its distinct keys are
     sent to the history scan when their measured size allows: the history is then
@@ -101,7 +102,17 @@ def unseen(
     keys = batch.select(key).filter(F.col(key).isNotNull()).distinct()
     seen = history.select(key)
     if measured_bytes(keys) <= broadcast_bytes:
-        known = seen.join(F.broadcast(keys), key, "left_semi").distinct()
-    else:
-        known = keys.join(seen.distinct(), key, "left_semi")
+        return seen.join(F.broadcast(keys), key, "left_semi").distinct()
+    return keys.join(seen.distinct(), key, "left_semi")
+
+
+def unseen(
+    batch: DataFrame,
+    history: DataFrame,
+    key: str,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``history`` (NULL keys stay)."""
+    known = known_keys(batch, history, key, broadcast_bytes=broadcast_bytes)
     return batch.join(known, key, "left_anti")

@@ -18,7 +18,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
     The filter on the row number lets Spark cut every key to ``n`` rows before the
     shuffle as well as after it, so a hot key sends at most ``n`` rows per task.
+    Spark does so up to a threshold; beyond it each key is cut in slices first.
     """
+    spark = df.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
+        df = _cut(df.withColumn("_slice", slice_of), [*keys, "_slice"], order, n).drop("_slice")
+    return _cut(df, keys, order, n)
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_place", F.row_number().over(window))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed_values as fixed
-from ..operators.joins import lookup_join, spread_join, unseen
+from ..operators.joins import known_keys, lookup_join, spread_join, unseen
 from ..operators.ranking import first_per_key
 from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
 from ..sources.workspace import materialize
@@ -103,44 +103,34 @@ def claims(
     outcome. Two rounds are typical: channels rarely list each other's videos.
     """
     fresh = materialize(unseen(listed, loaded, "video_id"), "fresh")
-    parsed = videos.select("video_id").distinct().withColumn("_parsed", F.lit(True))
-    order = registry.select(F.col("url").alias("config_url"), F.col("position").alias("turn"))
-    known = spread_join(fresh, parsed, "video_id", spread_by=["config_url"])
-    candidates = materialize(
-        first_per_key(
-            lookup_join(known, order, "config_url", how="inner").select(
-                "config_url",
-                "video_id",
-                "turn",
-                *_LISTED_ORDER,
-                F.coalesce("_parsed", F.lit(False)).alias("has_video"),
-            ),
-            ["config_url", "video_id"],
-            [F.col(name) for name in _LISTED_ORDER],
-        ),
-        "candidates",
+    parsed = known_keys(fresh, videos, "video_id").withColumn("_parsed", F.lit(True))
+    turns = registry.select(F.col("url").alias("config_url"), F.col("position").alias("turn"))
+    turned = lookup_join(fresh, turns, "config_url", how="inner")
+    by_list = [F.col(name) for name in _LISTED_ORDER]
+    pair, claim = ["config_url", "video_id"], F.struct("turn", "config_url")
+    candidates = lookup_join(turned, parsed, "video_id").select(
+        *pair, "turn", *_LISTED_ORDER, F.coalesce("_parsed", F.lit(False)).alias("has_video")
     )
-    pair = ["config_url", "video_id"]
-    lost = None
+    candidates = materialize(first_per_key(candidates, pair, by_list), "candidates")
+    outbid = None
     while True:
-        open_ids = candidates if lost is None else candidates.join(lost, pair, "left_anti")
-        by_list = [F.col(name) for name in _LISTED_ORDER]
+        open_ids = candidates if outbid is None else candidates.join(outbid, pair, "left_anti")
         offers = materialize(first_per_key(open_ids, ["config_url"], by_list, max_new), "offers")
+        exclusive = offers.filter("has_video")
         contested = (
-            offers.filter("has_video")
-            .groupBy("video_id")
-            .agg(F.min("turn").alias("first_turn"), F.count(F.lit(1)).alias("bidders"))
+            exclusive.groupBy("video_id")
+            .agg(F.min(claim).alias("first_claim"), F.count(F.lit(1)).alias("bidders"))
             .filter(F.col("bidders") > 1)
         )
-        outbid = (
-            lookup_join(offers.filter("has_video"), contested, "video_id", how="inner")
-            .filter(F.col("turn") > F.col("first_turn"))
+        contested = materialize(contested, "contested")
+        if contested.isEmpty():
+            return offers.select(*pair, "has_video")
+        lost = (
+            lookup_join(exclusive, contested, "video_id", how="inner")
+            .filter(claim > F.col("first_claim"))
             .select(*pair)
         )
-        outbid = materialize(outbid, "outbid")
-        if outbid.isEmpty():
-            return offers.select("config_url", "video_id", "has_video")
-        lost = outbid if lost is None else materialize(lost.unionByName(outbid), "lost")
+        outbid = materialize(lost if outbid is None else outbid.unionByName(lost), "outbid")
 
 
 _OUTCOME_KEYS = ("config_url", "name", "niche", "region", "channel_loaded")

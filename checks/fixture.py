@@ -280,7 +280,7 @@ class Dataset:
 
     @property
     def parsed_videos(self) -> DataFrame:
-        return dumps.parse_videos(self.video_lines, F.lit(SCRAPED_AT))
+        return dumps.parse_videos(self.video_lines, SCRAPED_AT)
 
     @property
     def channel_lines(self) -> tuple[DataFrame, DataFrame]:
@@ -314,7 +314,7 @@ class Dataset:
 
     @property
     def parsed_channels(self) -> DataFrame:
-        return dumps.parse_channels(*self.channel_lines, F.lit(SCRAPED_AT))
+        return dumps.parse_channels(*self.channel_lines, SCRAPED_AT)
 
     @property
     def registry_documents(self) -> DataFrame:

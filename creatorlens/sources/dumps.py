@@ -40,6 +40,11 @@ def _value_or(name: str, default) -> Column:
     return F.when(present, F.col(f"record.{name}")).otherwise(F.lit(default))
 
 
+def _stamp(scraped_at: Column | str) -> Column:
+    column = scraped_at if isinstance(scraped_at, Column) else F.lit(scraped_at)
+    return column.alias("scraped_at")
+
+
 def parse_listing(lines: DataFrame) -> DataFrame:
     """Listing lines as ``video_id`` next to the other columns of ``lines``."""
     video_id = first_filled(F.col("record.id"), F.col("record.url"))
@@ -66,7 +71,7 @@ def parse_listing_drops(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_videos(lines: DataFrame, scraped_at: Column) -> DataFrame:
+def parse_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
     """Video dump lines as raw video rows, still without niche and region."""
     parsed = _parse(lines, schemas.VIDEO_RECORD).withColumn("keys", F.json_object_keys("value"))
     record = F.col("record")
@@ -92,11 +97,11 @@ def parse_videos(lines: DataFrame, scraped_at: Column) -> DataFrame:
         record["language"].alias("language"),
         F.coalesce(record["is_live"], F.lit(False)).alias("is_live"),
         F.coalesce(record["was_live"], F.lit(False)).alias("was_live"),
-        scraped_at.alias("scraped_at"),
+        _stamp(scraped_at),
     )
 
 
-def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column) -> DataFrame:
+def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column | str) -> DataFrame:
     """Channel rows from a listing line and, where there is one, a full video extract.
 
     Both inputs hold ``config_url`` (the registry URL, one line each) and ``value``.
@@ -130,7 +135,7 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column)
         ).alias("channel_url"),
         full["channel_follower_count"].alias("subscriber_count"),
         clip(description, fixed.CHANNEL_TEXT_LIMIT).alias("description"),
-        scraped_at.alias("scraped_at"),
+        _stamp(scraped_at),
     )
 
 

@@ -223,7 +223,11 @@ class Dataset:
 
     @property
     def loaded(self) -> DataFrame:
-        return self.raw_videos.filter(F.col("upload_date") < LOADED_BEFORE).select("video_id")
+        return self.loaded_rows.select("video_id")
+
+    @property
+    def loaded_rows(self) -> DataFrame:
+        return self.raw_videos.filter(F.col("upload_date") < LOADED_BEFORE)
 
     @property
     def listing_lines(self) -> DataFrame:

@@ -676,6 +676,37 @@ def oracle_sql() -> dict[str, str]:
             "SELECT p.video_id, p.channel_id, p.upload_date, p.view_count, r.niche, r.region "
             "FROM listed_10 l JOIN registry r ON r.url = l.config_url JOIN parsed p ON p.video_id = l.video_id"
         ),
+        "incremental_reload": _ingest(
+            """, fresh_2 AS (
+  SELECT * FROM fresh WHERE video_id NOT IN (SELECT video_id FROM claimed WHERE has_video)
+), mix_2 AS (
+  SELECT config_url, video_id, has_video FROM (
+    SELECT *, row_number() OVER (ORDER BY position) AS turn FROM fresh_2
+    WHERE config_url = 'https://example.com/channel/UCMIX') m
+  WHERE turn <= 20
+), claimed_2 AS (
+  SELECT * FROM mix_2
+  UNION ALL
+  SELECT config_url, video_id, has_video FROM (
+    SELECT *, row_number() OVER (PARTITION BY config_url ORDER BY tab DESC, position) AS turn
+    FROM fresh_2 WHERE config_url <> 'https://example.com/channel/UCMIX'
+      AND video_id NOT IN (SELECT video_id FROM mix_2 WHERE has_video)) f
+  WHERE turn <= 20
+), stored AS (
+  SELECT video_id, channel_id FROM raw_videos WHERE upload_date < '2001-01-01'
+  UNION ALL SELECT p.video_id, p.channel_id FROM claimed c JOIN parsed p ON p.video_id = c.video_id
+  UNION ALL SELECT p.video_id, p.channel_id FROM claimed_2 c JOIN parsed p ON p.video_id = c.video_id
+), counted AS (
+  SELECT channel_id, count(*) AS videos, count(DISTINCT video_id) AS distinct_videos
+  FROM stored GROUP BY channel_id
+), snaps AS (
+  SELECT m.channel_id, CAST(2 * count(*) AS BIGINT) AS snapshots
+  FROM merged m JOIN registry r ON r.url = m.config_url GROUP BY m.channel_id
+)
+SELECT coalesce(c.channel_id, s.channel_id) AS channel_id, coalesce(videos, 0) AS videos,
+       coalesce(distinct_videos, 0) AS distinct_videos, coalesce(snapshots, 0) AS snapshots
+FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
+        ),
         "incremental_stream": _ingest(
             "SELECT video_id, CASE WHEN max(CASE WHEN tab = 'videos' THEN 1 ELSE 0 END) = 1 "
             "THEN 'videos' ELSE 'streams' END AS tab FROM listing GROUP BY video_id"

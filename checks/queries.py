@@ -26,7 +26,7 @@ from creatorlens.operators import quality, reshape
 from creatorlens.plans import ingest, marts, metrics, reports, serving
 from creatorlens.sources import dumps, registry
 from creatorlens.sources import tables as stores
-from creatorlens.sources.workspace import fresh_folder, read_parquet
+from creatorlens.sources.workspace import fresh_folder, materialize, read_parquet
 from creatorlens.streaming import discovery
 
 from .fixture import AS_OF, CHANNEL, NICHES, Dataset, dataset, new_store
@@ -44,7 +44,8 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, IntegerType):
             column = column.cast("bigint")
         elif isinstance(field.dataType, TimestampType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            utc = F.to_utc_timestamp(column, F.current_timezone())
+            column = F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -114,12 +115,12 @@ def agg_niche_overview(d: Dataset) -> DataFrame:
 
 @_registered
 def overview_kpis(d: Dataset) -> DataFrame:
-    return serving.overview_kpis(d.marts)
+    return serving.overview_kpis(serving.channel_rollup(d.marts))
 
 
 @_registered
 def overview_by_niche(d: Dataset) -> DataFrame:
-    return serving.overview_by_niche(d.marts)
+    return serving.overview_by_niche(serving.channel_rollup(d.marts))
 
 
 @_registered
@@ -134,7 +135,7 @@ def overview_top_videos_table(d: Dataset) -> DataFrame:
 
 @_registered
 def overview_by_region(d: Dataset) -> DataFrame:
-    return serving.overview_by_region(d.marts)
+    return serving.overview_by_region(serving.channel_rollup(d.marts))
 
 
 @_registered
@@ -296,17 +297,17 @@ def niche_overview(d: Dataset) -> DataFrame:
 
 @_registered
 def niche_region(d: Dataset) -> DataFrame:
-    return serving.niche_region(d.marts)
+    return serving.niche_region(serving.channel_rollup(d.marts))
 
 
 @_registered
 def duration_analysis(d: Dataset) -> DataFrame:
-    return serving.duration_analysis(d.marts)
+    return serving.duration_analysis(serving.content_rollup(d.marts))
 
 
 @_registered
 def upload_day_analysis(d: Dataset) -> DataFrame:
-    return serving.upload_day_analysis(d.marts)
+    return serving.upload_day_analysis(serving.content_rollup(d.marts))
 
 
 @_registered
@@ -316,17 +317,17 @@ def niche_radar(d: Dataset) -> DataFrame:
 
 @_registered
 def duration_pivot(d: Dataset) -> DataFrame:
-    return reshape.duration_pivot(serving.duration_analysis(d.marts), NICHES)
+    return reshape.duration_pivot(serving.duration_analysis(serving.content_rollup(d.marts)), NICHES)
 
 
 @_registered
 def upload_day_pivot(d: Dataset) -> DataFrame:
-    return reshape.upload_day_pivot(serving.upload_day_analysis(d.marts), NICHES)
+    return reshape.upload_day_pivot(serving.upload_day_analysis(serving.content_rollup(d.marts)), NICHES)
 
 
 @_registered
 def id_vs_global(d: Dataset) -> DataFrame:
-    return reshape.id_vs_global(serving.niche_region(d.marts))
+    return reshape.id_vs_global(serving.niche_region(serving.channel_rollup(d.marts)))
 
 
 @_registered
@@ -410,7 +411,7 @@ def incremental_report(d: Dataset) -> DataFrame:
 
 @_registered
 def run_report(d: Dataset) -> DataFrame:
-    listed = ingest.listed_videos(d.listing, fixed.MAX_VIDEOS)
+    listed = materialize(ingest.listed_videos(d.listing, fixed.MAX_VIDEOS), "listed")
     return ingest.run_report(
         ingest.full_outcomes(d.registry, d.parsed_channels, listed, d.parsed)
     )
@@ -438,8 +439,7 @@ def full_reload(d: Dataset) -> DataFrame:
 def incremental_reload(d: Dataset) -> DataFrame:
     """Two incremental runs on top of what was loaded; the second adds no video twice."""
     store = new_store(d.spark, "incremental")
-    before = d.raw_videos.join(d.loaded, "video_id", "left_semi")
-    stores.load(before, store, "raw_videos")
+    stores.load(d.loaded_rows, store, "raw_videos")
     for _ in range(2):
         ingest.load_incremental(store, d.registry, d.listing, d.parsed_channels, d.parsed)
     videos = store.read("raw_videos", schemas.RAW_VIDEOS)
@@ -448,7 +448,8 @@ def incremental_reload(d: Dataset) -> DataFrame:
     copies = videos.groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("videos"), F.count_distinct("video_id").alias("distinct_videos")
     )
-    return copies.join(snapshots, "channel_id", "left")
+    both = copies.join(snapshots, "channel_id", "full")
+    return both.fillna(0, ["videos", "distinct_videos", "snapshots"])
 
 
 @_registered

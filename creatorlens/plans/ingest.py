@@ -81,7 +81,8 @@ def full_videos(
     max_videos: int = fixed.MAX_VIDEOS,
 ) -> DataFrame:
     """Raw video rows of a full run: ``max_videos`` per tab of every registered channel."""
-    return raw_videos(listed_videos(listing, max_videos), registry, videos)
+    listed = materialize(listed_videos(listing, max_videos), "listed")
+    return raw_videos(listed, registry, videos)
 
 
 def claims(

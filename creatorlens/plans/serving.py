@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import display
 from ..functions import fixed_values as fixed
+from ..functions.scalars import ratio
 from ..operators.joins import lookup_join
 from ..operators.ranking import ranked, ranked_page, top
+from ..sources.workspace import materialize
 from .marts import Marts
 
 
@@ -32,41 +34,71 @@ def _descending(sort: str, allowed: Sequence[str], *ties: str) -> list[Column]:
     return [F.desc_nulls_last(sort), *[F.asc_nulls_first(name) for name in ties]]
 
 
-def _totals(*, likes: bool = False, means: bool = False) -> list[Column]:
+# One pass over the fact gives sums and counts per channel and a few small
+# dimensions; page queries add them up. A hot channel is summed up before any
+# shuffle, and pages that show several of these results read the fact once.
+
+
+def _sums(*means: str) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(name).alias(f"sum_{name}") for name in means],
+        *[F.count(name).alias(f"n_{name}") for name in means],
+    ]
+
+
+def _mean(name: str) -> Column:
+    return ratio(F.sum(f"sum_{name}"), F.sum(f"n_{name}"))
+
+
+def channel_rollup(marts: Marts) -> DataFrame:
+    """Sums of the fact by niche, region, performance tier and channel."""
+    keys = ("niche", "region", "performance_tier", "channel_id")
+    measures = ("view_count", "like_count", "comment_count", "engagement_rate", "like_rate")
+    return marts.fct_video_performance.groupBy(*keys).agg(*_sums(*measures))
+
+
+def content_rollup(marts: Marts) -> DataFrame:
+    """Sums of the fact by niche, duration category and weekday."""
+    keys = ("niche", "duration_category", "upload_day_of_week")
+    return marts.fct_video_performance.groupBy(*keys).agg(*_sums("view_count", "engagement_rate"))
+
+
+def _totals(*, views: bool = False, likes: bool = False) -> list[Column]:
     columns = [
         F.count_distinct("channel_id").alias("channels"),
-        F.count(F.lit(1)).alias("videos"),
-        F.sum("view_count").alias("total_views"),
-        F.avg("engagement_rate").alias("avg_engagement"),
+        F.sum("n").alias("videos"),
+        F.sum("sum_view_count").alias("total_views"),
+        _mean("engagement_rate").alias("avg_engagement"),
     ]
-    if means:
-        columns.append(F.avg("view_count").alias("avg_views"))
+    if views:
+        columns.append(_mean("view_count").alias("avg_views"))
     if likes:
-        columns.append(F.avg("like_rate").alias("avg_like_rate"))
+        columns.append(_mean("like_rate").alias("avg_like_rate"))
     return columns
 
 
 # overview
 
 
-def overview_kpis(marts: Marts) -> DataFrame:
-    return marts.fct_video_performance.agg(
+def overview_kpis(rollup: DataFrame) -> DataFrame:
+    return rollup.agg(
         F.count_distinct("channel_id").alias("total_channels"),
-        F.count(F.lit(1)).alias("total_videos"),
-        F.sum("view_count").alias("total_views"),
-        F.sum("like_count").alias("total_likes"),
-        F.sum("comment_count").alias("total_comments"),
-        F.avg("engagement_rate").alias("avg_engagement_rate"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_videos"),
+        F.sum("sum_view_count").alias("total_views"),
+        F.sum("sum_like_count").alias("total_likes"),
+        F.sum("sum_comment_count").alias("total_comments"),
+        _mean("engagement_rate").alias("avg_engagement_rate"),
     )
 
 
-def overview_by_niche(marts: Marts) -> DataFrame:
-    by_niche = marts.fct_video_performance.groupBy("niche").agg(*_totals(means=True))
+def overview_by_niche(rollup: DataFrame) -> DataFrame:
+    by_niche = rollup.groupBy("niche").agg(*_totals(views=True))
     return by_niche.orderBy(F.desc_nulls_last("total_views"), "niche")
 
 
-def overview_by_region(marts: Marts) -> DataFrame:
-    return marts.fct_video_performance.groupBy("region").agg(*_totals())
+def overview_by_region(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("region").agg(*_totals())
 
 
 def overview_tiers(marts: Marts) -> DataFrame:
@@ -74,6 +106,19 @@ def overview_tiers(marts: Marts) -> DataFrame:
     return tiers.agg(F.count(F.lit(1)).alias("count"))
 
 
+def overview_page(marts: Marts) -> dict[str, DataFrame]:
+    """Everything the overview shows; the fact is read once for all totals."""
+    rollup = materialize(channel_rollup(marts), "overview")
+    tiers = rollup.groupBy("performance_tier").agg(F.sum("n").alias("count"))
+    return {
+        "kpis": overview_kpis(rollup),
+        "by_niche": overview_by_niche(rollup),
+        "top_videos": overview_top_videos(marts),
+        "by_region": overview_by_region(rollup),
+        "tiers": tiers,
+    }
+
+
 def overview_top_videos(marts: Marts, limit: int = fixed.TOP_ROWS) -> DataFrame:
     names = marts.dim_channels.select("channel_id", "channel_name")
     fact = marts.fct_video_performance.select(
@@ -235,15 +280,15 @@ def channel_vs_benchmark(marts: Marts, channel_id: str) -> DataFrame:
         for label, own, other in fixed.COMPARED_MEASURES
     ]
     rows = own_row.join(benchmark, "_niche").select(F.inline(F.array(*pairs)))
-    ratio = F.when(F.col("niche") > 0, F.coalesce(F.col("channel") / F.col("niche"), F.lit(0.0)))
-    ratio = F.coalesce(ratio, F.lit(0.0))
+    quotient = F.when(F.col("niche") > 0, F.col("channel") / F.col("niche"))
+    quotient = F.coalesce(quotient, F.lit(0.0))
     return rows.select(
         "metric",
         "channel",
         "niche",
-        ratio.alias("ratio"),
-        F.concat(display.fixed_point(ratio, 1), F.lit("×")).alias("ratio_text"),
-        F.when(ratio >= 1, "above").otherwise("below").alias("position"),
+        quotient.alias("ratio"),
+        F.concat(display.fixed_point(quotient, 1), F.lit("×")).alias("ratio_text"),
+        F.when(quotient >= 1, "above").otherwise("below").alias("position"),
     )
 
 
@@ -379,22 +424,33 @@ def niche_overview(marts: Marts) -> DataFrame:
     return marts.agg_niche_overview
 
 
-def niche_region(marts: Marts) -> DataFrame:
-    groups = marts.fct_video_performance.groupBy("niche", "region")
-    return groups.agg(*_totals(means=True, likes=True)).orderBy("niche", "region")
+def niche_region(rollup: DataFrame) -> DataFrame:
+    groups = rollup.groupBy("niche", "region")
+    return groups.agg(*_totals(views=True, likes=True)).orderBy("niche", "region")
 
 
-def duration_analysis(marts: Marts) -> DataFrame:
-    groups = marts.fct_video_performance.groupBy("niche", "duration_category")
+def duration_analysis(content: DataFrame) -> DataFrame:
+    groups = content.groupBy("niche", "duration_category")
     return groups.agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("view_count").alias("avg_views"),
-        F.avg("engagement_rate").alias("avg_engagement"),
+        F.sum("n").alias("count"),
+        _mean("view_count").alias("avg_views"),
+        _mean("engagement_rate").alias("avg_engagement"),
     ).orderBy("niche", "duration_category")
 
 
-def upload_day_analysis(marts: Marts) -> DataFrame:
-    groups = marts.fct_video_performance.groupBy("niche", "upload_day_of_week")
-    return groups.agg(
-        F.count(F.lit(1)).alias("count"), F.avg("view_count").alias("avg_views")
-    ).orderBy("niche", "upload_day_of_week")
+def upload_day_analysis(content: DataFrame) -> DataFrame:
+    groups = content.groupBy("niche", "upload_day_of_week")
+    return groups.agg(F.sum("n").alias("count"), _mean("view_count").alias("avg_views")).orderBy(
+        "niche", "upload_day_of_week"
+    )
+
+
+def niche_page(marts: Marts) -> dict[str, DataFrame]:
+    """Everything the niche page shows; the content results share one pass."""
+    content = materialize(content_rollup(marts), "content")
+    return {
+        "overview": niche_overview(marts),
+        "niche_region": niche_region(channel_rollup(marts)),
+        "duration_analysis": duration_analysis(content),
+        "upload_days": upload_day_analysis(content),
+    }

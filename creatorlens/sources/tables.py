@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import fixed_values as fixed
 from ..functions.scalars import day
-from .workspace import path_exists
+from .workspace import discard, fresh_folder, path_exists, read_parquet
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -92,13 +92,23 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 def load(df: DataFrame, store: Store, name: str, mode: str = APPEND) -> int:
     """Write ``df`` and return how many rows were written; an empty input writes nothing.
 
-    The rows are counted while they are written, not by a second scan.
+    Rows for a new or a replaced table are computed into the shared folder first: a
+    table is not touched before its new content is complete and known not to be
+    empty. Rows appended to an existing table are written directly and counted on
+    the way.
     """
-    if df.isEmpty():
-        return 0
-    seen = Observation()
-    store.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode)
-    return seen.get["rows"]
+    if mode == APPEND and store.exists(name):
+        seen = Observation()
+        store.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode)
+        return seen.get["rows"]
+    spark, path = df.sparkSession, fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    complete = read_parquet(spark, path, df.schema)
+    rows = complete.count()
+    if rows:
+        store.write(complete, name, mode)
+    discard(spark, path)
+    return rows
 
 
 def save(df: DataFrame, store: Store, name: str) -> DataFrame:
@@ -116,8 +126,7 @@ def loaded_keys(store: Store, name: str, schema: StructType, key: str) -> DataFr
 
 def query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None, **args) -> DataFrame:
     """Run SQL text with bound parameters over named DataFrames."""
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
+    publish_views(tables or {})
     return spark.sql(text, args=args)
 
 
@@ -157,12 +166,13 @@ def within_retention(
     as_of: date | Column | None = None,
     days: int = fixed.RETENTION_DAYS,
 ) -> DataFrame:
-    """Rows scraped in the last ``days`` days.
+    """Rows scraped in the last ``days`` days, counted from midnight UTC.
 
     ``scraped_at`` is ISO text in UTC. For a fixed day a coarse comparison of the
     text itself reaches the Parquet scan; the exact one is on timestamps.
     """
-    oldest = F.date_sub(day(as_of), days).cast("timestamp")
+    midnight = F.date_format(F.date_sub(day(as_of), days), "yyyy-MM-dd'T00:00:00Z'")
+    oldest = midnight.cast("timestamp")
     kept = snapshots.filter(F.col("scraped_at").cast("timestamp") >= oldest)
     if isinstance(as_of, date):
         coarse = (as_of - timedelta(days=days + 1)).isoformat()

@@ -29,15 +29,33 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[application]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/creatorlens/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path of this application that nothing was written to before."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/creatorlens/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def discard(spark: SparkSession, path: str | None = None) -> None:
+    """Remove one scratch folder of this application, or all of them at the end of a run."""
+    own = _application_folder(spark)
+    path = path or own
+    if path != own and not path.startswith(own + "/"):
+        raise ValueError(f"not a scratch folder of this application: {path}")
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

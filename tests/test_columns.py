@@ -128,3 +128,12 @@ def test_labels(spark):
     ]
     assert evaluate(spark, "double", [2.5, -2.5, 2.4], display.round_half_up) == [3, -2, 2]
     assert evaluate(spark, "double", [90.0, None], display.minutes_text) == ["2m", "0m"]
+
+
+def test_settings_follow_the_input():
+    from creatorlens.session import settings
+
+    small, large = settings(10_000_000, 8), settings(100 * 10**12, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(large["spark.sql.shuffle.partitions"]) > 700_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 128 * 1024 * 1024

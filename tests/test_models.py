@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from creatorlens import schemas
 from creatorlens.plans import marts, metrics, serving, staging
-from creatorlens.sources.tables import FolderStore
-from creatorlens.sources.workspace import fresh_folder
+from creatorlens.sources.tables import CatalogStore, FolderStore
+from creatorlens.sources.workspace import discard, fresh_folder, path_exists
 
 DAY = date(2024, 3, 1)
 NOW = "2024-02-29T10:00:00+00:00"
@@ -260,3 +260,41 @@ def test_page_summary_counts_missing_rates(built):
 def test_chart_with_unknown_sort(built):
     board = serving.channel_leaderboard(built)
     assert [r["value"] for r in serving.leaderboard_chart(board, "nonsense").collect()] == [200.0, 200.0, 0.0]
+
+
+def test_pages_share_a_pass_and_agree(built):
+    rollup, content = serving.channel_rollup(built), serving.content_rollup(built)
+    overview, niches = serving.overview_page(built), serving.niche_page(built)
+    same = lambda a, b: sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    assert same(overview["kpis"], serving.overview_kpis(rollup))
+    assert same(overview["by_niche"], serving.overview_by_niche(rollup))
+    assert same(overview["by_region"], serving.overview_by_region(rollup))
+    assert same(overview["tiers"], serving.overview_tiers(built))
+    assert same(niches["duration_analysis"], serving.duration_analysis(content))
+    assert same(niches["upload_days"], serving.upload_day_analysis(content))
+    assert one(overview["kpis"]).total_channels == 5
+
+
+def test_marts_in_the_catalog(spark, small, built):
+    again = marts.build(*small, CatalogStore(spark, "mart_build"), DAY)
+    same = lambda m: sorted(map(tuple, m.agg_channel_metrics.collect()), key=repr)
+    assert same(again) == same(built)
+    assert spark.catalog.tableExists("mart_build_marts.fct_video_performance")
+
+
+def test_empty_tables(spark):
+    store = FolderStore(spark, fresh_folder(spark, "empty"))
+    nothing = marts.build(channels(spark), videos(spark), store, DAY)
+    assert nothing.fct_video_performance.isEmpty()
+    kpis = one(serving.overview_kpis(serving.channel_rollup(nothing)))
+    assert tuple(kpis) == (0, 0, None, None, None, None)
+
+
+def test_scratch_is_removed_on_request(spark):
+    path = fresh_folder(spark, "scratch")
+    spark.range(1).write.parquet(path)
+    assert path_exists(spark, path)
+    discard(spark, path)
+    assert not path_exists(spark, path)
+    with pytest.raises(ValueError):
+        discard(spark, "/somewhere/else")

@@ -432,6 +432,12 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(comment_count) AS BIGINT) AS total_comments, "
             "round(avg(engagement_rate), 6) AS avg_engagement_rate FROM fact"
         ),
+        "overview_cards": _models(
+            "SELECT count(DISTINCT channel_id) AS total_channels, "
+            f"{_compact('count(*)')} AS total_videos, {_compact('sum(view_count)')} AS total_views, "
+            f"{_compact('sum(like_count)')} AS total_likes, "
+            f"concat({_fixed('avg(engagement_rate) * 100', 2)}, '%') AS avg_engagement FROM fact"
+        ),
         "overview_by_niche": _models(
             f"SELECT niche, count(DISTINCT channel_id) AS channels, count(*) AS videos, {kpi} "
             "AS avg_engagement, round(avg(view_count), 6) AS avg_views FROM fact GROUP BY niche"
@@ -524,6 +530,23 @@ def oracle_sql() -> dict[str, str]:
             f"FROM channel_summary WHERE niche = {own_niche} "
             "ORDER BY subscriber_count DESC NULLS LAST, channel_id, region, channel_name LIMIT 10"
         ),
+        "channel_peers_table": _models(
+            "SELECT row_number() OVER (ORDER BY subscriber_count DESC NULLS LAST, channel_id, region, "
+            "channel_name) AS rank, CASE WHEN channel_name = "
+            f"(SELECT channel_name FROM dim WHERE channel_id = '{_CHANNEL}') "
+            "THEN concat(channel_name, ' ← You') ELSE channel_name END AS channel, "
+            f"{_compact('subscriber_count')} AS subscribers, {_compact('avg_views')} AS avg_views, "
+            f"{_percent('avg_engagement_rate')} AS engagement "
+            f"FROM channel_summary WHERE niche = {own_niche} "
+            "ORDER BY subscriber_count DESC NULLS LAST, channel_id, region, channel_name LIMIT 10"
+        ),
+        "channel_cards": _models(
+            f"SELECT d.channel_name, {_compact('d.subscriber_count')} AS subscribers, "
+            f"{_compact('total_views')} AS total_views, {_compact('avg_views')} AS avg_views, "
+            f"{_percent('avg_engagement_rate')} AS engagement, total_videos "
+            "FROM dim d JOIN channel_summary a ON a.channel_id = d.channel_id "
+            f"WHERE d.channel_id = '{_CHANNEL}'"
+        ),
         "channel_vs_benchmark": _models(
             "SELECT metric, round(channel, 6) AS channel, round(niche, 6) AS niche, "
             "round(ratio, 6) AS ratio, "
@@ -594,6 +617,15 @@ def oracle_sql() -> dict[str, str]:
             "AS avg_engagement, round(avg(view_count), 6) AS avg_views, "
             "round(avg(like_rate), 6) AS avg_like_rate FROM fact GROUP BY niche, region"
         ),
+        "niche_region_table": _models(
+            "SELECT niche, CASE WHEN region = 'ID' THEN 'Indonesia' ELSE 'Global' END AS region, "
+            f"channels, videos, {_compact('total_views')} AS total_views, "
+            f"{_compact('avg_views')} AS avg_views, {_percent('avg_engagement')} AS engagement, "
+            f"{_percent('avg_like_rate')} AS like_rate FROM (SELECT niche, region, "
+            "count(DISTINCT channel_id) AS channels, count(*) AS videos, sum(view_count) AS total_views, "
+            "avg(view_count) AS avg_views, avg(engagement_rate) AS avg_engagement, "
+            "avg(like_rate) AS avg_like_rate FROM fact GROUP BY niche, region) g"
+        ),
         "duration_analysis": _models(_DURATIONS),
         "upload_day_analysis": _models(_DAYS),
         "niche_radar": _models(_radar()),
@@ -650,6 +682,14 @@ def oracle_sql() -> dict[str, str]:
             "FROM resolved GROUP BY niche"
         ),
         "listed_videos": _ingest("SELECT config_url, tab, video_id FROM listed"),
+        "listing_requests": _ingest(
+            "SELECT url AS config_url, tab, concat(url, '/', tab) AS request_url "
+            "FROM registry CROSS JOIN (VALUES ('videos'), ('streams')) t(tab)"
+        ),
+        "video_requests": _ingest(
+            "SELECT DISTINCT video_id, concat('https://www.youtube.com/watch?v=', video_id) AS request_url "
+            "FROM listing"
+        ),
         "incremental_new_videos": _ingest(
             "SELECT p.video_id, p.title, p.channel_id, p.view_count, r.niche, r.region "
             "FROM claimed c JOIN registry r ON r.url = c.config_url JOIN parsed p ON p.video_id = c.video_id"

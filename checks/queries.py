@@ -118,6 +118,11 @@ def overview_kpis(d: Dataset) -> DataFrame:
     return serving.overview_kpis(serving.channel_rollup(d.marts))
 
 
+@_registered
+def overview_cards(d: Dataset) -> DataFrame:
+    return serving.overview_cards(serving.overview_kpis(serving.channel_rollup(d.marts)))
+
+
 @_registered
 def overview_by_niche(d: Dataset) -> DataFrame:
     return serving.overview_by_niche(serving.channel_rollup(d.marts))
@@ -216,6 +221,16 @@ def channel_peers(d: Dataset) -> DataFrame:
     return serving.channel_peers(d.marts, CHANNEL)
 
 
+@_registered
+def channel_peers_table(d: Dataset) -> DataFrame:
+    return serving.channel_peers_table(serving.channel_peers(d.marts, CHANNEL))
+
+
+@_registered
+def channel_cards(d: Dataset) -> DataFrame:
+    return serving.channel_cards(d.marts, CHANNEL)
+
+
 @_registered
 def channel_vs_benchmark(d: Dataset) -> DataFrame:
     return serving.channel_vs_benchmark(d.marts, CHANNEL)
@@ -300,6 +315,11 @@ def niche_region(d: Dataset) -> DataFrame:
     return serving.niche_region(serving.channel_rollup(d.marts))
 
 
+@_registered
+def niche_region_table(d: Dataset) -> DataFrame:
+    return serving.niche_region_table(serving.niche_region(serving.channel_rollup(d.marts)))
+
+
 @_registered
 def duration_analysis(d: Dataset) -> DataFrame:
     return serving.duration_analysis(serving.content_rollup(d.marts))
@@ -396,6 +416,16 @@ def listed_videos(d: Dataset) -> DataFrame:
     return ingest.listed_videos(d.listing).select("config_url", "tab", "video_id")
 
 
+@_registered
+def listing_requests(d: Dataset) -> DataFrame:
+    return ingest.listing_requests(d.registry)
+
+
+@_registered
+def video_requests(d: Dataset) -> DataFrame:
+    return ingest.video_requests(d.listing)
+
+
 @_registered
 def incremental_new_videos(d: Dataset) -> DataFrame:
     rows = ingest.raw_videos(d.claimed, d.registry, d.parsed)

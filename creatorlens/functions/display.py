@@ -156,3 +156,8 @@ def absolute_url(address: Column) -> Column:
     return F.when(address.startswith("http"), address).otherwise(
         F.concat(F.lit(fixed.WATCH_URL), address)
     )
+
+
+def tab_url(channel_url: Column, tab: Column) -> Column:
+    """Address of a channel's ``videos`` or ``streams`` tab."""
+    return F.concat(channel_url, F.lit("/"), tab)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed_values as fixed
+from ..functions.display import absolute_url, tab_url
 from ..operators.joins import known_keys, lookup_join, spread_join, unseen
 from ..operators.ranking import first_per_key
 from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
@@ -42,6 +43,20 @@ def listed_videos(listing: DataFrame, per_tab: int = fixed.LISTING_LIMIT) -> Dat
     )
 
 
+def listing_requests(registry: DataFrame) -> DataFrame:
+    """Tabs a fetcher has to list: one row per registered channel and tab."""
+    tabs = registry.select(
+        F.col("url").alias("config_url"), F.explode(F.lit(list(fixed.TAB_ORDER))).alias("tab")
+    )
+    return tabs.withColumn("request_url", tab_url(F.col("config_url"), F.col("tab")))
+
+
+def video_requests(ids: DataFrame) -> DataFrame:
+    """Videos a fetcher has to extract: one row per distinct id."""
+    distinct = ids.select("video_id").distinct()
+    return distinct.withColumn("request_url", absolute_url(F.col("video_id")))
+
+
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     """All rows of several batches; a column missing in one is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)

@@ -106,6 +106,17 @@ def overview_tiers(marts: Marts) -> DataFrame:
     return tiers.agg(F.count(F.lit(1)).alias("count"))
 
 
+def overview_cards(kpis: DataFrame) -> DataFrame:
+    """The KPI row as shown; these number formats have no zero guard."""
+    return kpis.select(
+        "total_channels",
+        display.compact_number(F.col("total_videos"), guarded=False).alias("total_videos"),
+        display.compact_number(F.col("total_views"), guarded=False).alias("total_views"),
+        display.compact_number(F.col("total_likes"), guarded=False).alias("total_likes"),
+        display.percent(F.col("avg_engagement_rate"), guarded=False).alias("avg_engagement"),
+    )
+
+
 def overview_page(marts: Marts) -> dict[str, DataFrame]:
     """Everything the overview shows; the fact is read once for all totals."""
     rollup = materialize(channel_rollup(marts), "overview")
@@ -261,6 +272,34 @@ def channel_peers(marts: Marts, channel_id: str, limit: int = fixed.TOP_ROWS) ->
     )
 
 
+def channel_peers_table(peers: DataFrame) -> DataFrame:
+    return peers.select(
+        "rank",
+        F.when(F.col("is_self"), F.concat("channel_name", F.lit(" ← You")))
+        .otherwise(F.col("channel_name"))
+        .alias("channel"),
+        display.compact_number(F.col("subscriber_count")).alias("subscribers"),
+        display.compact_number(F.col("avg_views")).alias("avg_views"),
+        display.percent(F.col("avg_engagement_rate")).alias("engagement"),
+    )
+
+
+def channel_cards(marts: Marts, channel_id: str) -> DataFrame:
+    """KPI row of one channel as shown; empty when it has no aggregate row."""
+    info = channel_info(marts, channel_id).limit(1)
+    subscribers = display.compact_number(F.col("subscriber_count"))
+    shown = info.select("channel_id", "channel_name", subscribers.alias("subscribers"))
+    metrics = channel_metrics(marts, channel_id).drop("channel_name")
+    return shown.join(metrics, "channel_id").select(
+        "channel_name",
+        "subscribers",
+        display.compact_number(F.col("total_views")).alias("total_views"),
+        display.compact_number(F.col("avg_views")).alias("avg_views"),
+        display.percent(F.col("avg_engagement_rate")).alias("engagement"),
+        "total_videos",
+    )
+
+
 def channel_vs_benchmark(marts: Marts, channel_id: str) -> DataFrame:
     """Channel measures over niche measures: one row per measure.
 
@@ -429,6 +468,20 @@ def niche_region(rollup: DataFrame) -> DataFrame:
     return groups.agg(*_totals(views=True, likes=True)).orderBy("niche", "region")
 
 
+def niche_region_table(breakdown: DataFrame) -> DataFrame:
+    """The niche and region breakdown as shown."""
+    return breakdown.select(
+        "niche",
+        display.region_label(F.col("region")).alias("region"),
+        "channels",
+        "videos",
+        display.compact_number(F.col("total_views")).alias("total_views"),
+        display.compact_number(F.col("avg_views")).alias("avg_views"),
+        display.percent(F.col("avg_engagement")).alias("engagement"),
+        display.percent(F.col("avg_like_rate")).alias("like_rate"),
+    )
+
+
 def duration_analysis(content: DataFrame) -> DataFrame:
     groups = content.groupBy("niche", "duration_category")
     return groups.agg(

@@ -7,15 +7,20 @@ few hot rows of the lookup are copied.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from ..sources.workspace import materialize
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_HOT_KEYS = 10_000
 _ROW_OVERHEAD = 48
 _SALT = "_salt"
+_TASKS = "_tasks"
 
 
 def measured_bytes(lookup: DataFrame) -> int:
@@ -47,13 +52,26 @@ def lookup_join(
     return spread_join(facts, lookup, key, how=how)
 
 
-def hot_keys(facts: DataFrame, key: str, shares: int) -> list:
-    """Keys holding more than ``1/shares`` of the rows: fewer than ``shares`` of them."""
+def hot_keys(facts: DataFrame, key: str, slots: int) -> list[tuple]:
+    """Keys with too many rows for one of ``slots`` tasks, and how many tasks they need.
+
+    A key is hot with more than ``1/slots`` of all rows (or ``1/MAX_HOT_KEYS``, if
+    that is more), so there are at most that many, and all of them together need
+    no more than about ``2 * slots`` tasks.
+    """
+    shares = min(slots, MAX_HOT_KEYS)
     seen = Observation()
     counted = facts.observe(seen, F.count(F.lit(1)).alias("rows"))
     counts = counted.filter(F.col(key).isNotNull()).groupBy(key).count()
     largest = counts.orderBy(F.desc("count")).limit(shares).collect()
-    return [row[key] for row in largest if row["count"] * shares > seen.get["rows"]]
+    if not largest:
+        return []
+    total = seen.get["rows"]
+    return [
+        (row[key], math.ceil(2 * slots * row["count"] / total))
+        for row in largest
+        if row["count"] * shares > total
+    ]
 
 
 def spread_join(
@@ -62,29 +80,65 @@ def spread_join(
     key: str,
     *,
     how: str = "left",
-    hot: Sequence | None = None,
+    hot: Sequence[tuple] | None = None,
     slots: int | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Shuffled join in which hot and NULL keys of ``facts`` are spread over ``slots`` tasks.
+    """Shuffled join in which hot and NULL keys of ``facts`` are spread over tasks.
 
-    ``hot`` names the hot keys if they are known; otherwise they are counted.
-    Rows never match on NULL, so NULL keys may go anywhere. The salt is a hash of
-    ``spread_by`` (all columns by default), so a repeated task computes it again.
+    ``hot`` gives the hot keys with their number of tasks if they are known;
+    otherwise they are counted. Each hot key gets that many salts, and its row of
+    the lookup as many copies. Rows never match on NULL, so NULL keys may go to
+    any of ``slots`` tasks. The salt is a hash of ``spread_by`` (all columns by
+    default), so a repeated task computes it again.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    slots = slots or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = facts.sparkSession
+    slots = slots or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(facts, key, slots) if hot is None else list(hot)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
-    scatter = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(slots)).cast("int")
-    spread = is_hot | F.col(key).isNull()
-    salted_facts = facts.withColumn(_SALT, F.when(spread, scatter).otherwise(0))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.withColumn(_SALT, F.explode(salts))
+    tasks = F.when(F.col(key).isNull(), F.lit(slots)).otherwise(F.lit(1))
+    if hot:
+        schema = StructType([facts.schema[key], StructField(_TASKS, IntegerType())])
+        hot_rows = F.broadcast(spark.createDataFrame(hot, schema))  # at most MAX_HOT_KEYS
+        facts = facts.join(hot_rows, key, "left")
+        lookup = lookup.join(hot_rows, key, "left")
+        tasks = F.coalesce(F.col(_TASKS), tasks)
+    salt = F.pmod(F.xxhash64(*(spread_by or facts.columns)), tasks.cast("bigint")).cast("int")
+    salts = F.sequence(F.lit(0), (tasks if hot else F.lit(1)) - 1)
+    salted_facts = facts.withColumn(_SALT, F.when(tasks > 1, salt).otherwise(0)).drop(_TASKS)
+    salted_lookup = lookup.withColumn(_SALT, F.explode(salts)).drop(_TASKS)
     return salted_facts.join(salted_lookup, [key, _SALT], how).drop(_SALT)
 
 
+def top_with_lookup(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    order: Sequence[Column],
+    n: int,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    margin: int = 4,
+) -> DataFrame:
+    """First ``n`` rows, in an order of the facts alone, of the inner join with a lookup.
+
+    Beside a lookup too large to broadcast, the best few facts are found first and
+    then looked up. If too few of them have a lookup row, the whole join is done.
+    """
+    candidates = n * margin
+    if candidates > MAX_HOT_KEYS or measured_bytes(lookup) <= broadcast_bytes:
+        joined = lookup_join(facts, lookup, key, how="inner", broadcast_bytes=broadcast_bytes)
+        return joined.orderBy(*order).limit(n)
+    best = materialize(facts.orderBy(*order).limit(candidates), "best")
+    columns = list(dict.fromkeys([key, *facts.columns, *lookup.columns]))
+    found = lookup.join(F.broadcast(best), key).select(*columns)  # as few rows as best
+    found = materialize(found, "found")
+    if found.count() < n and best.count() == candidates:
+        found = spread_join(facts, lookup, key, how="inner")
+    return found.orderBy(*order).limit(n)
+
+
 def known_keys(
     batch: DataFrame,
     history: DataFrame,

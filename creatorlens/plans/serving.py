@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import display
 from ..functions import fixed_values as fixed
 from ..functions.scalars import ratio
-from ..operators.joins import lookup_join
+from ..operators.joins import top_with_lookup
 from ..operators.ranking import ranked, ranked_page, top
 from ..sources.workspace import materialize
 from .marts import Marts
@@ -136,8 +136,8 @@ def overview_top_videos(marts: Marts, limit: int = fixed.TOP_ROWS) -> DataFrame:
         "channel_id", "video_id", "title", "niche", "region", "view_count", "like_count",
         "engagement_rate", "performance_tier", "upload_date",
     )
-    joined = lookup_join(fact, names, "channel_id", how="inner").drop("channel_id")
-    return top(joined, _descending("view_count", fixed.VIDEO_SORTS, "video_id"), limit)
+    order = _descending("view_count", fixed.VIDEO_SORTS, "video_id")
+    return top_with_lookup(fact, names, "channel_id", order, limit).drop("channel_id")
 
 
 # channels
@@ -154,7 +154,7 @@ def channel_leaderboard(
     order = _descending(sort, fixed.CHANNEL_SORTS, *ties)
     described = marts.dim_channels.select("channel_id", "channel_url", "channel_description")
     metrics = _matching(marts.agg_channel_metrics, niche=niche, region=region)
-    return top(metrics.join(described, "channel_id"), order, limit)
+    return top_with_lookup(metrics, described, "channel_id", order, limit)
 
 
 def leaderboard_chart(leaderboard: DataFrame, sort: str = "subscriber_count") -> DataFrame:
@@ -382,18 +382,13 @@ def video_explorer(
     channels = marts.dim_channels.select(
         "channel_id", "channel_name", "subscriber_count", "size_tier"
     )
-    selected = lookup_join(
-        rows.select(
-            "video_id", "title", "channel_id", "niche", "region", "upload_date", "view_count",
-            "like_count", "comment_count", "duration_seconds", "duration_category",
-            "engagement_rate", "like_rate", "comment_rate", "views_per_subscriber",
-            "views_per_day", "performance_tier", "engagement_vs_benchmark", "views_vs_benchmark",
-        ),
-        channels,
-        "channel_id",
-        how="inner",
+    selected = rows.select(
+        "video_id", "title", "channel_id", "niche", "region", "upload_date", "view_count",
+        "like_count", "comment_count", "duration_seconds", "duration_category",
+        "engagement_rate", "like_rate", "comment_rate", "views_per_subscriber",
+        "views_per_day", "performance_tier", "engagement_vs_benchmark", "views_vs_benchmark",
     )
-    return top(selected, order, limit)
+    return top_with_lookup(selected, channels, "channel_id", order, limit)
 
 
 def video_page_summary(page: DataFrame) -> DataFrame:

@@ -34,12 +34,13 @@ def test_joins_agree(skewed, lookup, how):
     assert rows(joins.lookup_join(skewed, lookup, "k", how=how)) == plain
     assert rows(joins.lookup_join(skewed, lookup, "k", how=how, broadcast_bytes=0)) == plain
     assert rows(joins.spread_join(skewed, lookup, "k", how=how, spread_by=["v"])) == plain
-    assert rows(joins.spread_join(skewed, lookup, "k", how=how, hot=["hot"], slots=5)) == plain
+    assert rows(joins.spread_join(skewed, lookup, "k", how=how, hot=[("hot", 5)], slots=5)) == plain
     assert rows(joins.spread_join(skewed, lookup, "k", how=how, hot=[])) == plain
 
 
 def test_hot_keys_are_found_and_spread(skewed, lookup):
-    assert joins.hot_keys(skewed, "k", 8) == ["hot"]
+    assert joins.hot_keys(skewed, "k", 8) == [("hot", 6)]
+    assert joins.hot_keys(skewed.limit(0), "k", 8) == []
     lookup.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     lookup.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -58,8 +59,26 @@ def test_broadcast_follows_the_measured_size(skewed, lookup):
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
+    assert "_salt" not in plan(joins.lookup_join(skewed, lookup, "k"))
     assert "strategy=broadcast" in plan(joins.lookup_join(skewed, lookup, "k"))
-    assert "strategy=broadcast" not in plan(joins.lookup_join(skewed, lookup, "k", broadcast_bytes=10))
+    assert "_salt" in plan(joins.lookup_join(skewed, lookup, "k", broadcast_bytes=10))
+
+
+def test_hot_keys_of_other_types(spark):
+    facts = spark.range(900).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    lookup = spark.range(0, 900, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    for how in ("left", "inner"):
+        assert rows(joins.spread_join(facts, lookup, "k", how=how)) == rows(facts.join(lookup, "k", how))
+
+
+@pytest.mark.parametrize("n", [1, 7, 40, 5000])
+def test_top_with_a_large_lookup(skewed, lookup, n):
+    facts, order = skewed.filter(F.col("k") != "hot"), [F.desc("v")]
+    for df, names in ((facts, lookup), (skewed, lookup), (facts, lookup.filter("k < 'k2'"))):
+        expected = rows(df.join(names, "k").orderBy(*order).limit(n))
+        assert rows(joins.top_with_lookup(df, names, "k", order, n)) == expected
+        got = joins.top_with_lookup(df, names, "k", order, n, broadcast_bytes=0, margin=2)
+        assert rows(got) == expected
 
 
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])

@@ -469,6 +469,14 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(sum(f.view_count) AS BIGINT) AS total_views {_FACT_DIM} "
             "WHERE f.niche = 'building' AND f.region = 'GLOBAL' GROUP BY 1"
         ),
+        "sql_over_views": _models(
+            "SELECT c.size_tier, b.niche, count(*) AS videos, "
+            "round(max(m.views_per_day), 6) AS best_per_day, min(s.total_views) AS least_total_views "
+            "FROM video_metrics m JOIN stg_channels c ON m.channel_id = c.channel_id "
+            "JOIN channel_summary s ON s.channel_id = m.channel_id AND s.niche = m.niche "
+            "JOIN niche_benchmarks b ON b.niche = m.niche "
+            "WHERE m.view_count > b.avg_views_per_video GROUP BY c.size_tier, b.niche"
+        ),
         "channel_leaderboard": _models(
             _leaderboard(
                 "true", "subscriber_count", 50,

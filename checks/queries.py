@@ -164,6 +164,23 @@ def sql_tier_query(d: Dataset) -> DataFrame:
     return stores.query(d.spark, text, named, niche="building", region="GLOBAL")
 
 
+@_registered
+def sql_over_views(d: Dataset) -> DataFrame:
+    """SQL text over the staging and intermediate models published as views."""
+    text = """
+        SELECT c.size_tier, b.niche, count(*) AS videos, max(m.views_per_day) AS best_per_day,
+               min(s.total_views) AS least_total_views
+        FROM int_video_metrics m
+        JOIN stg_channels c ON m.channel_id = c.channel_id
+        JOIN int_channel_summary s ON s.channel_id = m.channel_id AND s.niche = m.niche
+        JOIN int_niche_benchmarks b ON b.niche = m.niche
+        WHERE m.view_count > b.avg_views_per_video
+        GROUP BY c.size_tier, b.niche
+    """
+    views = marts.layer_views(d.raw_channels, d.raw_videos, AS_OF)
+    return stores.query(d.spark, text, views)
+
+
 # channels
 
 

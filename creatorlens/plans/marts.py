@@ -110,3 +110,18 @@ def build(
             "channel_id", "video_id"
         )
     return Marts(dimension, save(fact, store, "fct_video_performance"), summary, niches)
+
+
+def layer_views(
+    raw_channels: DataFrame, raw_videos: DataFrame, as_of: Day = None
+) -> dict[str, DataFrame]:
+    """Staging and intermediate models by name, lazy: publish them to query them in SQL."""
+    channels, videos = staging.stg_channels(raw_channels), staging.stg_videos(raw_videos)
+    summary = metrics.channel_summary(videos, channels, as_of)
+    return {
+        "stg_channels": channels,
+        "stg_videos": videos,
+        "int_video_metrics": metrics.video_metrics(videos, channels, as_of),
+        "int_channel_summary": summary,
+        "int_niche_benchmarks": metrics.niche_benchmarks(summary),
+    }

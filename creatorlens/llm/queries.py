@@ -8,8 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import materialize
-from . import mixing, packing, reply_trees, secret_scan, token_counts, top_k
+from . import (
+    fingerprints,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    reply_trees,
+    secret_scan,
+    token_counts,
+    top_k,
+    toxicity,
+)
 from .shipping import ship
+from .spread import shuffled_order
 from .tokenizers_by_path import vocabulary
 
 MIX_WEIGHTS, MIX_SHARE = (3, 1, 2), 1.5
@@ -37,6 +49,21 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language_id.in_fold("doc_id", 5, 0)
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.learn(docs.filter(~held_out), labels)
+    scored = toxicity.with_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        "worst_sentence",
+    )
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sized = _table(spark, folder, "documents").select("doc_id", "source", mixing.n_words("text").alias("size"))
     mixed = mixing.mix(materialize(sized, "sized"), MIX_WEIGHTS, MIX_SHARE)
@@ -54,6 +81,27 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def language_samples(docs: DataFrame) -> language_id.Samples:
+    """From the documents that the language model may learn from."""
+    learned = docs.filter(~language_id.in_fold("doc_id", 4, 2))
+    return language_id.collect_samples(learned.select("text", "lang", shuffled_order("doc_id").alias("order")))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    named = language_id.with_language(docs.select("doc_id", "text"), language_samples(docs))
+    return named.select(
+        "doc_id",
+        language_id.in_fold("doc_id", 4, 2).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )
+
+
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.neighbours(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Each conversation is a tree without forks: every row replies to the one before.
 
@@ -91,6 +139,12 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = near_dedup.near_duplicates(docs, width=3, similarity="0.85")
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     packed = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), SEQUENCE_TOKENS)
@@ -104,5 +158,16 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_secret_scan, op3_mixing, op4_token_counts, op7_chat_format, op9_packing, op10_top_k)
+        for f in (
+            op1_secret_scan,
+            op2_toxicity,
+            op3_mixing,
+            op4_token_counts,
+            op5_language_id,
+            op6_fingerprints,
+            op7_chat_format,
+            op8_near_dedup,
+            op9_packing,
+            op10_top_k,
+        )
     }

@@ -38,9 +38,9 @@ def crossing_free(path: str) -> bool:
     )
 
 
-def _starts(model, text: str, begin: int, shift: int) -> list[int]:
-    """Where in the whole text each token of a chunk begins."""
-    return [begin + max(p.begin - shift, 0) for p in model.encode(text, out_type="immutable_proto").pieces]
+def _starts(model, text: str, begin: int) -> list[int]:
+    """Where in the whole text each token of a chunk begins, in code points."""
+    return [begin + token[0] for token in model.encode(text, return_type="offset_mapping")["offsets"]]
 
 
 def _stable(text: str, place: int) -> bool:
@@ -54,9 +54,9 @@ def _chunk(model, text: str, begin: int, end: int) -> list[int]:
     without it; one that does not, gets wrong tokens up to its first stable place only.
     """
     if begin and text[begin] == " ":
-        inside = _starts(model, text[begin + 1 : end], begin + 1, 0)
+        inside = _starts(model, text[begin + 1 : end], begin + 1)
         return [begin, *inside[1:]] if inside else [begin]
-    return _starts(model, text[begin:end], begin, 0)
+    return _starts(model, text[begin:end], begin)
 
 
 def count_long(model, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:

@@ -1,17 +1,74 @@
-"""From documents to packed sequences: five stages, each a written table."""
+"""From documents to packed sequences: five stages, each written as Parquet and read again.
+
+Every stage gets (spark, docs, sf_dir), works on all rows of ``docs`` and returns a
+DataFrame; all but the last return the columns of documents. Nothing is capped or sampled.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from creatorlens.llm import language_id, mixing, near_dedup, packing, secret_scan
+from creatorlens.llm.queries import MIX_SHARE, MIX_WEIGHTS, SEQUENCE_TOKENS, language_samples
+from creatorlens.llm.shipping import ship
+from creatorlens.llm.tokenizers_by_path import vocabulary
+from creatorlens.sources.workspace import materialize
+
+SHINGLE_WORDS, SIMILARITY = 5, "0.8"
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go; a missing language is filled in."""
+    ship(spark)
+    named = language_id.with_language(docs, language_samples(docs))
+    kept = named.filter(F.col("lang_pred") != language_id.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    ship(spark)
+    return near_dedup.survivors(docs, width=SHINGLE_WORDS, similarity=SIMILARITY)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets give way to a mark; every document stays, with its new number of characters."""
+    text = secret_scan.redacted(F.col("text"), F.col("secret_spans"))
+    cleaned = secret_scan.scan(docs).withColumn("__clean", text)
+    found = F.size("secret_spans") > 0
+    return cleaned.withColumns(
+        {"text": F.col("__clean"), "n_chars": F.when(found, F.length("__clean")).otherwise(F.col("n_chars"))}
+    ).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per time that the mix takes a document; the last one of a source may be cut."""
+    ship(spark)
+    return mixing.mixed_documents(docs, MIX_WEIGHTS, MIX_SHARE)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their sequences and places."""
+    ship(spark)
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), SEQUENCE_TOKENS)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", known_language),
+    ("near_dedup", one_of_each),
+    ("secret_scan", without_secrets),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+#: SQL can't express the language model or the search for fillings.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

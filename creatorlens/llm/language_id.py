@@ -200,8 +200,8 @@ def with_language(docs: DataFrame, samples: Samples, text: str = "text") -> Data
     columns = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
     return (
         docs.select(*columns)
-        .withColumn("_found", identify(samples)(F.col(text)))
-        .select(*columns, F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("lang_score"))
+        .withColumn("__found", identify(samples)(F.col(text)))
+        .select(*columns, F.col("__found.lang").alias("lang_pred"), F.col("__found.score").alias("lang_score"))
     )
 
 

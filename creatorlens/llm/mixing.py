@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
+from ..operators.joins import lookup_join, measured_bytes
 from ..sources.workspace import materialize
 from .spread import SLICE_ROWS, running, shuffled_order
 
@@ -24,6 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 #: Words of a block, and blocks of an output shard.
 BLOCK_WORDS, SHARD_BLOCKS = 4_096, 1_024
+#: Draws up to this measured size are sent to the texts; more are joined by a shuffle.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def n_words(text: str = "text") -> Column:
@@ -200,13 +202,28 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
 
 
-def mixture(mixed: DataFrame) -> DataFrame:
-    """The mix itself: a row per draw with ``shard`` and ``place``, shuffled within shards."""
-    kept = [c for c in mixed.columns if c not in ("source_size", "target", "taken", "draws", "size")]
-    drawn = mixed.withColumn("_draw", F.explode("draws")).withColumn(
-        "text",
-        F.when(F.col("_draw.words") < F.col("size"), first_words(F.col("text"), F.col("_draw.words"))).otherwise(
-            F.col("text")
-        ),
+def mixed_documents(docs: DataFrame, weights: Sequence[int], share: float, **settings) -> DataFrame:
+    """The mix itself: a row per draw with the columns of ``docs`` (doc_id, source, text).
+
+    Only names and sizes are shuffled for the draws. A document of which the mix takes a
+    part ends with its last word taken, and its n_chars, if there, follows. The shards of
+    the draws are those of ``mix``; ``in_shards`` lays rows out by them.
+    """
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    sized = materialize(numbered.select("__row", "doc_id", "source", n_words("text").alias("size")), "sized")
+    drawn = mix(sized, weights, share, **settings).select("__row", F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    draws = materialize(drawn.select("__row", "__size", F.col("__draw.words").alias("__words")), "draws")
+    ids = F.broadcast(draws) if measured_bytes(draws) <= BROADCAST_BYTES else draws
+    part = F.col("__words") < F.col("__size")
+    taken = numbered.join(ids, "__row").withColumn(
+        "text", F.when(part, first_words(F.col("text"), F.col("__words"))).otherwise(F.col("text"))
     )
-    return drawn.select(*kept, F.col("_draw.shard").alias("shard"), F.col("_draw.place").alias("place"))
+    if "n_chars" in docs.columns:
+        taken = taken.withColumn("n_chars", F.when(part, F.length("text")).otherwise(F.col("n_chars")))
+    return taken.select(*docs.columns)
+
+
+def in_shards(mixed: DataFrame, shards: int) -> DataFrame:
+    """Rows of ``mix``, one per draw, in one partition per shard and shuffled within it."""
+    drawn = mixed.withColumn("draw", F.explode("draws")).select("*", "draw.*").drop("draws", "draw")
+    return drawn.repartition(shards, "shard").sortWithinPartitions("shard", "place")

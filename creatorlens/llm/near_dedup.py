@@ -318,3 +318,12 @@ def near_duplicates(
         "_row",
     )
     return out if "_row" in docs.columns else out.drop("_row")
+
+
+def survivors(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` without all but one of each component, all columns."""
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered.select(F.col("__row").alias("_row"), "doc_id", "text"), **settings)
+    gone = materialize(found.filter(~F.col("survivor")).select(F.col("_row").alias("__row")), "gone")
+    ids = F.broadcast(gone) if measured_bytes(gone) <= BROADCAST_BYTES else gone
+    return numbered.join(ids, "__row", "left_anti").select(*docs.columns)

@@ -200,7 +200,7 @@ def pack(pieces: DataFrame, capacity: int, *, length: str = "length", seed: int
         pieces.select(*columns)
         .withColumn("length", F.col(length).cast("long"))
         .join(slices, "length")
-        .withColumn("_order", shuffled_order(*columns, seed=seed))
+        .withColumn("_order", shuffled_order(*[c for c in columns if c != "ids"], seed=seed))
         .withColumn("_one", F.lit(1))
     )
     ranked = running(keyed, "length", "_order", "_one", F.col("_slices"), "_rank")

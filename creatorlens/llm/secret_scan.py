@@ -192,11 +192,11 @@ def scan(
         )
 
     return (
-        docs.withColumn("_base", base)
-        .withColumn("_all", F.array_sort(F.concat(F.col("_base"), *more)))
-        .withColumn("base_spans", named(F.col("_base")))
-        .withColumn("secret_spans", named(F.col("_all")))
-        .drop("_base", "_all")
+        docs.withColumn("__base", base)
+        .withColumn("__all", F.array_sort(F.concat(F.col("__base"), *more)))
+        .withColumn("base_spans", named(F.col("__base")))
+        .withColumn("secret_spans", named(F.col("__all")))
+        .drop("__base", "__all")
     )
 
 

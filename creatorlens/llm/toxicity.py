@@ -210,8 +210,8 @@ def with_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     columns = [c for c in docs.columns if c not in added]
     return (
         docs.select(*columns)
-        .withColumn("_found", scored(model)(F.col(text)))
-        .select(*columns, *[F.col(f"_found.{old}").alias(new) for old, new in zip(("score", "sentence", "log_odds"), added)])
+        .withColumn("__found", scored(model)(F.col(text)))
+        .select(*columns, *[F.col(f"__found.{old}").alias(new) for old, new in zip(("score", "sentence", "log_odds"), added)])
     )
 
 

@@ -33,6 +33,8 @@ SKETCH, DEVIATIONS = 96, 6.0
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: Members of a list that the others are compared with in a round: so many, then eight times more.
 FIRST_PIVOTS, MORE_PIVOTS = 1, 8
+#: Words whose hashes a task remembers.
+KEPT_WORDS = 100_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -42,7 +44,7 @@ def _word_hashes():
     def of(word: bytes) -> int:
         found = remembered.get(word)
         if found is None:
-            if len(remembered) >= 1_000_000:
+            if len(remembered) >= KEPT_WORDS:
                 remembered.clear()
             found = remembered[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return found

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 SAMPLES, TERMS = 64, 2**16
 #: Text of neighbours that one task holds.
 GROUP_BYTES = 8 * 1024 * 1024
+#: Words whose numbers a task remembers.
+KEPT_WORDS = 100_000
 _NONE = 0  # what an empty bag draws
 
 
@@ -50,7 +52,7 @@ def sketcher(samples: int = SAMPLES, terms: int = TERMS, seed: int = 0) -> Calla
     def term(word: str) -> int:
         found = remembered.get(word)
         if found is None:
-            if len(remembered) >= 1_000_000:
+            if len(remembered) >= KEPT_WORDS:
                 remembered.clear()
             found = remembered[word] = zlib.crc32(word.encode("utf-8", "replace")) % terms
         return found

@@ -136,10 +136,12 @@ def phrases(step: np.ndarray, columns: np.ndarray, lengths: np.ndarray) -> np.nd
         symbol = columns[place, :active]
         following = flat[state[:active] * _SYMBOLS + symbol]
         missed = np.flatnonzero(following == 0)
-        count[missed] += 1
-        following[missed] = start[symbol[missed]]
+        again = start[symbol[missed]]
+        # A phrase ends before the symbol; one that the sample lacks is a phrase of its own.
+        count[missed] += (state[missed] != 0).astype(np.int32) + (again == 0)
+        following[missed] = again
         state[:active] = following
-    return count + 1
+    return count + (state != 0)
 
 
 def classify(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:

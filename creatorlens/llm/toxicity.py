@@ -26,7 +26,7 @@ BEGINNINGS = (4, 5, 6, 7)
 #: A feature counts if so many documents of the sample have it, and how much more often toxic ones.
 LEAST_DOCS, LEAST_Z = 4, 2.0
 ROUNDS, RATE, DECAY = 200, 0.2, 1e-3
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 200_000
 _SENTENCE_END = re.compile(r"[.!?…。！？\n]+")
 _STRIP = "\"'`.,;:!?()[]{}<>|*_#-–—«»„“”‘’/\\&$%~^+="
 

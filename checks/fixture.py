@@ -135,11 +135,7 @@ class Dataset:
 
     @cached_property
     def raw_videos(self) -> DataFrame:
-        rows = make_raw_videos(self.spark, self.sf_dir)
-        cores = self.spark.sparkContext.defaultParallelism
-        if _read(self.spark, self.sf_dir, "orders").rdd.getNumPartitions() < cores:
-            rows = rows.repartition(cores)  # a small table is a single file
-        return save(rows, self.store, "raw_videos")
+        return save(make_raw_videos(self.spark, self.sf_dir), self.store, "raw_videos")
 
     @cached_property
     def marts(self) -> marts.Marts:
@@ -251,9 +247,15 @@ class Dataset:
 
     @property
     def video_lines(self) -> DataFrame:
-        """Video dumps; live ones spell out nulls; without a duration the line is cut off."""
+        """Video dumps by requested id; live ones spell out nulls; without a duration the line is cut off.
+
+        Some hold another id of their own, or a field of another type.
+        """
+        number = F.expr("cast(substring(video_id, 2) as bigint)")
         record = F.struct(
-            F.col("video_id").alias("id"),
+            F.when(number % 37 == 0, F.concat(F.lit("other-"), F.col("video_id")))
+            .otherwise(F.col("video_id"))
+            .alias("id"),
             "title",
             F.when(F.col("is_live"), F.repeat("description", F.lit(60)))
             .otherwise(F.col("description"))
@@ -278,9 +280,17 @@ class Dataset:
         line = F.when(F.col("is_live"), F.to_json(record, {"ignoreNullFields": "false"})).otherwise(
             F.to_json(record)
         )
+        for every, pattern, other in (
+            (17, r'"duration":(\d+)', '"duration":$1.0'),
+            (19, r'"view_count":(\d+)', '"view_count":"$1"'),
+            (23, r'"tags":\[[^\]]*\]', '"tags":"x"'),
+            (29, '"is_live":true', '"is_live":"true"'),
+            (31, r'"like_count":(\d+)', '"like_count":{"n":$1}'),
+        ):
+            line = F.when(number % every == 0, F.regexp_replace(line, pattern, other)).otherwise(line)
         cut = F.substring(line, F.lit(1), F.length(line) - 1)
         value = F.when(F.col("duration_seconds").isNull(), cut).otherwise(line)
-        return self.raw_videos.select(value.alias("value"))
+        return self.raw_videos.select(F.col("video_id").alias("requested_id"), value.alias("value"))
 
     @property
     def parsed_videos(self) -> DataFrame:
@@ -288,22 +298,27 @@ class Dataset:
 
     @property
     def channel_lines(self) -> tuple[DataFrame, DataFrame]:
-        """Channel listing lines and, for channels with known subscribers, extract lines."""
+        """Channel listing lines and, for channels with known subscribers, extract lines.
+
+        Every other line spells out nulls; some have no uploader, some extracts no id.
+        """
         niche = F.col("niche")
-        listing = F.to_json(
-            F.struct(
-                F.col("channel_name").alias("channel"),
-                F.when(F.col("region") == "ID", F.col("channel_id")).alias("channel_id"),
-                F.when(niche == "building", "").otherwise(F.col("channel_url")).alias("channel_url"),
-                F.col("config_name").alias("uploader"),
-                F.concat(F.lit("Listing of "), F.col("description")).alias("description"),
-                F.when(niche != "machinery", F.concat(F.lit("x"), F.col("channel_id"))).alias("url"),
-            )
+        number = F.expr("cast(substring(channel_id, 3) as bigint)")
+        listed = F.struct(
+            F.col("channel_name").alias("channel"),
+            F.when(F.col("region") == "ID", F.col("channel_id")).alias("channel_id"),
+            F.when(niche == "building", "").otherwise(F.col("channel_url")).alias("channel_url"),
+            F.when(number % 7 != 0, F.col("config_name")).alias("uploader"),
+            F.concat(F.lit("Listing of "), F.col("description")).alias("description"),
+            F.when(niche != "machinery", F.concat(F.lit("x"), F.col("channel_id"))).alias("url"),
         )
+        listing = F.when(
+            number % 2 == 0, F.to_json(listed, {"ignoreNullFields": "false"})
+        ).otherwise(F.to_json(listed))
         extract = F.to_json(
             F.struct(
                 F.when(F.col("region") == "ID", F.upper("channel_name")).alias("channel"),
-                "channel_id",
+                F.when(number % 5 != 0, F.col("channel_id")).alias("channel_id"),
                 F.lit("").alias("channel_url"),
                 F.when(niche != "furniture", F.repeat("description", F.lit(40))).alias(
                     "channel_description"

@@ -179,8 +179,9 @@ _INGEST = """
          CASE WHEN is_live THEN substr(repeat(description, 60), 1, 1000)
               ELSE description END AS description,
          channel_name, channel_id, channel_url, upload_date, duration_seconds, view_count,
-         CASE WHEN is_live THEN like_count ELSE coalesce(like_count, 0) END AS like_count,
-         comment_count, tags, categories, thumbnail_url, language, is_live, was_live, scraped_at
+         CASE WHEN o_orderkey % 31 = 0 AND like_count IS NOT NULL THEN NULL
+              WHEN is_live THEN like_count ELSE coalesce(like_count, 0) END AS like_count,
+         comment_count, CASE WHEN o_orderkey % 23 = 0 THEN '"x"' ELSE tags END AS tags, categories, thumbnail_url, language, is_live, was_live, scraped_at
   FROM raw_videos WHERE duration_seconds IS NOT NULL
 ), fresh AS (
   SELECT config_url, video_id, tab, position,
@@ -199,21 +200,22 @@ _INGEST = """
     FROM fresh WHERE config_url <> 'https://example.com/channel/UCMIX'
       AND video_id NOT IN (SELECT video_id FROM mix WHERE has_video)) f
   WHERE turn <= 20
+), records AS (
+  SELECT *, CAST(substr(channel_id, 3) AS BIGINT) AS number, CASE WHEN region = 'ID' THEN channel_id END AS listed_id,
+         subscriber_count IS NOT NULL AND niche <> 'machinery' AS extended FROM current_channels
 ), merged AS (
   SELECT channel_url AS config_url,
-         CASE WHEN subscriber_count IS NOT NULL AND niche <> 'machinery' THEN channel_id
-              WHEN region = 'ID' THEN channel_id ELSE '' END AS channel_id,
-         coalesce(CASE WHEN subscriber_count IS NOT NULL AND niche <> 'machinery'
-                            AND region = 'ID' THEN upper(channel_name) END,
-                  channel_name, config_name, '') AS channel_name,
+         CASE WHEN extended AND number % 5 <> 0 THEN channel_id
+              WHEN extended OR listed_id IS NOT NULL OR number % 2 = 0 THEN listed_id ELSE '' END AS channel_id,
+         coalesce(CASE WHEN extended AND region = 'ID' THEN upper(channel_name) END, channel_name,
+                  CASE WHEN number % 7 <> 0 THEN config_name WHEN number % 2 = 1 THEN '' END) AS channel_name,
          channel_url,
-         CASE WHEN niche <> 'machinery' THEN subscriber_count END AS subscriber_count,
-         CASE WHEN subscriber_count IS NOT NULL AND niche <> 'machinery' THEN
-                CASE WHEN niche = 'furniture' THEN ''
-                     ELSE substr(repeat(description, 40), 1, 500) END
-              ELSE concat('Listing of ', description) END AS description,
+         CASE WHEN extended THEN subscriber_count END AS subscriber_count,
+         CASE WHEN NOT extended THEN concat('Listing of ', description)
+              WHEN niche = 'furniture' THEN ''
+              ELSE substr(repeat(description, 40), 1, 500) END AS description,
          scraped_at
-  FROM current_channels
+  FROM records
 ), resolved AS (
   SELECT CASE WHEN s.subscriber_count IS NOT NULL THEN coalesce(s.channel_name, r.name)
               ELSE r.name END AS name,
@@ -675,6 +677,14 @@ def oracle_sql() -> dict[str, str]:
             "m.scraped_at, r.niche, r.region, r.name AS config_name "
             "FROM merged m JOIN registry r ON r.url = m.config_url"
         ),
+        "staged_channel_rows": _ingest(
+            "SELECT channel_id, channel_name, config_name, niche, region FROM ("
+            "SELECT m.channel_id, coalesce(m.channel_name, r.name) AS channel_name, r.name AS config_name, r.niche, r.region, "
+            "row_number() OVER (PARTITION BY m.channel_id ORDER BY m.scraped_at DESC, m.subscriber_count DESC NULLS LAST, "
+            "coalesce(m.channel_name, r.name) DESC) AS place "
+            "FROM merged m JOIN registry r ON r.url = m.config_url WHERE m.channel_id IS NOT NULL) "
+            "WHERE place = 1 AND coalesce(channel_name, '') <> '' AND channel_id <> ''"
+        ),
         "registry_flatten": _ingest(
             "SELECT config_name AS name, channel_url AS url, "
             "CASE WHEN region = 'ID' THEN channel_id END AS channel_id, niche, region, CAST(0 AS BIGINT) AS position "

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 from creatorlens import schemas
 from creatorlens.functions import fixed_values as fixed
 from creatorlens.operators import quality, reshape
-from creatorlens.plans import ingest, marts, metrics, reports, serving
+from creatorlens.plans import ingest, marts, metrics, reports, serving, staging
 from creatorlens.sources import dumps, registry
 from creatorlens.sources import tables as stores
 from creatorlens.sources.workspace import fresh_folder, materialize, read_parquet
@@ -400,6 +400,15 @@ def raw_channel_rows(d: Dataset) -> DataFrame:
     return ingest.raw_channels(d.registry, d.parsed_channels)
 
 
+@_registered
+def staged_channel_rows(d: Dataset) -> DataFrame:
+    """Staging of what the dumps give; rows with an empty id are one channel and left out here."""
+    rows = staging.stg_channels(ingest.raw_channels(d.registry, d.parsed_channels))
+    return rows.filter("channel_id <> ''").select(
+        "channel_id", "channel_name", "config_name", "niche", "region"
+    )
+
+
 @_registered
 def registry_flatten(d: Dataset) -> DataFrame:
     return registry.flatten(d.registry_documents)

@@ -76,11 +76,11 @@ def compact_number(value: Column, *, guarded: bool = True) -> Column:
 
 
 def percent(value: Column, *, guarded: bool = True) -> Column:
-    """A rate with two decimals; guarded text shows NULL and zero as ``0%``."""
-    wide = value.cast("double")
+    """A rate with two decimals, NULL as zero; guarded text shows zero as ``0%``."""
+    wide = F.coalesce(value.cast("double"), F.lit(0.0))
     text = F.concat(fixed_point(wide * 100, 2), F.lit("%"))
     if guarded:
-        return F.when(F.coalesce(wide, F.lit(0.0)) == 0, "0%").otherwise(text)
+        return F.when(wide == 0, "0%").otherwise(text)
     return text
 
 

@@ -21,48 +21,6 @@ _TEXT, _WHOLE, _FLAG = StringType(), LongType(), BooleanType()
 REGISTRY_ENTRY = _struct(name=_TEXT, url=_TEXT, channel_id=_TEXT, region=_TEXT)
 REGISTRY_DOCUMENT = MapType(_TEXT, ArrayType(REGISTRY_ENTRY))
 
-# one line of a channel's video or stream tab
-LISTING_RECORD = _struct(id=_TEXT, url=_TEXT)
-# the same as it lands in a drop folder: which registry URL, tab and place it came from
-LISTING_DROP = _struct(config_url=_TEXT, tab=_TEXT, position=_WHOLE, id=_TEXT, url=_TEXT)
-
-VIDEO_RECORD = _struct(
-    id=_TEXT,
-    title=_TEXT,
-    description=_TEXT,
-    channel=_TEXT,
-    channel_id=_TEXT,
-    channel_url=_TEXT,
-    upload_date=_TEXT,
-    duration=_WHOLE,
-    view_count=_WHOLE,
-    like_count=_WHOLE,
-    comment_count=_WHOLE,
-    tags=ArrayType(_TEXT),
-    categories=ArrayType(_TEXT),
-    thumbnail=_TEXT,
-    language=_TEXT,
-    is_live=_FLAG,
-    was_live=_FLAG,
-)
-CHANNEL_RECORD = _struct(
-    channel=_TEXT,
-    channel_id=_TEXT,
-    channel_url=_TEXT,
-    uploader=_TEXT,
-    description=_TEXT,
-    url=_TEXT,
-    webpage_url=_TEXT,
-)
-CHANNEL_EXTRACT = _struct(
-    channel=_TEXT,
-    channel_id=_TEXT,
-    channel_url=_TEXT,
-    channel_description=_TEXT,
-    channel_follower_count=_WHOLE,
-)
-SEARCH_RECORD = _struct(channel=_TEXT, channel_id=_TEXT, channel_url=_TEXT, uploader=_TEXT)
-
 RAW_CHANNELS = _struct(
     channel_id=_TEXT,
     channel_name=_TEXT,

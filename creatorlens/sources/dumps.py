@@ -2,42 +2,64 @@
 
 Every parser takes the raw lines in column ``value`` (as ``spark.read.text`` or
 ``spark.readStream.text`` gives them), so batch, stream and tests share it.
-Lines that are not JSON are skipped.
+Lines that are not JSON objects are skipped; no other line is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from .. import schemas
 from ..functions import fixed_values as fixed
 from ..functions.display import absolute_url
 from ..functions.scalars import clip, first_filled, iso_day
 from ..operators.ranking import first_per_key
 
-_BAD = "_bad"
+_RECORD = "_record"
 
 
-def _parse(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Adds ``record``; malformed and blank lines are gone.
+def _parse(lines: DataFrame) -> DataFrame:
+    """Adds the parsed line, a map from its keys to variants; other lines are gone.
 
-    The record leaves a generator that yields nothing for a bad line: a filter on
-    the parsed record would be pushed down and parse every line again.
+    Each line is parsed once and field by field: a value of another type than expected
+    costs that field only. The map leaves a generator that yields nothing for a line
+    that is no JSON object: a filter on fields would be pushed below and parse again.
     """
-    with_bad = StructType([*schema.fields, StructField(_BAD, StringType())])
-    record = F.from_json(
-        "value", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    )
-    good = F.filter(F.array(record), lambda r: r.isNotNull() & r[_BAD].isNull())
-    return lines.select("*", F.explode(good).alias("record"))
+    record = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
+    return lines.select("*", F.explode(F.filter(F.array(record), lambda r: r.isNotNull())).alias(_RECORD))
+
+
+def _variant(name: str) -> Column:
+    return F.col(_RECORD)[name]
+
+
+def _text(name: str) -> Column:
+    """The field as text; NULL where it is absent, null or nested."""
+    return F.try_variant_get(_variant(name), "$", "string")
+
+
+def _whole(name: str) -> Column:
+    """The field as a whole number, also from ``61.0`` or ``"61"``; NULL for anything else."""
+    wide = F.try_variant_get(_variant(name), "$", "double")
+    return F.when(wide == F.floor(wide), F.try_variant_get(_variant(name), "$", "bigint"))
+
 
+def _flag(name: str) -> Column:
+    """The field as a flag; text and numbers that name no flag count by being there."""
+    named = F.try_variant_get(_variant(name), "$", "boolean")
+    return F.coalesce(named, F.nullif(_text(name), F.lit("")).isNotNull())
 
-def _value_or(name: str, default) -> Column:
-    """The field, or ``default`` when its key is absent; an explicit null stays NULL."""
-    present = F.array_contains("keys", name)
-    return F.when(present, F.col(f"record.{name}")).otherwise(F.lit(default))
+
+def _json_list(name: str) -> Column:
+    """The field as compact JSON, whatever it holds; empty, zero and false as ``[]``."""
+    written = F.to_json(_variant(name))
+    empty = written.isin("null", "[]", "{}", '""', "false", "0", "0.0")
+    return F.when(written.isNotNull() & ~empty, written).otherwise("[]")
+
+
+def _value_or(name: str, value: Column, default) -> Column:
+    """The value, or ``default`` when its key is absent; an explicit null stays NULL."""
+    return F.when(F.map_contains_key(_RECORD, name), value).otherwise(F.lit(default))
 
 
 def _stamp(scraped_at: Column | str) -> Column:
@@ -47,56 +69,53 @@ def _stamp(scraped_at: Column | str) -> Column:
 
 def parse_listing(lines: DataFrame) -> DataFrame:
     """Listing lines as ``video_id`` next to the other columns of ``lines``."""
-    video_id = first_filled(F.col("record.id"), F.col("record.url"))
     return (
-        _parse(lines, schemas.LISTING_RECORD)
-        .withColumn("video_id", video_id)
-        .drop("record", "value")
+        _parse(lines)
+        .withColumn("video_id", first_filled(_text("id"), _text("url")))
+        .drop(_RECORD, "value")
         .filter(F.col("video_id").isNotNull())
     )
 
 
 def parse_listing_drops(lines: DataFrame) -> DataFrame:
     """Self-describing listing lines: (config_url, tab, position, video_id)."""
-    record = F.col("record")
     return (
-        _parse(lines, schemas.LISTING_DROP)
+        _parse(lines)
         .select(
-            record["config_url"].alias("config_url"),
-            record["tab"].alias("tab"),
-            record["position"].alias("position"),
-            first_filled(record["id"], record["url"]).alias("video_id"),
+            _text("config_url").alias("config_url"),
+            _text("tab").alias("tab"),
+            _whole("position").alias("position"),
+            first_filled(_text("id"), _text("url")).alias("video_id"),
         )
         .filter(F.col("video_id").isNotNull())
     )
 
 
 def parse_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
-    """Video dump lines as raw video rows, still without niche and region."""
-    parsed = _parse(lines, schemas.VIDEO_RECORD).withColumn("keys", F.json_object_keys("value"))
-    record = F.col("record")
-
-    def json_list(name: str) -> Column:
-        return F.to_json(F.coalesce(record[name], F.array().cast("array<string>")))
-
-    return parsed.select(
-        record["id"].alias("video_id"),
-        _value_or("title", "").alias("title"),
-        clip(record["description"], fixed.VIDEO_TEXT_LIMIT).alias("description"),
-        _value_or("channel", "").alias("channel_name"),
-        _value_or("channel_id", "").alias("channel_id"),
-        _value_or("channel_url", "").alias("channel_url"),
-        iso_day(record["upload_date"]).alias("upload_date"),
-        record["duration"].alias("duration_seconds"),
-        _value_or("view_count", 0).alias("view_count"),
-        _value_or("like_count", 0).alias("like_count"),
-        _value_or("comment_count", 0).alias("comment_count"),
-        json_list("tags").alias("tags"),
-        json_list("categories").alias("categories"),
-        _value_or("thumbnail", "").alias("thumbnail_url"),
-        record["language"].alias("language"),
-        F.coalesce(record["is_live"], F.lit(False)).alias("is_live"),
-        F.coalesce(record["was_live"], F.lit(False)).alias("was_live"),
+    """Video dump lines as raw video rows, still without niche and region.
+
+    The key of a video is the id it was asked for, in column ``requested_id`` if the
+    lines have it; the dump's own id may be another.
+    """
+    requested = [F.col("requested_id")] if "requested_id" in lines.columns else []
+    return _parse(lines).select(
+        F.coalesce(*requested, _text("id")).alias("video_id"),
+        _value_or("title", _text("title"), "").alias("title"),
+        clip(_text("description"), fixed.VIDEO_TEXT_LIMIT).alias("description"),
+        _value_or("channel", _text("channel"), "").alias("channel_name"),
+        _value_or("channel_id", _text("channel_id"), "").alias("channel_id"),
+        _value_or("channel_url", _text("channel_url"), "").alias("channel_url"),
+        iso_day(_text("upload_date")).alias("upload_date"),
+        _whole("duration").alias("duration_seconds"),
+        _value_or("view_count", _whole("view_count"), 0).alias("view_count"),
+        _value_or("like_count", _whole("like_count"), 0).alias("like_count"),
+        _value_or("comment_count", _whole("comment_count"), 0).alias("comment_count"),
+        _json_list("tags").alias("tags"),
+        _json_list("categories").alias("categories"),
+        _value_or("thumbnail", _text("thumbnail"), "").alias("thumbnail_url"),
+        _text("language").alias("language"),
+        _flag("is_live").alias("is_live"),
+        _flag("was_live").alias("was_live"),
         _stamp(scraped_at),
     )
 
@@ -106,44 +125,60 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
 
     Both inputs hold ``config_url`` (the registry URL, one line each) and ``value``.
     Fields of the extract come first; its description replaces the listing's even
-    when empty.
+    when empty. Without an extract an absent channel id is empty text; with one, an id
+    that neither record has is NULL.
     """
-    listed = (
-        _parse(listing, schemas.CHANNEL_RECORD)
-        .withColumn("keys", F.json_object_keys("value"))
-        .withColumn("listed_id", _value_or("channel_id", ""))
-        .select("config_url", "listed_id", F.col("record").alias("listed"))
+    listed = _parse(listing).select(
+        "config_url",
+        F.struct(
+            _text("channel").alias("channel"),
+            _value_or("uploader", _text("uploader"), "").alias("uploader"),
+            _text("channel_id").alias("channel_id"),
+            _value_or("channel_id", _text("channel_id"), "").alias("id_or_empty"),
+            _text("channel_url").alias("channel_url"),
+            _text("description").alias("description"),
+            first_filled(_text("url"), _text("webpage_url")).alias("address"),
+        ).alias("listed"),
     )
-    extracted = _parse(extracts, schemas.CHANNEL_EXTRACT).select(
-        "config_url", F.col("record").alias("full")
+    extracted = _parse(extracts).select(
+        "config_url",
+        F.struct(
+            _text("channel").alias("channel"),
+            F.nullif(_text("channel_id"), F.lit("")).alias("channel_id"),
+            _text("channel_url").alias("channel_url"),
+            _text("channel_description").alias("description"),
+            _whole("channel_follower_count").alias("subscribers"),
+        ).alias("extract"),
     )
     joined = listed.join(extracted, "config_url", "left")
-    has_address = first_filled(F.col("listed.url"), F.col("listed.webpage_url")).isNotNull()
-    full = F.when(has_address, F.col("full"))
-    listed_row = F.col("listed")
-    description = F.when(full.isNotNull(), full["channel_description"]).otherwise(
-        listed_row["description"]
-    )
+    line = F.col("listed")
+    full = F.when(line["address"].isNotNull(), F.col("extract"))
+    extended = full.isNotNull()
     return joined.select(
         "config_url",
-        F.coalesce(F.nullif(full["channel_id"], F.lit("")), F.col("listed_id")).alias("channel_id"),
-        F.coalesce(
-            first_filled(full["channel"], listed_row["channel"], listed_row["uploader"]), F.lit("")
-        ).alias("channel_name"),
-        first_filled(
-            full["channel_url"], listed_row["channel_url"], F.col("config_url")
-        ).alias("channel_url"),
-        full["channel_follower_count"].alias("subscriber_count"),
-        clip(description, fixed.CHANNEL_TEXT_LIMIT).alias("description"),
+        F.when(extended, F.coalesce(full["channel_id"], line["channel_id"]))
+        .otherwise(line["id_or_empty"])
+        .alias("channel_id"),
+        F.coalesce(first_filled(full["channel"], line["channel"]), line["uploader"]).alias(
+            "channel_name"
+        ),
+        first_filled(full["channel_url"], line["channel_url"], F.col("config_url")).alias(
+            "channel_url"
+        ),
+        full["subscribers"].alias("subscriber_count"),
+        clip(
+            F.when(extended, full["description"]).otherwise(line["description"]),
+            fixed.CHANNEL_TEXT_LIMIT,
+        ).alias("description"),
         _stamp(scraped_at),
     )
 
 
 def channel_probe_urls(listing: DataFrame) -> DataFrame:
     """Address of the video to extract for each listed channel."""
-    address = first_filled(F.col("record.url"), F.col("record.webpage_url"))
+    address = first_filled(_text("url"), _text("webpage_url"))
     return (
-        _parse(listing, schemas.CHANNEL_RECORD)
+        _parse(listing)
         .select("config_url", absolute_url(address).alias("video_url"))
         .filter(F.col("video_url").isNotNull())
     )
@@ -151,16 +186,15 @@ def channel_probe_urls(listing: DataFrame) -> DataFrame:
 
 def first_hits(lines: DataFrame) -> DataFrame:
     """First search hit with a channel URL per (name, niche), in ``position`` order."""
-    record = F.col("record")
     hits = (
-        _parse(lines, schemas.SEARCH_RECORD)
+        _parse(lines)
         .select(
             "name",
             "niche",
             "position",
-            first_filled(record["channel"], record["uploader"]).alias("channel"),
-            record["channel_id"].alias("channel_id"),
-            F.nullif(record["channel_url"], F.lit("")).alias("channel_url"),
+            first_filled(_text("channel"), _text("uploader")).alias("channel"),
+            _text("channel_id").alias("channel_id"),
+            F.nullif(_text("channel_url"), F.lit("")).alias("channel_url"),
         )
         .filter(F.col("channel_url").isNotNull())
     )
@@ -169,12 +203,11 @@ def first_hits(lines: DataFrame) -> DataFrame:
 
 def observed_channels(lines: DataFrame) -> DataFrame:
     """What a working registry URL (column ``url``) answered."""
-    record = F.col("record")
-    return _parse(lines, schemas.SEARCH_RECORD).select(
+    return _parse(lines).select(
         "url",
-        record["channel"].alias("channel"),
-        record["channel_id"].alias("channel_id"),
-        record["channel_url"].alias("channel_url"),
+        _text("channel").alias("channel"),
+        _text("channel_id").alias("channel_id"),
+        _text("channel_url").alias("channel_url"),
     )
 
 

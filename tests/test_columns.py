@@ -105,7 +105,7 @@ def test_percent(spark):
         "0%", "0%", "12.35%", "100.00%",
     ]
     plain = lambda x: display.percent(x, guarded=False)
-    assert evaluate(spark, "double", [None, 0.0], plain) == [None, "0.00%"]
+    assert evaluate(spark, "double", [None, 0.0], plain) == ["0.00%", "0.00%"]
 
 
 def test_duration_text(spark):

@@ -48,12 +48,19 @@ def test_video_fields(spark):
              "view_count": None, "like_count": None, "comment_count": None, "tags": None,
              "is_live": None, "thumbnail": None},
             {"id": "odd", "upload_date": "yesterday", "title": "日本"},
-            '{"id":"cut"',
+            {"id": "types", "duration": 61.0, "view_count": "5", "like_count": {"n": 1}, "comment_count": 1.5,
+             "is_live": "true", "was_live": 0, "tags": "x", "categories": [1, "b"], "title": 7},
+            '{"id":"cut"', "[1]", "7", "null",
         ),
         NOW,
     )
     got = {row.video_id: row for row in rows.collect()}
-    assert set(got) == {"full", "absent", "nulls", "odd"}
+    assert set(got) == {"full", "absent", "nulls", "odd", "types"}
+    types = got["types"]
+    assert (types.duration_seconds, types.view_count, types.like_count, types.comment_count) == (61, 5, None, None)
+    assert (types.is_live, types.was_live, types.tags, types.categories, types.title) == (
+        True, False, '"x"', '[1,"b"]', "7",
+    )
     full, absent, nulls = got["full"], got["absent"], got["nulls"]
     assert (full.upload_date, len(full.description), full.tags) == ("2024-01-31", 1000, '["a","b"]')
     assert (full.categories, full.is_live, full.was_live) == ("[]", True, False)
@@ -65,10 +72,15 @@ def test_video_fields(spark):
     assert (got["odd"].upload_date, got["odd"].title) == ("yesterday", "日本")
 
 
+def test_videos_are_known_by_the_requested_id(spark):
+    asked = spark.createDataFrame([("r", '{"id":"own"}'), (None, '{"id":"b"}')], "requested_id string, value string")
+    assert [row.video_id for row in dumps.parse_videos(asked, NOW).collect()] == ["r", "b"]
+
+
 def test_lines_are_parsed_once(spark):
     plan = dumps.parse_videos(lines(spark, {"id": "a"}), NOW)
     text = plan.filter("view_count > 3")._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("from_json(") == 1
+    assert text.lower().count("parse_json(") + text.count("parseJson") == 1
 
 
 def test_channel_merge(spark):
@@ -80,18 +92,24 @@ def test_channel_merge(spark):
         ("u2", {"channel": "", "uploader": "U", "webpage_url": "http://w", "description": "x" * 600}),
         ("u3", {"channel": "N", "channel_id": None}),
         ("u4", {"channel": "only", "channel_id": "o"}),
+        ("u5", {"channel": None, "uploader": None, "url": "v5"}),
+        ("u6", {"channel": None, "url": "v6", "description": 5}),
     )
     extract = keyed(
         ("u1", {"channel": "F", "channel_id": "", "channel_follower_count": 9}),
         ("u4", {"channel": "not read", "channel_follower_count": 1}),
+        ("u6", {"channel_follower_count": "12"}),
     )
     got = {row.config_url: row for row in dumps.parse_channels(listing, extract, NOW).collect()}
     assert tuple(got["u1"])[1:6] == ("l", "F", "lu", 9, "")
     assert tuple(got["u2"])[1:5] == ("", "U", "u2", None) and len(got["u2"].description) == 500
     assert (got["u3"].channel_id, got["u3"].description) == (None, "")
     assert (got["u4"].channel_name, got["u4"].subscriber_count) == ("only", None)
+    assert (got["u5"].channel_name, got["u5"].channel_id) == (None, "")
+    assert tuple(got["u6"])[1:6] == (None, "", "u6", 12, "")
     urls = {row.config_url: row.video_url for row in dumps.channel_probe_urls(listing).collect()}
-    assert urls == {"u1": "https://www.youtube.com/watch?v=v1", "u2": "http://w"}
+    watch = "https://www.youtube.com/watch?v="
+    assert urls == {"u1": watch + "v1", "u2": "http://w", "u5": watch + "v5", "u6": watch + "v6"}
 
 
 # registry

@@ -26,6 +26,7 @@ AS_OF = date(2001, 8, 2)
 NICHES = ("automobile", "building", "furniture", "household", "machinery")
 CHANNEL = "UC7"
 MIX_URL = "https://example.com/channel/UCMIX"
+LAST_POSITION = 10**15
 SCRAPED_AT = "2001-08-01T00:00:00+00:00"
 LOADED_BEFORE = "2001-01-01"
 
@@ -171,7 +172,10 @@ class Dataset:
 
     @property
     def registry(self) -> DataFrame:
-        """One entry per channel in key order, after one that relists streams of all others."""
+        """One entry per channel in key order, after one that relists streams of all others.
+
+        The last entry has the URL of the first again, with another niche.
+        """
         number = F.expr("cast(substring(channel_id, 3) as bigint)")
         own = self.current_channels.select(
             first_filled(F.col("config_name"), F.col("channel_id")).alias("name"),
@@ -181,13 +185,12 @@ class Dataset:
             "region",
             (number + 1).alias("position"),
         )
-        mix = self.spark.range(1).select(
-            F.lit("mix").alias("name"),
-            F.lit(MIX_URL).alias("url"),
-            F.lit("UCMIX").alias("channel_id"),
-            F.lit("household").alias("niche"),
-            F.lit("GLOBAL").alias("region"),
-            F.col("id").alias("position"),
+        mix = self.spark.createDataFrame(
+            [
+                ("mix", MIX_URL, "UCMIX", "household", "GLOBAL", 0),
+                ("mix-again", MIX_URL, "UCMIX", "machinery", "ID", LAST_POSITION),
+            ],
+            own.schema,
         )
         return own.unionByName(mix)
 

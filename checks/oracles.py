@@ -139,6 +139,29 @@ _MODELS = """
     FROM niche_benchmarks) n ON m.niche = n.niche
 )"""
 
+def _claims(fresh: str, suffix: str = "") -> str:
+    """The entries one by one: the mix, the channels (which share nothing), the mix again."""
+    mix_url = "'https://example.com/channel/UCMIX'"
+    return f"""mix{suffix} AS (
+  SELECT 0 AS entry, config_url, video_id, has_video FROM (
+    SELECT *, row_number() OVER (ORDER BY position) AS turn FROM {fresh} WHERE config_url = {mix_url}) m
+  WHERE turn <= 20
+), own{suffix} AS (
+  SELECT r.position AS entry, config_url, video_id, has_video FROM (
+    SELECT *, row_number() OVER (PARTITION BY config_url ORDER BY tab DESC, position) AS turn
+    FROM {fresh} WHERE config_url <> {mix_url}
+      AND video_id NOT IN (SELECT video_id FROM mix{suffix} WHERE has_video)) f
+  JOIN registry r ON r.url = f.config_url WHERE turn <= 20
+), again{suffix} AS (
+  SELECT 1000000000000000 AS entry, config_url, video_id, has_video FROM (
+    SELECT *, row_number() OVER (ORDER BY position) AS turn FROM {fresh} WHERE config_url = {mix_url}
+      AND video_id NOT IN (SELECT video_id FROM mix{suffix} WHERE has_video UNION ALL
+                           SELECT video_id FROM own{suffix} WHERE has_video)) m
+  WHERE turn <= 20
+), claimed{suffix} AS (
+  SELECT * FROM mix{suffix} UNION ALL SELECT * FROM own{suffix} UNION ALL SELECT * FROM again{suffix}"""
+
+
 _INGEST = """
 , registry AS (
   SELECT CASE WHEN c_custkey % 121 = 0 THEN concat('UC', CAST(c_custkey AS VARCHAR))
@@ -149,6 +172,8 @@ _INGEST = """
   FROM cfg
   UNION ALL
   SELECT 'mix', 'https://example.com/channel/UCMIX', 'UCMIX', 'household', 'GLOBAL', 0
+  UNION ALL
+  SELECT 'mix-again', 'https://example.com/channel/UCMIX', 'UCMIX', 'machinery', 'ID', 1000000000000000
 ), current_channels AS (
   SELECT * FROM raw_channels WHERE scraped_at = '2001-08-01T00:00:00+00:00'
 ), placed AS (
@@ -187,19 +212,7 @@ _INGEST = """
   SELECT config_url, video_id, tab, position,
          video_id IN (SELECT video_id FROM parsed) AS has_video
   FROM listed WHERE video_id NOT IN (SELECT video_id FROM loaded)
-), mix AS (
-  SELECT config_url, video_id, has_video FROM (
-    SELECT *, row_number() OVER (ORDER BY position) AS turn FROM fresh
-    WHERE config_url = 'https://example.com/channel/UCMIX') m
-  WHERE turn <= 20
-), claimed AS (
-  SELECT * FROM mix
-  UNION ALL
-  SELECT config_url, video_id, has_video FROM (
-    SELECT *, row_number() OVER (PARTITION BY config_url ORDER BY tab DESC, position) AS turn
-    FROM fresh WHERE config_url <> 'https://example.com/channel/UCMIX'
-      AND video_id NOT IN (SELECT video_id FROM mix WHERE has_video)) f
-  WHERE turn <= 20
+), {claims}
 ), records AS (
   SELECT *, CAST(substr(channel_id, 3) AS BIGINT) AS number, CASE WHEN region = 'ID' THEN channel_id END AS listed_id,
          subscriber_count IS NOT NULL AND niche <> 'machinery' AS extended FROM current_channels
@@ -220,17 +233,17 @@ _INGEST = """
   SELECT CASE WHEN s.subscriber_count IS NOT NULL THEN coalesce(s.channel_name, r.name)
               ELSE r.name END AS name,
          CASE WHEN s.subscriber_count IS NOT NULL THEN r.url
-              WHEN r.name = 'mix' THEN r.url
+              WHEN r.name LIKE 'mix%' THEN r.url
               WHEN r.region = 'ID' THEN concat('https://example.com/found/', r.channel_id)
               WHEN r.niche = 'building' THEN concat('https://example.com/found/', r.channel_id, '/b')
               ELSE r.url END AS url,
          CASE WHEN s.subscriber_count IS NOT NULL THEN r.channel_id
-              WHEN r.name = 'mix' THEN ''
+              WHEN r.name LIKE 'mix%' THEN ''
               WHEN r.region = 'ID' THEN NULL
               WHEN r.niche = 'building' THEN r.channel_id ELSE '' END AS channel_id,
          r.niche, r.region,
          CASE WHEN s.subscriber_count IS NOT NULL THEN 'valid'
-              WHEN r.name <> 'mix' AND (r.region = 'ID' OR r.niche = 'building')
+              WHEN r.name NOT LIKE 'mix%' AND (r.region = 'ID' OR r.niche = 'building')
               THEN 'found_via_search' ELSE 'not_found' END AS status,
          r.position
   FROM registry r LEFT JOIN current_channels s ON r.url = s.channel_url
@@ -246,7 +259,7 @@ def _models(select: str) -> str:
 
 
 def _ingest(select: str) -> str:
-    return f"WITH {_RAW}{_INGEST}\n{select}"
+    return f"WITH {_RAW}{_INGEST.replace('{claims}', _claims('fresh'))}\n{select}"
 
 
 # text forms
@@ -710,26 +723,26 @@ def oracle_sql() -> dict[str, str]:
         ),
         "incremental_new_videos": _ingest(
             "SELECT p.video_id, p.title, p.channel_id, p.view_count, r.niche, r.region "
-            "FROM claimed c JOIN registry r ON r.url = c.config_url JOIN parsed p ON p.video_id = c.video_id"
+            "FROM claimed c JOIN registry r ON r.position = c.entry JOIN parsed p ON p.video_id = c.video_id"
         ),
         "incremental_report": _ingest(
-            "SELECT r.url AS config_url, r.name, r.niche, r.region, r.name <> 'mix' AS channel_loaded, "
+            "SELECT r.url AS config_url, r.name, r.niche, r.region, r.name NOT LIKE 'mix%' AS channel_loaded, "
             "(SELECT count(*) FROM listed l WHERE l.config_url = r.url) AS total_found, "
             "(SELECT count(*) FROM listed l WHERE l.config_url = r.url) "
             "- (SELECT count(*) FROM fresh f WHERE f.config_url = r.url) AS existing, "
-            "(SELECT count(*) FROM claimed c WHERE c.config_url = r.url AND c.has_video) AS new_videos, "
-            "(SELECT count(*) FROM claimed c WHERE c.config_url = r.url AND c.has_video) = 0 AS skipped "
+            "(SELECT count(*) FROM claimed c WHERE c.entry = r.position AND c.has_video) AS new_videos, "
+            "(SELECT count(*) FROM claimed c WHERE c.entry = r.position AND c.has_video) = 0 AS skipped "
             "FROM registry r"
         ),
         "run_report": _ingest(
-            "SELECT count(*) AS channels, CAST(count(*) FILTER (WHERE name <> 'mix') AS BIGINT) AS channels_loaded, "
-            "CAST(count(*) FILTER (WHERE name = 'mix') AS BIGINT) AS channels_failed, "
+            "SELECT count(*) AS channels, CAST(count(*) FILTER (WHERE name NOT LIKE 'mix%') AS BIGINT) AS channels_loaded, "
+            "CAST(count(*) FILTER (WHERE name LIKE 'mix%') AS BIGINT) AS channels_failed, "
             "CAST(count(*) FILTER (WHERE n = 0) AS BIGINT) AS channels_skipped, "
             "CAST(sum(n) AS BIGINT) AS videos_loaded FROM (SELECT r.name, "
             "(SELECT count(*) FROM listed_10 l JOIN parsed p ON p.video_id = l.video_id "
             "WHERE l.config_url = r.url) AS n FROM registry r) s"
         ),
-        "failed_channels": _ingest("SELECT url, name, niche FROM registry WHERE name = 'mix'"),
+        "failed_channels": _ingest("SELECT url, name, niche FROM registry WHERE name LIKE 'mix%'"),
         "full_reload": _ingest(
             "SELECT p.video_id, p.channel_id, p.upload_date, p.view_count, r.niche, r.region "
             "FROM listed_10 l JOIN registry r ON r.url = l.config_url JOIN parsed p ON p.video_id = l.video_id"
@@ -737,19 +750,9 @@ def oracle_sql() -> dict[str, str]:
         "incremental_reload": _ingest(
             """, fresh_2 AS (
   SELECT * FROM fresh WHERE video_id NOT IN (SELECT video_id FROM claimed WHERE has_video)
-), mix_2 AS (
-  SELECT config_url, video_id, has_video FROM (
-    SELECT *, row_number() OVER (ORDER BY position) AS turn FROM fresh_2
-    WHERE config_url = 'https://example.com/channel/UCMIX') m
-  WHERE turn <= 20
-), claimed_2 AS (
-  SELECT * FROM mix_2
-  UNION ALL
-  SELECT config_url, video_id, has_video FROM (
-    SELECT *, row_number() OVER (PARTITION BY config_url ORDER BY tab DESC, position) AS turn
-    FROM fresh_2 WHERE config_url <> 'https://example.com/channel/UCMIX'
-      AND video_id NOT IN (SELECT video_id FROM mix_2 WHERE has_video)) f
-  WHERE turn <= 20
+), """
+            + _claims("fresh_2", "_2")
+            + """
 ), stored AS (
   SELECT video_id, channel_id FROM raw_videos WHERE upload_date < '2001-01-01'
   UNION ALL SELECT p.video_id, p.channel_id FROM claimed c JOIN parsed p ON p.video_id = c.video_id

@@ -21,6 +21,8 @@ from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
 from ..sources.workspace import materialize
 
 _LISTED_ORDER = ("tab_order", "position")
+# parts of the contested entries that a round can read by themselves, and rounds kept apart
+_BUCKETS, _BATCHES = 64, 8
 
 
 def _tab_order() -> Column:
@@ -78,14 +80,17 @@ def failed_channels(registry: DataFrame, channels: DataFrame) -> DataFrame:
 def raw_videos(listed: DataFrame, registry: DataFrame, videos: DataFrame) -> DataFrame:
     """Parsed videos of the listed ids, stamped from the registry.
 
-    Ids without a parsed video drop out. One video may be listed by very many
-    channels, so the join spreads such ids.
+    Rows that name a registry entry get the stamp of that entry, others one row for each
+    entry with their URL. Ids without a parsed video drop out. One video may be listed
+    by very many channels, so the join spreads such ids.
     """
-    stamp = registry.select(F.col("url").alias("config_url"), "niche", "region")
-    stamped = lookup_join(
-        listed.select("config_url", "video_id"), stamp, "config_url", how="inner"
+    key = "entry" if "entry" in listed.columns else "config_url"
+    source = "position" if key == "entry" else "url"
+    stamp = registry.select(F.col(source).alias(key), "niche", "region")
+    stamped = materialize(
+        lookup_join(listed.select(key, "video_id"), stamp, key, how="inner"), "stamped"
     )
-    joined = spread_join(stamped, videos, "video_id", how="inner", spread_by=["config_url"])
+    joined = spread_join(stamped, videos, "video_id", how="inner", spread_by=[key])
     return coerce(joined, schemas.RAW_VIDEOS)
 
 
@@ -107,46 +112,100 @@ def claims(
     videos: DataFrame,
     max_new: int = fixed.MAX_NEW_VIDEOS,
 ) -> DataFrame:
-    """Which channel loads which new video: (config_url, video_id, has_video).
-
-    Channels count in registry order: each takes its first ``max_new`` listed ids
-    that are neither loaded before nor taken by an earlier channel. An id without
-    a parsed video uses up a place but is not taken from later channels.
-
-    Instead of going through the channels one by one, all of them offer for their
-    first ids at once; an id goes to the earliest channel offering, and the others
-    offer for their next ids in the following round. That ends with the same
-    outcome. Two rounds are typical: channels rarely list each other's videos.
+    """Which registry entry loads which new video: (entry, config_url, video_id, has_video).
+
+    Entries count by their ``position``, two of them with one URL are two. Each takes its
+    first ``max_new`` listed ids that are neither loaded before nor taken by an earlier
+    entry. An id without a parsed video uses up a place but is not taken from later ones.
+
+    Instead of going through the entries one by one, all of them offer for their first
+    ids at once; an id goes to the earliest entry offering, and those that lost one offer
+    again in the following round. That ends with the same outcome. Entries that share
+    no id with another are done at once; a round reads and writes only what the losers
+    of the round before offer. A chain of entries that displace each other takes as many
+    rounds as it is long, each over a few of them.
     """
     fresh = materialize(unseen(listed, loaded, "video_id"), "fresh")
-    parsed = known_keys(fresh, videos, "video_id").withColumn("_parsed", F.lit(True))
-    turns = registry.select(F.col("url").alias("config_url"), F.col("position").alias("turn"))
-    turned = lookup_join(fresh, turns, "config_url", how="inner")
+    parsed = materialize(known_keys(fresh, videos, "video_id"), "parsed")
+    entries = registry.select(F.col("position").alias("entry"), F.col("url").alias("config_url"))
+    offered = lookup_join(fresh, entries, "config_url", how="inner")
     by_list = [F.col(name) for name in _LISTED_ORDER]
-    pair, claim = ["config_url", "video_id"], F.struct("turn", "config_url")
-    candidates = lookup_join(turned, parsed, "video_id").select(
-        *pair, "turn", *_LISTED_ORDER, F.coalesce("_parsed", F.lit(False)).alias("has_video")
+    candidates = lookup_join(offered, parsed.withColumn("_parsed", F.lit(True)), "video_id").select(
+        "entry", "config_url", "video_id", *_LISTED_ORDER,
+        F.coalesce("_parsed", F.lit(False)).alias("has_video"),
+    )
+    candidates = materialize(first_per_key(candidates, ["entry", "video_id"], by_list), "candidates")
+    held = _settled(_contested(candidates), max_new, by_list)
+    open_ids = lookup_join(candidates, materialize(held, "held"), "video_id").filter(_free())
+    taken = first_per_key(open_ids, ["entry"], by_list, max_new)
+    return taken.select("entry", "config_url", "video_id", "has_video")
+
+
+def _free() -> Column:
+    """Whether no earlier entry holds the id."""
+    return F.col("holder").isNull() | (F.col("holder") >= F.col("entry"))
+
+
+def _contested(candidates: DataFrame) -> DataFrame:
+    """Candidates of the entries that share a video with another, cut into buckets of entries."""
+    shared = (
+        candidates.filter("has_video")
+        .groupBy("video_id")
+        .agg(F.min("entry").alias("_first"), F.max("entry").alias("_last"))
+        .filter(F.col("_first") < F.col("_last"))
+        .select("video_id", F.lit(True).alias("shared"))
     )
-    candidates = materialize(first_per_key(candidates, pair, by_list), "candidates")
-    outbid = None
+    flagged = lookup_join(candidates.drop("config_url"), materialize(shared, "shared"), "video_id")
+    flagged = materialize(flagged.withColumn("shared", F.coalesce("shared", F.lit(False))), "flagged")
+    bidders = flagged.filter("shared").select("entry").distinct()
+    rows = lookup_join(flagged, materialize(bidders, "bidders"), "entry", how="inner")
+    bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
+    rows = rows.withColumn("bucket", bucket).repartition(_BUCKETS, "bucket")
+    return materialize(rows, "contested", partition_by=["bucket"])
+
+
+def _settled(contested: DataFrame, max_new: int, by_list: Sequence[Column]) -> DataFrame:
+    """Who holds each shared video in the end: (video_id, holder)."""
+    held: DataFrame | None = None
+    losers: DataFrame | None = None
+    rounds: list[DataFrame] = []
     while True:
-        open_ids = candidates if outbid is None else candidates.join(outbid, pair, "left_anti")
-        offers = materialize(first_per_key(open_ids, ["config_url"], by_list, max_new), "offers")
-        exclusive = offers.filter("has_video")
-        contested = (
-            exclusive.groupBy("video_id")
-            .agg(F.min(claim).alias("first_claim"), F.count(F.lit(1)).alias("bidders"))
-            .filter(F.col("bidders") > 1)
-        )
-        contested = materialize(contested, "contested")
-        if contested.isEmpty():
-            return offers.select(*pair, "has_video")
-        lost = (
-            lookup_join(exclusive, contested, "video_id", how="inner")
-            .filter(claim > F.col("first_claim"))
-            .select(*pair)
-        )
-        outbid = materialize(lost if outbid is None else outbid.unionByName(lost), "outbid")
+        rows = contested
+        if losers is not None:
+            buckets = [row["bucket"] for row in losers.select("bucket").distinct().collect()]  # at most _BUCKETS
+            rows = lookup_join(
+                contested.filter(F.col("bucket").isin(buckets)), losers.select("entry"), "entry", how="inner"
+            )
+        if held is None:
+            rows = rows.withColumn("holder", F.lit(None).cast("bigint"))
+        else:
+            rows = lookup_join(rows, held, "video_id").filter(_free())
+        offers = first_per_key(rows, ["entry"], by_list, max_new).filter("has_video AND shared")
+        offers = materialize(offers.select("entry", "video_id", "holder"), "offers")
+        best = offers.groupBy("video_id").agg(F.min("entry").alias("best"))
+        lost = F.when(F.col("entry") > F.col("best"), F.col("entry"))
+        displaced = F.when(F.col("holder") > F.col("best"), F.col("holder"))
+        bids = materialize(
+            lookup_join(offers, best, "video_id").select(
+                "video_id", F.col("best").alias("holder"),
+                F.explode(F.array_distinct(F.array(lost, displaced))).alias("entry"),
+            ).distinct(),
+            "bids",
+        )
+        rounds.append(bids.select("video_id", "holder"))
+        bidders = bids.filter(F.col("entry").isNotNull()).select("entry").distinct()
+        if bidders.isEmpty():
+            return _holders(rounds)
+        if len(rounds) > _BATCHES:
+            rounds = [materialize(_holders(rounds), "held")]
+        held = _holders(rounds)
+        bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
+        losers = materialize(bidders.withColumn("bucket", bucket), "losers")
+
+
+def _holders(rounds: Sequence[DataFrame]) -> DataFrame:
+    """An id passes to earlier entries only."""
+    return union_batches(rounds).groupBy("video_id").agg(F.min("holder").alias("holder"))
 
 
 _OUTCOME_KEYS = ("config_url", "name", "niche", "region", "channel_loaded")
@@ -159,7 +218,7 @@ def _with_channel(registry: DataFrame, channels: DataFrame) -> DataFrame:
         registry.withColumnRenamed("url", "config_url")
         .join(read, "config_url", "left")
         .withColumn("channel_loaded", F.coalesce("_read", F.lit(False)))
-        .select(*_OUTCOME_KEYS)
+        .select(F.col("position").alias("entry"), *_OUTCOME_KEYS)
     )
 
 
@@ -170,16 +229,16 @@ def incremental_outcomes(
     loaded: DataFrame,
     claimed: DataFrame,
 ) -> DataFrame:
-    """Per registered channel: ids found, ids loaded before, videos newly loaded."""
+    """Per registry entry: ids found, ids loaded before, videos newly loaded."""
     fresh = unseen(listed, loaded, "video_id")
     found = listed.groupBy("config_url").agg(F.count(F.lit(1)).alias("total_found"))
     unloaded = fresh.groupBy("config_url").agg(F.count(F.lit(1)).alias("unloaded"))
-    new = claimed.groupBy("config_url").agg(F.count_if("has_video").alias("new_videos"))
+    new = claimed.groupBy("entry").agg(F.count_if("has_video").alias("new_videos"))
     counts = (
         _with_channel(registry, channels)
         .join(found, "config_url", "left")
         .join(unloaded, "config_url", "left")
-        .join(new, "config_url", "left")
+        .join(new, "entry", "left")
         .fillna(0, ["total_found", "unloaded", "new_videos"])
     )
     return counts.select(

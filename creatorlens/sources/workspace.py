@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -62,8 +63,8 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files."""
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return read_parquet(df.sparkSession, path, df.schema)

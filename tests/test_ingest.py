@@ -173,9 +173,9 @@ def test_registry_resolution(spark):
 
 
 def one_by_one(listing, loaded, order, parsed, max_new, per_tab):
-    """The run as a loop over channels, in order."""
+    """The run as a loop over registry entries (URLs in order): (entry, video)."""
     taken, result = set(loaded), set()
-    for channel in order:
+    for entry, channel in enumerate(order):
         tabs = {"videos": [], "streams": []}
         for url, tab, _, video in sorted(listing, key=lambda r: r[2]):
             if url == channel:
@@ -183,11 +183,21 @@ def one_by_one(listing, loaded, order, parsed, max_new, per_tab):
         videos, streams = tabs["videos"][:per_tab], tabs["streams"][:per_tab]
         ids = videos + [s for s in streams if s not in videos]
         new = [v for v in ids if v not in taken][:max_new]
-        result |= {(channel, v) for v in new}
+        result |= {(entry, v) for v in new}
         taken |= {v for v in new if v in parsed}
     return result
 
 
+def claimed_rows(spark, listing, loaded, order, parsed, max_new, per_tab):
+    entries = spark.createDataFrame(
+        [(u, u, None, "tech", "ID", place) for place, u in enumerate(order)],
+        "name string, url string, channel_id string, niche string, region string, position long",
+    )
+    listed = ingest.listed_videos(spark.createDataFrame(listing, LISTING), per_tab)
+    one_column = lambda values: spark.createDataFrame([(v,) for v in values], "video_id string")
+    return ingest.claims(listed, one_column(loaded), entries, one_column(parsed), max_new).collect()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_claims_equal_the_loop(spark, seed):
     rng = random.Random(seed)
@@ -200,20 +210,54 @@ def test_claims_equal_the_loop(spark, seed):
             listing += [(channel, tab, place, video) for place, video in enumerate(picked)]
     loaded = rng.sample(ids, 4)
     parsed = [v for v in ids if rng.random() < 0.8]
-    order = rng.sample(channels, len(channels))
+    order = rng.sample(channels, len(channels)) + rng.sample(channels, seed)  # some URLs twice
     expected = one_by_one(listing, loaded, order, set(parsed), max_new=4, per_tab=8)
+    rows = claimed_rows(spark, listing, loaded, order, parsed, 4, 8)
+    assert sorted((row.entry, row.video_id) for row in rows) == sorted(expected)
+    assert all(row.has_video == (row.video_id in parsed) and row.config_url == order[row.entry] for row in rows)
 
-    entries = spark.createDataFrame(
-        [(u, u, None, "tech", "ID", order.index(u)) for u in channels],
-        "name string, url string, channel_id string, niche string, region string, position long",
+
+def test_claims_of_chains_and_of_equal_lists(spark):
+    chain = [(f"u{i}", "videos", n, f"v{3 * i + n}") for i in range(12) for n in range(6)]
+    same = [(f"w{i}", "videos", n, f"x{n}") for i in range(12) for n in range(9)]
+    alone = [("alone", "videos", n, f"y{n}") for n in range(5)]
+    order = [f"u{i}" for i in range(12)] + ["alone"] + [f"w{i}" for i in range(12)]
+    listing = chain + same + alone
+    ids = {row[3] for row in listing}
+    rows = claimed_rows(spark, listing, [], order, sorted(ids), 3, 10)
+    assert sorted((r.entry, r.video_id) for r in rows) == sorted(one_by_one(listing, [], order, ids, 3, 10))
+
+
+def test_later_rounds_take_few_rows(spark, monkeypatch):
+    """What a round writes follows what was lost in the round before."""
+    written = {}
+
+    def counted(df, label, partition_by=()):
+        done = materialize(df, label, partition_by)
+        written.setdefault(label, []).append(done.count())
+        return done
+
+    from creatorlens.sources.workspace import materialize
+
+    monkeypatch.setattr(ingest, "materialize", counted)
+    chain = [(f"u{i}", "videos", n, f"v{i + n}") for i in range(6) for n in range(4)]
+    alone = [(f"a{i}", "videos", n, f"a{i}-{n}") for i in range(50) for n in range(4)]
+    order = [f"u{i}" for i in range(6)] + [f"a{i}" for i in range(50)]
+    listing = chain + alone
+    claimed_rows(spark, listing, [], order, sorted({r[3] for r in listing}), 2, 10)
+    assert written["contested"] == [24] and written["candidates"] == [224]
+    assert all(n <= 2 * max(lost, 1) for n, lost in zip(written["offers"][1:], written["losers"]))
+
+
+def test_entries_with_one_url_load_under_their_own_niche(spark, run_inputs):
+    entries, listing, channels, videos = run_inputs
+    twice = entries.unionByName(
+        entries.filter("url = 'ub'").withColumn("niche", F.lit("again")).withColumn("position", F.lit(10**15))
     )
-    listed = ingest.listed_videos(spark.createDataFrame(listing, LISTING), 8)
-    one_column = lambda values: spark.createDataFrame([(v,) for v in values], "video_id string")
-    claimed = ingest.claims(listed, one_column(loaded), entries, one_column(parsed), 4)
-    got = {(row.config_url, row.video_id) for row in claimed.collect()}
-    assert got == expected
-    flags = {row.video_id: row.has_video for row in claimed.collect()}
-    assert all(flags[v] == (v in parsed) for v in flags)
+    store = FolderStore(spark, fresh_folder(spark, "runs"))
+    assert ingest.load_incremental(store, twice, listing, channels, videos, max_new=1)["videos"] == 3
+    stored = store.read("raw_videos", schemas.RAW_VIDEOS).collect()
+    assert sorted((r.video_id, r.niche) for r in stored) == [("a1", "tech"), ("b1", "again"), ("x", "tech")]
 
 
 def test_streams_already_in_videos_are_dropped(spark):

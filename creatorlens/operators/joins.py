@@ -12,25 +12,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    IntegerType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 from ..sources.workspace import materialize
 
 BROADCAST_BYTES = 256 * 1024 * 1024
-MAX_HOT_KEYS = 10_000
 _ROW_OVERHEAD = 48
 _SALT = "_salt"
 _TASKS = "_tasks"
 
 
 def measured_bytes(lookup: DataFrame) -> int:
-    """Approximate in-memory size: one pass over the lookup, one row to the driver."""
+    """Approximate in-memory size: one pass over the lookup, one row to the driver.
+
+    Text and binary values count by their length, nested ones by that of their JSON.
+    """
     width: Column = F.lit(_ROW_OVERHEAD)
     for field in lookup.schema:
-        if isinstance(field.dataType, StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
-        else:
-            width = width + 8
+        width = width + 8
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            width = width + F.octet_length(F.to_json(F.struct(field.name)))
     return lookup.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
@@ -55,22 +67,20 @@ def lookup_join(
 def hot_keys(facts: DataFrame, key: str, slots: int) -> list[tuple]:
     """Keys with too many rows for one of ``slots`` tasks, and how many tasks they need.
 
-    A key is hot with more than ``1/slots`` of all rows (or ``1/MAX_HOT_KEYS``, if
-    that is more), so there are at most that many, and all of them together need
-    no more than about ``2 * slots`` tasks.
+    A key is hot with more than ``1/slots`` of all rows, so there are fewer than
+    ``slots``, and all of them together need no more than about ``2 * slots`` tasks.
     """
-    shares = min(slots, MAX_HOT_KEYS)
     seen = Observation()
     counted = facts.observe(seen, F.count(F.lit(1)).alias("rows"))
     counts = counted.filter(F.col(key).isNotNull()).groupBy(key).count()
-    largest = counts.orderBy(F.desc("count")).limit(shares).collect()
+    largest = counts.orderBy(F.desc("count")).limit(slots).collect()
     if not largest:
         return []
     total = seen.get["rows"]
     return [
         (row[key], math.ceil(2 * slots * row["count"] / total))
         for row in largest
-        if row["count"] * shares > total
+        if row["count"] * slots > total
     ]
 
 
@@ -100,7 +110,7 @@ def spread_join(
     tasks = F.when(F.col(key).isNull(), F.lit(slots)).otherwise(F.lit(1))
     if hot:
         schema = StructType([facts.schema[key], StructField(_TASKS, IntegerType())])
-        hot_rows = F.broadcast(spark.createDataFrame(hot, schema))  # at most MAX_HOT_KEYS
+        hot_rows = F.broadcast(spark.createDataFrame(hot, schema))  # fewer than slots
         facts = facts.join(hot_rows, key, "left")
         lookup = lookup.join(hot_rows, key, "left")
         tasks = F.coalesce(F.col(_TASKS), tasks)
@@ -127,12 +137,11 @@ def top_with_lookup(
     then looked up. If too few of them have a lookup row, the whole join is done.
     """
     candidates = n * margin
-    if candidates > MAX_HOT_KEYS or measured_bytes(lookup) <= broadcast_bytes:
-        joined = lookup_join(facts, lookup, key, how="inner", broadcast_bytes=broadcast_bytes)
-        return joined.orderBy(*order).limit(n)
+    if measured_bytes(lookup) <= broadcast_bytes:
+        return facts.join(F.broadcast(lookup), key).orderBy(*order).limit(n)
     best = materialize(facts.orderBy(*order).limit(candidates), "best")
     columns = list(dict.fromkeys([key, *facts.columns, *lookup.columns]))
-    found = lookup.join(F.broadcast(best), key).select(*columns)  # as few rows as best
+    found = lookup_join(lookup, best, key, how="inner").select(*columns)
     found = materialize(found, "found")
     if found.count() < n and best.count() == candidates:
         found = spread_join(facts, lookup, key, how="inner")

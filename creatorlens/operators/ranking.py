@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..sources.workspace import materialize
 
 _PLACE_BITS = 33
-PAGE_RANK_ROWS = 100_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -42,9 +41,10 @@ def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def ranked_page(df: DataFrame, order: Sequence[Column], n: int, name: str = "rank") -> DataFrame:
-    """The first ``n`` rows with their place; only those ``n`` rows are numbered."""
-    if n > PAGE_RANK_ROWS:
-        return ranked(df, order, name).filter(F.col(name) <= n)
+    """The first ``n`` rows in order with their place; only those ``n`` rows are numbered.
+
+    ``n`` is the length of a page. ``ranked`` numbers any number of rows.
+    """
     window = Window.orderBy(*order)
     return top(df, order, n).withColumn(name, F.row_number().over(window).cast("bigint"))
 

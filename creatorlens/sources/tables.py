@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date, timedelta
 
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import fixed_values as fixed
 from ..functions.scalars import day
-from .workspace import discard, fresh_folder, path_exists, read_parquet
+from .workspace import path_exists, read_parquet, remove_folder, replace_folder
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -56,6 +57,19 @@ class FolderStore:
         options = _WRITE_OPTIONS.get(name, {})
         df.write.mode(mode).options(**options).parquet(self.locate(name))
 
+    def staged(self, df: DataFrame, name: str) -> tuple[str, int]:
+        """A complete copy beside the table, and its number of rows."""
+        path = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
+        df.write.options(**_WRITE_OPTIONS.get(name, {})).parquet(path)
+        return path, read_parquet(self.spark, path, df.schema).count()  # from the footers
+
+    def publish(self, staged: str, name: str) -> None:
+        """Put a staged copy in the table's place: renames, nothing is written again."""
+        replace_folder(self.spark, staged, self.locate(name))
+
+    def drop_staged(self, staged: str) -> None:
+        remove_folder(self.spark, staged)
+
 
 class CatalogStore:
     """Managed tables, one database per layer: ``<prefix>_<layer>``."""
@@ -78,6 +92,20 @@ class CatalogStore:
         options = _WRITE_OPTIONS.get(name, {})
         df.write.mode(mode).options(**options).format("parquet").saveAsTable(self.locate(name))
 
+    def staged(self, df: DataFrame, name: str) -> tuple[str, int]:
+        table = f"{self.locate(name)}_staged_{uuid.uuid4().hex}"
+        ensure_namespace(self.spark, table.split(".")[0])
+        options = _WRITE_OPTIONS.get(name, {})
+        df.write.options(**options).format("parquet").saveAsTable(table)
+        return table, self.spark.table(table).count()
+
+    def publish(self, staged: str, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.locate(name)}")
+        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.locate(name)}")
+
+    def drop_staged(self, staged: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
 
 Store = FolderStore | CatalogStore
 
@@ -92,28 +120,29 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 def load(df: DataFrame, store: Store, name: str, mode: str = APPEND) -> int:
     """Write ``df`` and return how many rows were written; an empty input writes nothing.
 
-    Rows for a new or a replaced table are computed into the shared folder first: a
-    table is not touched before its new content is complete and known not to be
-    empty. Rows appended to an existing table are written directly and counted on
-    the way.
+    Rows for a new or a replaced table are written once, beside it; the table is not
+    touched before they are complete and known not to be empty, and then takes them
+    over by renaming. Rows appended to an existing table are written directly and
+    counted on the way.
     """
     if mode == APPEND and store.exists(name):
         seen = Observation()
         store.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode)
         return seen.get["rows"]
-    spark, path = df.sparkSession, fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    complete = read_parquet(spark, path, df.schema)
-    rows = complete.count()
+    if mode == CREATE and store.exists(name):
+        raise ValueError(f"table already exists: {store.locate(name)}")
+    staged, rows = store.staged(df, name)
     if rows:
-        store.write(complete, name, mode)
-    discard(spark, path)
+        store.publish(staged, name)
+    else:
+        store.drop_staged(staged)
     return rows
 
 
 def save(df: DataFrame, store: Store, name: str) -> DataFrame:
     """Replace table ``name`` with ``df``, also when empty, and read it back."""
-    store.write(df, name, OVERWRITE)
+    staged, _ = store.staged(df, name)
+    store.publish(staged, name)
     return store.read(name, df.schema)
 
 

@@ -49,6 +49,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Rename ``staged`` to ``path``; what was there is kept under another name until then."""
+    new, files = _file_system(spark, staged)
+    place, _ = _file_system(spark, path)
+    old, _ = _file_system(spark, f"{staged}-replaced")
+    files.mkdirs(place.getParent())
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"cannot publish {path}")
+    if had:
+        files.delete(old, True)
+
+
 def discard(spark: SparkSession, path: str | None = None) -> None:
     """Remove one scratch folder of this application, or all of them at the end of a run."""
     own = _application_folder(spark)

@@ -356,6 +356,20 @@ def test_store_modes(spark, kind):
         assert not store.exists("probe")
 
 
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+def test_a_failing_write_leaves_the_old_table(spark, kind):
+    store = FolderStore(spark, fresh_folder(spark, "s")) if kind == "folder" else CatalogStore(spark, "failing")
+    schema = schemas.PROBE_TABLE
+    good = spark.createDataFrame([("a", "t", 1, None)], schema)
+    assert tables.load(good, store, "probe", tables.OVERWRITE) == 1
+    bad = good.unionByName(spark.createDataFrame([("b", "t", 2, None)], schema)).withColumn(
+        "views", F.when(F.col("video_id") == "b", F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("views"))
+    )
+    with pytest.raises(Exception, match="broken"):
+        tables.load(bad, store, "probe", tables.OVERWRITE)
+    assert [r.video_id for r in store.read("probe", schema).collect()] == ["a"]
+
+
 def test_required_columns(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "video_id string, views long")
     df = df.withColumn("title", F.lit(None)).withColumn("upload_date", F.lit("2024-01-01"))

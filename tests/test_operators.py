@@ -64,6 +64,13 @@ def test_broadcast_follows_the_measured_size(skewed, lookup):
     assert "_salt" in plan(joins.lookup_join(skewed, lookup, "k", broadcast_bytes=10))
 
 
+def test_nested_and_binary_values_are_measured_by_content(spark):
+    text = F.repeat(F.lit("x"), F.lit(100_000))
+    ids = spark.range(10)
+    for value in (text, F.struct(text), F.array(text), F.create_map(F.lit("k"), text), text.cast("binary"), F.parse_json(F.to_json(F.struct(text)))):
+        assert 1_000_000 <= joins.measured_bytes(ids.select("id", value.alias("v"))) < 1_100_000
+
+
 def test_hot_keys_of_other_types(spark):
     facts = spark.range(900).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
     lookup = spark.range(0, 900, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))

@@ -425,7 +425,7 @@ def oracle_sql() -> dict[str, str]:
     )
     any_page = "f.video_id, f.title, d.channel_name, f.niche, f.view_count, f.like_count, f.engagement_rate, f.views_per_day, f.duration_seconds, f.performance_tier, f.upload_date"
     kpi = "CAST(sum(view_count) AS BIGINT) AS total_views, round(avg(engagement_rate), 6)"
-    return {
+    found = {
         "stg_channels_latest": _models("SELECT * FROM stg_channels"),
         "stg_videos_clean": _models("SELECT * FROM stg_videos"),
         "video_metrics": _models(
@@ -778,6 +778,14 @@ FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
             "('append', 2 * n, 3 * n), ('append_nothing', 0, 3 * n), ('overwrite_nothing', 0, 3 * n), "
             "('overwrite', 2 * n, 2 * n)) v(step, written, stored)"
         ),
+        "catalog_table_steps": (
+            "SELECT step, true AS done, stored AS rows_stored FROM (SELECT count(*) AS n FROM customer) c, "
+            "LATERAL (VALUES ('absent', -1), ('created', n), ('refused', n), ('appended', 3 * n), "
+            "('replaced', 2 * n), ('namespace', 2 * n), ('dropped', -1)) v(step, stored)"
+        ),
+        "channel_rows_stamped_now": (
+            "SELECT count(*) AS rows, count(*) AS iso_rows, CAST(1 AS BIGINT) AS times, count(*) AS recent_rows FROM customer"
+        ),
         "sink_typed_table": _ingest(
             "SELECT video_id, title, view_count AS views, CAST(upload_date AS DATE) AS upload_date FROM raw_videos"
         ),
@@ -843,3 +851,23 @@ FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
             "count(*) AS total FROM dim GROUP BY ROLLUP (niche)"
         ),
     }
+    pages = {
+        "overview.kpis": "overview_kpis",
+        "overview.by_niche": "overview_by_niche",
+        "overview.top_videos": "overview_top_videos",
+        "overview.by_region": "overview_by_region",
+        "overview.tiers": "overview_tiers",
+        "niche.overview": "niche_overview",
+        "niche.niche_region": "niche_region",
+        "niche.duration_analysis": "duration_analysis",
+        "niche.upload_days": "upload_day_analysis",
+        "channel.channel": "channel_info",
+        "channel.metrics": "channel_metrics",
+        "channel.videos": "channel_videos",
+        "channel.benchmark": "channel_benchmark",
+        "channel.peers": "channel_peers",
+    }
+    found["page_bundle_rows"] = " UNION ALL ".join(
+        f"SELECT '{part}' AS table_name, (SELECT count(*) FROM ({found[name]}) q) AS rows" for part, name in pages.items()
+    )
+    return found

@@ -561,6 +561,63 @@ def sink_typed_table(d: Dataset) -> DataFrame:
     return read_parquet(d.spark, path, schemas.PROBE_TABLE)
 
 
+@_registered
+def catalog_table_steps(d: Dataset) -> DataFrame:
+    """A catalog namespace and table: absent, created, refused, appended to, replaced, dropped."""
+    prefix = f"steps_{d.spark.sparkContext.applicationId.replace('-', '_')}"
+    store = stores.CatalogStore(d.spark, prefix)
+    table = store.locate("raw_channels")
+    d.spark.sql(f"DROP TABLE IF EXISTS {table}") if store.exists("raw_channels") else None
+    steps: list[tuple[str, bool, int]] = []
+
+    def step(name: str, done: bool = True) -> None:
+        there = store.exists("raw_channels")
+        steps.append((name, done, d.spark.table(table).count() if there else -1))
+
+    step("absent", not store.exists("raw_channels"))
+    stores.load(d.current_channels, store, "raw_channels", stores.CREATE)
+    step("created")
+    try:
+        stores.load(d.current_channels, store, "raw_channels", stores.CREATE)
+        step("refused", False)
+    except ValueError:
+        step("refused")
+    stores.load(d.raw_channels, store, "raw_channels", stores.APPEND)
+    step("appended")
+    stores.load(d.raw_channels, store, "raw_channels", stores.OVERWRITE)
+    step("replaced")
+    namespace = table.split(".")[0]
+    step("namespace", d.spark.catalog.databaseExists(namespace))
+    d.spark.sql(f"DROP DATABASE {namespace} CASCADE")
+    step("dropped", not d.spark.catalog.databaseExists(namespace))
+    return d.spark.createDataFrame(steps, "step string, done boolean, rows_stored long")
+
+
+@_registered
+def channel_rows_stamped_now(d: Dataset) -> DataFrame:
+    """Channel rows of a run that takes its own time: ISO text in UTC, the same on every row."""
+    rows = dumps.parse_channels(*d.channel_lines, dumps.utc_now())
+    stamp = F.col("scraped_at")
+    iso = stamp.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$")
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(iso).alias("iso_rows"),
+        F.count_distinct("scraped_at").alias("times"),
+        F.count_if(stamp.cast("timestamp") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")).alias("recent_rows"),
+    )
+
+
+@_registered
+def page_bundle_rows(d: Dataset) -> DataFrame:
+    """Rows of every part of the overview, niche and channel pages."""
+    pages = {
+        "overview": serving.overview_page(d.marts),
+        "niche": serving.niche_page(d.marts),
+        "channel": serving.channel_detail(d.marts, CHANNEL),
+    }
+    return ingest.table_counts({f"{page}.{part}": df for page, parts in pages.items() for part, df in parts.items()})
+
+
 @_registered
 def batch_union(d: Dataset) -> DataFrame:
     """Batches with different columns in one table, counted per table."""

@@ -242,7 +242,7 @@ def channel_videos_table(marts: Marts, channel_id: str) -> DataFrame:
         display.duration_text(F.col("duration_seconds")).alias("duration"),
         "performance_tier",
         display.day_text(F.col("upload_date")).alias("date"),
-    )
+    ).orderBy("rank")
 
 
 def _niche_of(marts: Marts, channel_id: str) -> DataFrame:

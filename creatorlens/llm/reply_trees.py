@@ -35,41 +35,30 @@ def unescaped_role(role: Column) -> Column:
 
 
 def _jumps(nodes: DataFrame) -> list[DataFrame]:
-    """Written tables (tree, node, up, total): ``up`` is the ancestor 1, 2, 4, ... steps away.
+    """Written tables (tree, node, up): the ancestors 1, 2, 4, ... steps away, as far as there are any.
 
-    ``total`` is the sum of the scores from the node to below ``up`` (to the root, if
-    ``up`` is NULL). A loop of parents is cut above its smallest node.
+    Each joins the one before with itself and holds only nodes that have such an
+    ancestor. A loop of parents is cut above its smallest node.
     """
     known = nodes.select("tree", F.col("node").alias("parent"))
-    first = (
-        nodes.select("tree", "node", "parent", "score")
-        .join(known.withColumn("_known", F.lit(True)), ["tree", "parent"], "left")
-        .select("tree", "node", F.when(F.col("_known"), F.col("parent")).alias("up"), F.col("score").alias("total"))
-        .withColumn("low", F.least("node", "up"))
-    )
+    first = nodes.select("tree", "node", "parent").join(known, ["tree", "parent"])
+    first = first.select("tree", "node", F.col("parent").alias("up"), F.least("node", "parent").alias("low"))
     tables = [materialize(first, "jumps")]
     longest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
-    while True:
+    while not tables[-1].isEmpty():
         last = tables[-1]
-        if last.filter(F.col("up").isNotNull()).isEmpty():
-            return tables
         if 2 ** (len(tables) - 1) > longest:  # only loops go on for longer than their tree has nodes
-            cut = last.filter(F.col("up").isNotNull() & (F.col("node") == F.col("low"))).select("tree", "node")
-            repaired = nodes.join(cut.withColumn("_cut", F.lit(True)), ["tree", "node"], "left").withColumn(
+            cut = last.filter(F.col("node") == F.col("low")).select("tree", "node", F.lit(True).alias("_cut"))
+            repaired = nodes.join(cut, ["tree", "node"], "left").withColumn(
                 "parent", F.when(F.col("_cut").isNull(), F.col("parent"))
             )
-            return _jumps(materialize(repaired.select("tree", "node", "parent", "score"), "loops-cut"))
-        onward = last.select(
-            "tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("total").alias("_total"), F.col("low").alias("_low")
-        )
-        doubled = last.join(onward, ["tree", "up"], "left").select(
-            "tree",
-            "node",
-            F.col("_up").alias("up"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-            F.least("low", "_low").alias("low"),
+            return _jumps(materialize(repaired.select(*nodes.columns), "loops-cut"))
+        onward = last.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("low").alias("_low"))
+        doubled = last.join(onward, ["tree", "up"]).select(
+            "tree", "node", F.col("_up").alias("up"), F.least("low", "_low").alias("low")
         )
         tables.append(materialize(doubled, "jumps"))
+    return tables[:-1] or tables
 
 
 def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
@@ -80,27 +69,22 @@ def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     ties to the smaller leaf; ``branches`` None keeps all. A node whose parent is missing
     is a root; a loop of parents is cut above its smallest node.
     """
-    nodes = materialize(
-        nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")),
-        "nodes",
-    )
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")
+    nodes = materialize(nodes.select("tree", "node", "parent", score), "nodes")
     tables = _jumps(nodes)
-    parents = tables[0].filter(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
-    leaves = tables[-1].join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "total")
-    members = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("steps"))
+    parents = tables[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = nodes.join(parents, ["tree", "node"], "left_anti")
+    members = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("steps"))
     for k in range(len(tables) - 1, -1, -1):
-        higher = tables[k].filter(F.col("up").isNotNull()).select("tree", "node", "up")
-        members = members.unionByName(
-            members.join(higher, ["tree", "node"]).select(
-                "tree", "leaf", F.col("up").alias("node"), (F.col("steps") + F.lit(2**k)).alias("steps")
-            )
+        onward = members.join(tables[k].select("tree", "node", "up"), ["tree", "node"]).select(
+            "tree", "leaf", F.col("up").alias("node"), (F.col("steps") + F.lit(2**k)).alias("steps")
         )
-    members = materialize(members, "paths")
-    depth = members.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("_depth"))
+        members = materialize(members.unionByName(onward), "paths")  # else the plan doubles each time
+    scored = members.join(nodes.select("tree", "node", "score"), ["tree", "node"])
     order = Window.partitionBy("tree").orderBy(F.desc("_score"), "leaf")
     ranked = (
-        leaves.join(depth, ["tree", "leaf"])
-        .withColumn("_score", F.col("total") / F.col("_depth"))
+        scored.groupBy("tree", "leaf")
+        .agg(F.avg("score").alias("_score"))
         .withColumn("branch", F.row_number().over(order))
     )
     if branches is not None:

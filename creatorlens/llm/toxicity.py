@@ -25,7 +25,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
 BEGINNINGS = (4, 5, 6, 7)
 #: A feature counts if so many documents of the sample have it, and how much more often toxic ones.
 LEAST_DOCS, LEAST_Z = 4, 2.0
-ROUNDS, RATE, DECAY = 200, 0.2, 1e-3
+ROUNDS, RATE, DECAY = 200, 0.2, 1e-4
 _KEPT_WORDS = 200_000
 _SENTENCE_END = re.compile(r"[.!?…。！？\n]+")
 _STRIP = "\"'`.,;:!?()[]{}<>|*_#-–—«»„“”‘’/\\&$%~^+="
@@ -74,10 +74,11 @@ def noisy_or(log_odds: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0.0, log_odds).sum())) if len(log_odds) else 0.0
 
 
-def fit(docs: list[list[np.ndarray]], toxic: np.ndarray) -> Model:
+def fit(docs: list[list[np.ndarray]], toxic: np.ndarray, share_toxic: float | None = None) -> Model:
     """Weights by gradient descent on the likelihood of the documents' labels.
 
-    ``docs``: per document, per sentence, the features of its words.
+    ``docs``: per document, per sentence, the features of its words. ``share_toxic`` is
+    that of all labelled documents, if the sample has another.
     """
     if not len(docs) or not toxic.any() or toxic.all():
         return Model({}, -50.0 if not toxic.any() else 50.0)
@@ -88,6 +89,8 @@ def fit(docs: list[list[np.ndarray]], toxic: np.ndarray) -> Model:
     )
     toxic_with = toxic_with - 1
     share = toxic.mean()
+    wanted = share_toxic or share
+    counts_for = np.where(toxic, wanted / share, (1 - wanted) / (1 - share))
     z = (toxic_with - docs_with * share) / np.sqrt(docs_with * share * (1 - share))
     names = names[(docs_with >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z)]
     if not len(names):
@@ -110,7 +113,7 @@ def fit(docs: list[list[np.ndarray]], toxic: np.ndarray) -> Model:
         chance = 1 / (1 + np.exp(-odds))
         clean = np.bincount(owner, weights=np.logaddexp(0.0, odds), minlength=len(docs))
         # d/d(clean) of -log p(label): 1 for clean documents, -1/(e^clean - 1) for toxic ones
-        push = np.where(toxic, -1 / np.expm1(np.maximum(clean, 1e-6)), 1.0)
+        push = np.where(toxic, -1 / np.expm1(np.maximum(clean, 1e-6)), 1.0) * counts_for
         slope = push[owner] * chance
         gradient = np.append(
             np.bincount(flat, weights=slope[row], minlength=len(names)) / len(docs) + DECAY * weights,
@@ -137,6 +140,7 @@ def learn(
         F.max("toxic").alias("toxic")
     )
     ordered = clear.withColumn("_order", shuffled_order("doc_id"))
+    shares = clear.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
 
     def some(kind: int, many: int) -> DataFrame:
         return ordered.filter((F.col("toxic") > 0) == bool(kind)).orderBy("_order").limit(many)
@@ -175,7 +179,7 @@ def learn(
         np.split(np.frombuffer(f, dtype=np.uint32).astype(np.int64), np.frombuffer(e, dtype=np.int64)[:-1])
         for f, e in zip(rows["features"], rows["ends"])
     ]
-    return fit(split, rows["toxic"].to_numpy() > 0)
+    return fit(split, rows["toxic"].to_numpy() > 0, shares)
 
 
 def scored(model: Model):
@@ -197,7 +201,7 @@ def scored(model: Model):
                 [one(t) for t in texts.fillna("")], columns=["score", "sentence", "log_odds"]
             ).astype({"sentence": "Int64", "log_odds": "Float64"})
 
-    return score
+    return score.asNondeterministic()  # else a filter on the score asks for it twice
 
 
 def with_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workspace import materialize
+from .spread import materialize_rows
 
 
 def labelled(links: DataFrame) -> DataFrame:
@@ -13,15 +13,17 @@ def labelled(links: DataFrame) -> DataFrame:
 
     Each round a node takes the least label around it and then the label of that label,
     so paths shorten by half. Labels are written every round; they are never gathered.
+    Give a written table: it is counted first.
     """
-    both = materialize(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
-    )
-    state = materialize(
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rows = 2 * links.count()
+    both = materialize_rows(both.distinct(), "links", rows)
+    state = materialize_rows(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_least")).select(
             "node", F.least("node", "_least").alias("label")
         ),
         "labels",
+        rows,
     )
     while True:
         around = (
@@ -31,8 +33,8 @@ def labelled(links: DataFrame) -> DataFrame:
             "node", F.col("label").alias("_old"), F.least("label", "_around").alias("_label")
         )
         onward = state.select(F.col("node").alias("_label"), F.col("label").alias("_onward"))
-        state = materialize(
-            least.join(onward, "_label").select("node", "_old", F.least("_label", "_onward").alias("label")), "labels"
+        state = materialize_rows(
+            least.join(onward, "_label").select("node", "_old", F.least("_label", "_onward").alias("label")), "labels", rows
         )
         if state.filter(F.col("_old") != F.col("label")).isEmpty():
             return state.select("node", "label")

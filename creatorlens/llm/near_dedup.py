@@ -5,10 +5,11 @@ hashes of its shingles; inverted lists of the rarer ones give pairs, the sketch
 union filters them, and exact Jaccard similarity decides.
 
 Two similar sets share most of their sketches, so they meet in a list of one of the rarest
-values of each (prefix filter). A list is worked off against a few of its members at a time;
-those already in one component need no further comparing, and lists go on until every pair
-was compared or has become one component. So a large group of copies takes a pair or two
-per document, and no list is cut.
+values of each (prefix filter). Each list is first worked off against a few of its members;
+those already in one component need no further comparing, so a large group of copies takes
+a pair or two per document. Members of lists that are not settled then (groups of texts a
+little too different) are searched once more, over their whole sets: rarest shingles first,
+a pair's overlap is bounded by what follows the first shingle it shares. No list is cut.
 """
 
 from __future__ import annotations
@@ -19,20 +20,25 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import measured_bytes, spread_join
 from ..sources.workspace import materialize
 from .components import labelled
+from .spread import FILE_ROWS, materialize_rows
 
 #: Values of a sketch, and how far below the threshold a pair's estimate may lie (in deviations).
 SKETCH, DEVIATIONS = 96, 6.0
 #: Ids up to this measured size are sent to a scan; more are joined by a shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
-#: Members of a list that the others are compared with in a round: so many, then eight times more.
-FIRST_PIVOTS, MORE_PIVOTS = 1, 8
+#: How many members of a list the others have been compared with after each round by lists.
+PIVOTS = (1, 8)
+#: Rows of a written file that hold a sketch, and that hold a whole set.
+SKETCH_ROWS, SET_ROWS = FILE_ROWS // 10, FILE_ROWS // 20
+#: Texts or pairs that a task holds the sets of at a time.
+TOGETHER = 256
 #: Words whose hashes a task remembers.
 KEPT_WORDS = 100_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -92,25 +98,38 @@ def least_overlap(k: int, similarity: float) -> int:
     return max(1, math.floor(k * similarity - DEVIATIONS * math.sqrt(k * similarity * (1 - similarity))))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(begin, TOGETHER)
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a column of number lists, without copying."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[begin:end] for begin, end in zip(ends[:-1], ends[1:])]
+
+
 def sketched(docs: DataFrame, width: int, k: int) -> DataFrame:
     """A written table (rid, doc_id, n, name, sketch) of all rows; ``name`` stands for the set."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingle_hashes(width)
-        for batch in batches:
-            sets = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "_row": batch["_row"],
-                    "doc_id": batch["doc_id"],
-                    "n": [len(s) for s in sets],
-                    "name": [_set_name(s) for s in sets],
-                    "sketch": [s[:k] for s in sets],
-                }
+        for batch in _slices(batches):
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_row"),
+                    batch.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_set_name(s) for s in sets], pa.binary()),
+                    pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
+                ],
+                ["_row", "doc_id", "n", "name", "sketch"],
             )
 
     rows = docs.select(F.col("_row") if "_row" in docs.columns else F.lit(None).cast("long").alias("_row"), "doc_id", "text")
-    made = rows.mapInPandas(sketch, "_row long, doc_id long, n long, name binary, sketch array<long>")
+    made = rows.mapInArrow(sketch, "_row long, doc_id long, n long, name binary, sketch array<long>")
     return materialize(made.withColumn("rid", F.monotonically_increasing_id()), "sketches")
 
 
@@ -146,76 +165,131 @@ def _prefixes(classes: DataFrame, k: int, similarity: Fraction) -> DataFrame:
     return materialize(lists, "lists")
 
 
-def _judged(pairs: DataFrame, k: int, similarity: Fraction) -> DataFrame:
-    """(a, b, verdict): 1 linked, 0 not, 2 to be confirmed on full sets."""
+def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns of ``sets`` (cid, n, hashes) of either end."""
+    for end in ("a", "b"):
+        named = sets.select(F.col("cid").alias(end), F.col("n").alias(f"n_{end}"), F.col("hashes").alias(f"hashes_{end}"))
+        pairs = pairs.join(named, end)
+    return pairs
+
+
+def _judged(pairs: DataFrame, similarity: Fraction, k: int | None = None) -> DataFrame:
+    """(a, b, verdict) of pairs with both sets: 1 linked, 0 not.
+
+    With ``k``, hashes are sketches and 2 is for a pair that its whole sets must decide.
+    """
     num, den = similarity.numerator, similarity.denominator
-    spread = DEVIATIONS * math.sqrt(float(similarity) * (1 - float(similarity)) / k)
-    least = float(similarity) - spread
+    least = float(similarity)
+    if k:
+        least -= DEVIATIONS * math.sqrt(least * (1 - least) / k)
 
     def verdict(first: np.ndarray, n_first: int, second: np.ndarray, n_second: int) -> int:
         small, great = sorted((n_first, n_second))
         if small * den < great * num:
             return 0
-        both = len(np.intersect1d(first, second, assume_unique=True))
-        if great <= k:
-            return int(den * both >= num * (n_first + n_second - both))
+        common = np.intersect1d(first, second, assume_unique=True)
+        if not k or great <= k:
+            return int(den * len(common) >= num * (n_first + n_second - len(common)))
         union = np.union1d(first, second)[:k]
-        agree = np.intersect1d(np.intersect1d(first, second, assume_unique=True), union, assume_unique=True)
-        return 2 if len(agree) >= least * len(union) else 0
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [verdict(*row) for row in zip(batch["sketch_a"], batch["n_a"], batch["sketch_b"], batch["n_b"])]
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "verdict": found})
+        return 2 if np.count_nonzero(common <= union[-1]) >= least * len(union) else 0
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            rows = zip(
+                _arrays(batch.column("hashes_a")),
+                batch.column("n_a").to_pylist(),
+                _arrays(batch.column("hashes_b")),
+                batch.column("n_b").to_pylist(),
+            )
+            found = pa.array([verdict(*row) for row in rows], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], ["a", "b", "verdict"])
 
-    return pairs.mapInPandas(judge, "a long, b long, verdict int")
+    return pairs.mapInArrow(judge, "a long, b long, verdict int")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    num, den = similarity.numerator, similarity.denominator
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = materialize(_only(classes.select("cid", "name", "doc_id"), ids, "cid"), "wanted")
+def _whole_sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """A written table (cid, n, hashes) of the whole sets of some classes; reads their texts again."""
+    many = ids.count()
+    wanted = materialize_rows(_only(classes.select("cid", "name", "doc_id"), ids, "cid"), "wanted", many, sifted=True)
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingle_hashes(width)
-        for batch in batches:
-            sets = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({"name": [_set_name(s) for s in sets], "hashes": [s.tobytes() for s in sets]})
+        for batch in _slices(batches):
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_name(s) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                ["name", "hashes"],
+            )
 
     of_docs = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), "text")
     named = _only(of_docs, wanted.select(F.coalesce("doc_id", F.lit(0)).alias("_id")).distinct(), "_id")
-    sets = materialize(
-        named.select("text")
-        .mapInPandas(whole, "name binary, hashes binary")
-        .join(wanted.select("cid", "name"), "name")
-        .dropDuplicates(["cid"])
-        .select("cid", "hashes"),
-        "sets",
+    sets = named.select("text").mapInArrow(whole, "name binary, hashes array<long>")
+    found = sets.join(wanted.select("cid", "name"), "name").dropDuplicates(["cid"])
+    found = found.select("cid", F.size("hashes").cast("long").alias("n"), "hashes")
+    return materialize_rows(found, "sets", many, SET_ROWS)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    return _judged(_with_both(pairs, sets), similarity).filter(F.col("verdict") == 1).select("a", "b")
+
+
+def _listed(now: DataFrame, done: int, pivots: int) -> DataFrame:
+    """Pairs (a, b) of each list's members ``done`` to ``pivots`` with all its later members."""
+    nth = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
+    chosen = (
+        now.withColumn("nth", nth)
+        .filter(F.col("nth") <= pivots)
+        .filter(F.col("nth") > done)
+        .select("value", F.col("cid").alias("a"), F.col("label").alias("_label"))
     )
+    later = (F.col("a") < F.col("cid")) & (F.col("_label") != F.col("label"))
+    return now.join(chosen, "value").filter(later).select("a", F.col("cid").alias("b")).distinct()
+
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for first, second in zip(batch["hashes_a"], batch["hashes_b"]):
-                x, y = np.frombuffer(first, np.int64), np.frombuffer(second, np.int64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    return (
-        pairs.join(sets.select(F.col("cid").alias("a"), F.col("hashes").alias("hashes_a")), "a")
-        .join(sets.select(F.col("cid").alias("b"), F.col("hashes").alias("hashes_b")), "b")
-        .mapInPandas(compare, "a long, b long")
+def _searched(members: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs (a, b) of different components among ``members`` (cid, label) that may be similar.
+
+    Over whole sets in the order of how many members have a shingle. What both have is at
+    most what follows, in either, the first shingle they share; that must be enough.
+    """
+    num, den = similarity.numerator, similarity.denominator
+    postings = sets.select("cid", F.explode("hashes").alias("value"))
+    often = postings.groupBy("value").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > 1)
+    shared = postings.join(often, "value").groupBy("cid").agg(
+        F.array_sort(F.collect_list(F.struct("times", "value"))).alias("_shared")  # of one document
+    )
+    alone = F.col("n") - F.size("_shared")
+    take = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * num / den) + 1 - alone).cast("int")
+    lists = materialize(
+        shared.join(sets.select("cid", "n"), "cid")
+        .join(members, "cid")
+        .select("cid", "label", "n", (F.col("n") - alone).alias("_rest"), F.posexplode(F.slice("_shared", F.lit(1), take)))
+        .select("cid", "label", "n", F.col("col.value").alias("value"), (F.col("_rest") - F.col("pos")).alias("rest")),
+        "whole-lists",
+    )
+    other = lists.select(*[F.col(c).alias(c if c == "value" else f"_{c}") for c in lists.columns])
+    most: Column = F.least("rest", "_rest")
+    enough = (
+        (F.col("cid") < F.col("_cid"))
+        & (F.col("label") != F.col("_label"))
+        & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
+        & (most * den >= (F.col("n") + F.col("_n") - most) * num)
     )
+    pairs = lists.join(other, "value").filter(enough)
+    return pairs.select(F.col("cid").alias("a"), F.col("_cid").alias("b")).distinct()
 
 
 def _components(docs: DataFrame, classes: DataFrame, width: int, k: int, similarity: Fraction) -> DataFrame | None:
-    """(cid, label) of all classes that have links."""
+    """(cid, label) of all classes that have links; None if no two meet."""
     lists = _prefixes(classes, k, similarity)
+    sketches = classes.select("cid", "n", F.col("sketch").alias("hashes"))
     labels: DataFrame | None = None
-    done, pivots = 0, FIRST_PIVOTS
-    while True:
+    for done, pivots in zip((0, *PIVOTS), (*PIVOTS, None)):
         now = lists if labels is None else lists.join(labels, "cid", "left")
         now = now.withColumn("label", F.col("cid") if labels is None else F.coalesce("label", "cid"))
         open_lists = (
@@ -224,55 +298,48 @@ def _components(docs: DataFrame, classes: DataFrame, width: int, k: int, similar
             .filter((F.col("_low") != F.col("_high")) & (F.col("_members") > done + 1))
             .select("value")
         )
-        now = materialize(now.join(open_lists, "value", "left_semi"), "open-lists")
-        if now.isEmpty():
-            return labels
+        now = materialize_rows(now.join(open_lists, "value", "left_semi"), "open-lists", lists.count())
+        many = now.count()
+        if not many:
+            break
         lists = now.select("value", "cid")
-        nth = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
-        chosen = (
-            now.withColumn("nth", nth)
-            .filter(F.col("nth") <= pivots)
-            .filter(F.col("nth") > done)
-            .select("value", F.col("cid").alias("a"), F.col("label").alias("_label"))
-        )
-        pairs = materialize(
-            now.join(chosen, "value")
-            .filter((F.col("a") < F.col("cid")) & (F.col("_label") != F.col("label")))
-            .select("a", F.col("cid").alias("b"))
-            .distinct(),
-            "pairs",
-        )
-        ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        sketches = materialize(_only(classes.select("cid", "n", "sketch"), ends, "cid"), "pair-sketches")
-        with_sketches = pairs
-        for end in ("a", "b"):
-            with_sketches = with_sketches.join(
-                sketches.select(F.col("cid").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")), end
-            )
-        judged = materialize(_judged(with_sketches, k, similarity), "judged")
-        sure = judged.filter(F.col("verdict") == 1).select("a", "b")
-        asked = judged.filter(F.col("verdict") == 2).select("a", "b")
-        links = materialize(sure.unionByName(_confirmed(asked, docs, classes, width, similarity)), "found-links")
-        labels = _joined_labels(labels, links)
-        done, pivots = pivots, pivots * MORE_PIVOTS
+        if pivots:
+            pairs = materialize_rows(_listed(now, done, pivots), "pairs", many)
+            many = pairs.count()
+            known = materialize_rows(_only(sketches, _ends(pairs), "cid"), "pair-sketches", many, SKETCH_ROWS, sifted=True)
+            judged = materialize_rows(_judged(_with_both(pairs, known), similarity, k), "judged", many, SKETCH_ROWS)
+            sure = judged.filter(F.col("verdict") == 1).select("a", "b")
+            asked = judged.filter(F.col("verdict") == 2).select("a", "b")
+            ends = materialize_rows(_ends(asked), "asked", many)
+            sets = _whole_sets(ends, docs, classes, width)
+            links = sure.unionByName(_confirmed(asked, sets, similarity))
+        else:
+            members = materialize_rows(now.select("cid", "label").distinct(), "members", many)
+            sets = _whole_sets(members.select("cid"), docs, classes, width)
+            pairs = materialize_rows(_searched(members, sets, similarity), "pairs", many)
+            links = _confirmed(pairs, sets, similarity)
+        labels = _joined_labels(labels, materialize_rows(links, "found-links", pairs.count(), SET_ROWS))
+    return labels
 
 
 def _joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels after new links: components of what the linked nodes belonged to."""
     if labels is None:
-        return materialize(labelled(links).select(F.col("node").alias("cid"), "label"), "components")
+        return labelled(links).select(F.col("node").alias("cid"), "label")
+    many = links.count()
     for end in ("a", "b"):
         now = labels.select(F.col("cid").alias(end), F.col("label").alias(f"_{end}"))
         links = links.join(now, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
-    links = materialize(links, "relabelled")
-    merged = labelled(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    links = materialize_rows(links, "relabelled", many)
+    merged = labelled(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     nodes = labels.unionByName(
         links.select(F.col("a").alias("cid"), F.col("_a").alias("label")).unionByName(
             links.select(F.col("b").alias("cid"), F.col("_b").alias("label"))
         )
     ).distinct()
     moved = nodes.join(merged.select(F.col("node").alias("label"), F.col("label").alias("_to")), "label", "left")
-    return materialize(moved.select("cid", F.coalesce("_to", "label").alias("label")), "components")
+    moved = moved.select("cid", F.coalesce("_to", "label").alias("label"))
+    return materialize_rows(moved, "components", labels.count() + 2 * many)
 
 
 def near_duplicates(

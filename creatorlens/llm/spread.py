@@ -11,7 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import materialize
+
 SLICE_ROWS = 1024
+#: Narrow rows of a written file.
+FILE_ROWS = 100_000
 _SLICE, _BASE, _SUM = "_slice", "_base", "_sum"
 
 
@@ -26,6 +30,18 @@ def unit(order: Column) -> Column:
     return F.conv(F.substring(order, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
+def materialize_rows(
+    df: DataFrame, label: str, rows: int, per_file: int = FILE_ROWS, *, sifted: bool = False
+) -> DataFrame:
+    """``materialize`` for a table of about ``rows`` rows at most: as many files as they need.
+
+    Say ``sifted`` for few rows out of a large scan: they are dealt out anew, so that the
+    scan keeps its tasks.
+    """
+    files = max(1, -(-rows // per_file))
+    return materialize(df.repartition(files) if sifted else df.coalesce(files), label)
+
+
 def running(
     rows: DataFrame,
     key: str,

@@ -4,27 +4,35 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scalars import first_filled
 
 _ENTRIES_PER_NICHE = 1_000_000_000
+_NICHES_PER_DOCUMENT = 1_000_000
 
 
 def flatten(documents: DataFrame) -> DataFrame:
     """One row per entry of registry documents (JSON text in ``value``).
 
     The niche comes from the key; a missing channel_id is NULL. ``position`` keeps
-    the order of the document: niches as listed, entries as listed.
+    the order of the document: niches as listed, entries as listed. Of several
+    documents, those with a smaller number in column ``document`` come first; without
+    that column there must be one only, or positions repeat.
     """
     nested = F.from_json("value", schemas.REGISTRY_DOCUMENT)
-    by_niche = documents.select(F.posexplode(nested).alias("niche_place", "niche", "entries"))
+    number = F.col("document") if "document" in documents.columns else F.lit(0)
+    by_niche = documents.select(
+        number.cast("bigint").alias("document"),
+        F.posexplode(nested).alias("niche_place", "niche", "entries"),
+    )
     entries = by_niche.select(
-        "niche_place", "niche", F.posexplode("entries").alias("place", "entry")
+        "document", "niche_place", "niche", F.posexplode("entries").alias("place", "entry")
     )
-    place = F.col("niche_place").cast("bigint") * _ENTRIES_PER_NICHE + F.col("place")
+    niche_number = F.col("document") * _NICHES_PER_DOCUMENT + F.col("niche_place")
+    place = niche_number * _ENTRIES_PER_NICHE + F.col("place")
     return entries.select(
         "entry.name", "entry.url", "entry.channel_id", "niche", "entry.region",
         place.alias("position"),
@@ -32,8 +40,10 @@ def flatten(documents: DataFrame) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """Registry from JSON files, one document per file."""
-    return flatten(spark.read.text(path, wholetext=True))
+    """Registry from JSON files, one document per file, in the order of their names."""
+    files = spark.read.text(path, wholetext=True).withColumn("_file", F.input_file_name())
+    by_name = Window.orderBy("_file")  # a few curated files
+    return flatten(files.withColumn("document", F.row_number().over(by_name) - 1))
 
 
 def read_yaml(spark: SparkSession, path: str) -> DataFrame:

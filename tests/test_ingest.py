@@ -169,6 +169,14 @@ def test_registry_resolution(spark):
     assert counts == {"tech": (1, 1, 0), "music": (0, 0, 1)}
 
 
+def test_positions_of_several_documents_do_not_meet(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps({"music": [{"name": "last", "url": "u3"}]}))
+    (tmp_path / "a.json").write_text(json.dumps({"tech": [{"name": "first", "url": "u1"}, {"name": "second", "url": "u2"}]}))
+    rows = registry.read_json(spark, str(tmp_path)).orderBy("position").collect()
+    assert [row.name for row in rows] == ["first", "second", "last"]
+    assert len({row.position for row in rows}) == 3
+
+
 # runs
 
 

@@ -58,22 +58,20 @@ def _shape(
 
 
 def duration_pivot(duration_analysis: DataFrame, niches: Sequence[str] = fixed.NICHES) -> DataFrame:
-    categories, labels = zip(*fixed.DURATION_LABELS)
-    rows = literal_rows(
-        duration_analysis.sparkSession, duration_category=categories, duration=labels
-    )
+    categories = [category for category, _ in fixed.DURATION_LABELS]
+    rows = literal_rows(duration_analysis.sparkSession, duration_category=categories)
     shaped = _shape(duration_analysis, "duration_category", rows, "avg_views", niches)
-    return shaped.select("duration", *niches)
+    label = display.duration_label(F.col("duration_category"))
+    return shaped.select(label.alias("duration"), *niches)
 
 
 def upload_day_pivot(upload_days: DataFrame, niches: Sequence[str] = fixed.NICHES) -> DataFrame:
     rows = literal_rows(
         upload_days.sparkSession,
         upload_day_of_week=list(range(1, len(fixed.DAY_NAMES) + 1)),
-        day=fixed.DAY_NAMES,
     )
     shaped = _shape(upload_days, "upload_day_of_week", rows, "count", niches)
-    return shaped.select("day", *niches)
+    return shaped.select(display.day_label(F.col("upload_day_of_week")).alias("day"), *niches)
 
 
 def id_vs_global(niche_region: DataFrame) -> DataFrame:

@@ -190,7 +190,7 @@ def identify(samples: Samples):
                     begin, size = end, 0
             yield pd.DataFrame({"lang": names, "score": scores})
 
-    return language
+    return language.asNondeterministic()  # else a filter on the answer asks for it twice
 
 
 def with_language(docs: DataFrame, samples: Samples, text: str = "text") -> DataFrame:

@@ -109,7 +109,7 @@ def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
                 counts[row] = count_long(model, text, chunk, overlap)
             yield counts
 
-    return n_tokens
+    return n_tokens.asNondeterministic()  # else a filter on the count counts twice
 
 
 def with_token_counts(

@@ -69,11 +69,11 @@ def byte_bpe(path: str) -> Callable[[str], np.ndarray]:
     The ids come from a faster implementation of the same vocabulary; tests hold it
     against ``tokenizers``. Texts of more than ``FAST_CHARS`` go to ``tokenizers``.
     """
-    fast, plain = _ranks(path), _tokenizer(path)
+    fast = _ranks(path)
 
     def encode(text: str) -> np.ndarray:
         if len(text) > FAST_CHARS:
-            return np.asarray(plain.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            return np.asarray(_tokenizer(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return fast.encode_to_numpy(text, allowed_special="all")
 
     return encode

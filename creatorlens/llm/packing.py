@@ -44,28 +44,36 @@ def fillings(room: int, counts: np.ndarray, branches: int, nodes: int) -> list[t
     smallest = present[-1]
     used: dict[int, int] = {}
 
-    def descend(at: int, free: int, chosen: list[int]) -> None:
-        left[0] -= 1
-        if free < smallest:
-            offer(free, chosen)
-            return
-        extended = False
-        for i in range(at, len(present)):
-            size = present[i]
-            if size > free or used.get(size, 0) >= counts[size]:
+    def descend() -> None:
+        """Depth first over a stack of its own: a filling may hold thousands of pieces."""
+        chosen: list[int] = []
+        nodes_open = [(0, 0, room)]  # first length allowed, next one to try, room left
+        while nodes_open:
+            at, trying, free = nodes_open.pop()
+            extended = trying > at
+            if not extended:
+                left[0] -= 1
+            going, given_up = None, False
+            if free >= smallest:
+                for i in range(trying, len(present)):
+                    if present[i] <= free and used.get(present[i], 0) < counts[present[i]]:
+                        going = i
+                        break
+            if going is not None:
+                given_up = left[0] <= 0 and bool(kept) or len(kept) == branches and kept[0][0] == 0 == kept[-1][0]
+            if going is not None and not given_up:
+                size = present[going]
+                nodes_open += [(at, going + 1, free), (going, going, free - size)]
+                used[size] = used.get(size, 0) + 1
+                chosen.append(size)
                 continue
-            if left[0] <= 0 and kept or len(kept) == branches and kept[0][0] == 0 == kept[-1][0]:
-                return
-            extended = True
-            used[size] = used.get(size, 0) + 1
-            chosen.append(size)
-            descend(i, free - size, chosen)
-            chosen.pop()
-            used[size] -= 1
-        if not extended and not any(
-            size <= free and used.get(size, 0) < counts[size] for size in present[:at]
-        ):
-            offer(free, chosen)
+            if not extended and not given_up and (
+                free < smallest
+                or not any(size <= free and used.get(size, 0) < counts[size] for size in present[:at])
+            ):
+                offer(free, chosen)
+            if chosen:
+                used[chosen.pop()] -= 1
 
     def offer(waste: int, chosen: list[int]) -> None:
         found = tuple(chosen)
@@ -76,7 +84,7 @@ def fillings(room: int, counts: np.ndarray, branches: int, nodes: int) -> list[t
         kept.sort(key=lambda x: (x[0], len(x[1])))
         del kept[branches:]
 
-    descend(0, room, [])
+    descend()
     return [found for _, found in kept]
 
 

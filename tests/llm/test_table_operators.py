@@ -209,6 +209,21 @@ def test_bin_completion_reaches_the_bound_where_plain_best_fit_does_not():
         assert sum(t for t, _ in plan) <= packing.least_sequences(counts, 100) + 2
 
 
+def test_thousands_of_pieces_in_one_sequence(documents):
+    path = by_path.vocabulary("byte_bpe_50k.json")
+    rows = packing.pack_documents(documents([(i, None) for i in range(5000)]), path, 2048).collect()
+    assert len(rows) == 5000 and placed(rows, 2048) == 3
+    counts = np.zeros(2049, dtype=np.int64)
+    counts[[1, 2, 700, 1500]] = 3000, 4000, 5, 9
+    plan = packing.bin_completion(counts, 2048)
+    used = Counter()
+    for times, filling in plan:
+        assert sum(filling) <= 2048
+        for size in filling:
+            used[size] += times
+    assert used == {1: 3000, 2: 4000, 700: 5, 1500: 9}
+
+
 def test_packed_documents_round_trip(documents):
     rng = random.Random(3)
     texts = [None, "", "<|endoftext|> a", "x", "x", "long text " * 700] + ["word " * rng.randint(1, 300) for _ in range(80)]

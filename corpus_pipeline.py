@@ -45,7 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per time that the mix takes a document; the last one of a source may be cut."""
+    """A row per time that the mix takes a document, by shard; the last one of a source may be cut."""
     ship(spark)
     return mixing.mixed_documents(docs, MIX_WEIGHTS, MIX_SHARE)
 

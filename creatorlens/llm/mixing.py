@@ -117,7 +117,8 @@ def mix(
     place) per time the document is drawn. A source with a target of t words in S is
     read in its random order until t words are taken, starting anew after S words, so a
     document is taken t/S times rounded up or down and only the last one of a source is
-    cut. A document belongs to the block that holds its first word. Documents without
+    cut. A document belongs to the block that holds its first word, and is drawn in the
+    passes in which the tree dealt that block to a shard. Documents without
     words and sources without words take nothing. NULL is a source of its own; repeated
     rows are documents of their own; an empty table gives an empty one.
     """
@@ -176,14 +177,15 @@ def mix(
     ).withColumn("_block", F.floor(F.col("_before") / block_words))
 
     def one(nth: int) -> Column:
-        words = F.greatest(
-            F.lit(0), F.least(F.col("size"), F.col("_goal") - F.col("source_size") * nth - F.col("_before"))
-        ).cast("long")
+        """What a drawn block gives of a document; the block in which the goal ends gives a part."""
+        shard = F.try_element_at("_shards", F.lit(nth).cast("long"))
+        left = F.col("_goal") - F.col("source_size") * nth - F.col("_before")
+        words = F.when(shard.isNotNull(), F.greatest(F.lit(0), F.least(F.col("size"), left))).otherwise(0)
         return F.struct(
             F.lit(nth).cast("long").alias("pass"),
-            words.alias("words"),
+            words.cast("long").alias("words"),
             F.col("_block").alias("block"),
-            F.col("_shards")[F.lit(nth).cast("long")].alias("shard"),
+            shard.alias("shard"),
             shuffled_order("_order", F.lit(nth), seed=seed + 1).alias("place"),
         )
 
@@ -205,14 +207,17 @@ def first_words(text: Column, words: Column) -> Column:
 def mixed_documents(docs: DataFrame, weights: Sequence[int], share: float, **settings) -> DataFrame:
     """The mix itself: a row per draw with the columns of ``docs`` (doc_id, source, text).
 
-    Only names and sizes are shuffled for the draws. A document of which the mix takes a
-    part ends with its last word taken, and its n_chars, if there, follows. The shards of
-    the draws are those of ``mix``; ``in_shards`` lays rows out by them.
+    Names and sizes are shuffled for the draws, then each text drawn once to its shard. A
+    document of which the mix takes a part ends with its last word taken, and its n_chars,
+    if there, follows. Rows come by ``in_shards``: a partition per shard, shuffled within.
     """
     numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     sized = materialize(numbered.select("__row", "doc_id", "source", n_words("text").alias("size")), "sized")
     drawn = mix(sized, weights, share, **settings).select("__row", F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
-    draws = materialize(drawn.select("__row", "__size", F.col("__draw.words").alias("__words")), "draws")
+    draws = materialize(
+        drawn.select("__row", "__size", *[F.col(f"__draw.{n}").alias(f"__{n}") for n in ("words", "shard", "place")]), "draws"
+    )
+    last = draws.agg(F.max("__shard")).first()[0]
     ids = F.broadcast(draws) if measured_bytes(draws) <= BROADCAST_BYTES else draws
     part = F.col("__words") < F.col("__size")
     taken = numbered.join(ids, "__row").withColumn(
@@ -220,10 +225,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int], share: float, **set
     )
     if "n_chars" in docs.columns:
         taken = taken.withColumn("n_chars", F.when(part, F.length("text")).otherwise(F.col("n_chars")))
-    return taken.select(*docs.columns)
+    return in_shards(taken, 1 + (last or 0), "__shard", "__place").select(*docs.columns)
 
 
-def in_shards(mixed: DataFrame, shards: int) -> DataFrame:
-    """Rows of ``mix``, one per draw, in one partition per shard and shuffled within it."""
-    drawn = mixed.withColumn("draw", F.explode("draws")).select("*", "draw.*").drop("draws", "draw")
-    return drawn.repartition(shards, "shard").sortWithinPartitions("shard", "place")
+def in_shards(drawn: DataFrame, shards: int, shard: str = "shard", place: str = "place") -> DataFrame:
+    """Rows, one per draw, in one partition per shard and shuffled within it."""
+    return drawn.repartitionById(shards, F.col(shard).cast("int")).sortWithinPartitions(place)

@@ -72,6 +72,36 @@ def test_mixed_documents_keep_columns_and_cut_one_per_source(documents):
     assert all(n <= 1 for n in cut.values())
 
 
+def test_rows_come_from_the_blocks_that_the_tree_drew(documents, monkeypatch):
+    rows = sized(documents, [(i, f"w{i} " * 20, "en", f"s{i % 2}") for i in range(60)])
+    settings = {"block_words": 100, "shard_blocks": 3}
+    whole = mixing.mix(rows, (3, 1, 2), 1.5, **settings).collect()
+    dealt = mixing.shard_quotas
+
+    def without_shard_2(quotas, shards, shard, seed):
+        before, here = dealt(quotas, shards, shard, seed)
+        return before, here * (shard != 2)
+
+    monkeypatch.setattr(mixing, "shard_quotas", without_shard_2)
+    less = {r["doc_id"]: r["taken"] for r in mixing.mix(rows, (3, 1, 2), 1.5, **settings).collect()}
+    want = {r["doc_id"]: sum(d["words"] for d in r["draws"] if d["shard"] != 2) for r in whole}
+    assert less == want and sum(want.values()) < sum(r["taken"] for r in whole)
+
+
+def test_mixed_documents_lie_by_shard(documents):
+    rows = [(i, f"w{i} " * 20, "en", f"s{i % 2}") for i in range(60)]
+    settings = {"block_words": 100, "shard_blocks": 3}
+    want = defaultdict(list)
+    for r in mixing.mix(sized(documents, rows), (3, 1, 2), 1.5, **settings).collect():
+        for d in r["draws"]:
+            want[d["shard"]].append((d["place"], r["doc_id"]))
+    got = mixing.mixed_documents(documents(rows), (3, 1, 2), 1.5, **settings)
+    parts = defaultdict(list)
+    for r in got.withColumn("at", F.spark_partition_id()).collect():
+        parts[r["at"]].append(r["doc_id"])
+    assert parts == {s: [d for _, d in sorted(v)] for s, v in want.items()} and len(parts) > 3
+
+
 def tree(spark, rows):
     return spark.createDataFrame(rows, "tree string, node long, parent long, score double, role string, text string")
 

@@ -21,10 +21,14 @@ SHINGLE_WORDS, SIMILARITY = 5, "0.8"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; a missing language is filled in."""
+    """Documents without a letter go; a missing language is filled in.
+
+    A text with letters stays even if the model has no name for it, as without any samples;
+    its missing language is then ``und``.
+    """
     ship(spark)
     named = language_id.with_language(docs, language_samples(docs))
-    kept = named.filter(F.col("lang_pred") != language_id.UNKNOWN)
+    kept = named.filter(F.col("text").rlike(r"\p{L}") | (F.col("lang_pred") != language_id.UNKNOWN))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

@@ -338,5 +338,13 @@ def test_pipeline_stage_by_stage(spark, documents):
         assert out.collect() == []
 
 
+def test_documents_stay_when_no_language_is_known(spark, documents):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "some words", None, "s"), (2, "слова", None, "s"), (3, "12 !", None, "s"), (4, None, None, "s"), (5, "", None, None)]
+    kept = pipeline.known_language(spark, documents(rows), "unused").collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in kept) == [(1, "und"), (2, "und")]
+
+
 def test_fractions_of_similarity():
     assert near_dedup.least_overlap(96, 0.85) < 96 * 0.7 and Fraction("0.85") == Fraction(85, 100)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -20,74 +19,137 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Draws per fingerprint, and numbers that words are hashed to (each with its own draws).
-SAMPLES, TERMS = 64, 2**16
+#: Draws per fingerprint.
+SAMPLES = 64
 #: Text of neighbours that one task holds.
 GROUP_BYTES = 8 * 1024 * 1024
-#: Words whose numbers a task remembers.
-KEPT_WORDS = 100_000
+#: Words whose draws a task remembers, whose draws are compared at a time, and made at a time.
+KEPT_WORDS, STEP_WORDS, TOGETHER = 65_536, 2_048, 256
 _NONE = 0  # what an empty bag draws
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    digests = [hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest() for w in words]
+    return np.frombuffer(b"".join(digests), "<u8").astype(np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of 64-bit numbers (the finaliser of SplitMix64), in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
 @functools.cache
-def _draws(samples: int, terms: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per term and draw: log of the race value at weight 1, slope r, and shift beta."""
+def _counters(samples: int, seed: int) -> np.ndarray:
+    """A number per hash that a word needs: two for each draw."""
     made = np.random.Generator(np.random.PCG64(seed))
-    shape = (terms, samples)
-    slope = made.gamma(2.0, 1.0, shape)
-    race = np.log(made.gamma(2.0, 1.0, shape))
-    shift = made.random(shape)
-    return (race + slope * shift - slope).astype(np.float32), slope.astype(np.float32), shift.astype(np.float32)
+    return made.integers(0, 2**64, 2 * samples, dtype=np.uint64)
+
 
+def _uniform(hashes: np.ndarray, shift: int) -> np.ndarray:
+    """21 bits of each hash as a number between 0 and 1."""
+    bits = (hashes >> np.uint64(shift)).astype(np.uint32) & np.uint32(0x1FFFFF)
+    found = bits.astype(np.float32)
+    found += np.float32(0.5)
+    found *= np.float32(2.0**-21)
+    return found
 
-def sketcher(samples: int = SAMPLES, terms: int = TERMS, seed: int = 0) -> Callable[[str], str]:
+
+def draws(keys: np.ndarray, samples: int = SAMPLES, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word key and draw: log of the race value at weight 1, slope r, and shift beta.
+
+    Computed from key, draw and seed alone, so every word has draws of its own. Slope and
+    race value are gamma-distributed with shape 2: minus the log of two uniform numbers.
+    """
+    base, slope, shift = (np.empty((len(keys), samples), np.float32) for _ in range(3))
+    for begin in range(0, len(keys), TOGETHER):
+        own = slice(begin, begin + TOGETHER)
+        found = _mixed(keys[own, None] ^ _counters(samples, seed))
+        first, second = found[:, :samples], found[:, samples:]
+        slope[own] = -np.log(_uniform(first, 0) * _uniform(first, 21))
+        shift[own] = _uniform(first, 42)
+        # The race is won by small values: logs of products near 1, so no bit may be lost there.
+        race = np.log(-np.log1p(-_uniform(second, 0)) - np.log1p(-_uniform(second, 21)))
+        base[own] = race + slope[own] * shift[own] - slope[own]
+    return base, slope, shift
+
+
+class _Words:
+    """Draws of words by their slots. Forgets all words when there is no room for more."""
+
+    def __init__(self, samples: int, seed: int):
+        self.samples, self.seed = samples, seed
+        self.slots: dict[str, int] = {}
+        self.keys = np.empty(KEPT_WORDS, np.uint64)
+        self.base, self.slope, self.shift = (np.empty((KEPT_WORDS, samples), np.float32) for _ in range(3))
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """Slots of at most ``STEP_WORDS`` different words."""
+        fresh = [w for w in words if w not in self.slots]
+        if len(self.slots) + len(fresh) > KEPT_WORDS:
+            self.slots.clear()
+            fresh = words
+        if fresh:
+            begin = len(self.slots)
+            own = slice(begin, begin + len(fresh))
+            self.slots.update(zip(fresh, range(begin, own.stop)))
+            self.keys[own] = word_keys(fresh)
+            self.base[own], self.slope[own], self.shift[own] = draws(self.keys[own], self.samples, self.seed)
+        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+
+
+@functools.lru_cache(maxsize=1)
+def _words(samples: int, seed: int) -> _Words:
+    return _Words(samples, seed)
+
+
+def sketcher(samples: int = SAMPLES, seed: int = 0) -> Callable[[str], str]:
     """Function from a text to its fingerprint: four hexadecimal digits per draw.
 
     With a word of weight w, t = floor(ln w / r + beta), the draw's value is
-    ln c - r (t - beta) - r, and the least value over the words wins.
+    ln c - r (t - beta) - r, and the least value over the words wins. Words are told apart
+    by 64-bit hashes, and the least of them wins among equal values.
     """
-    base, slope, shift = _draws(samples, terms, seed)
-    remembered: dict[str, int] = {}
-
-    def term(word: str) -> int:
-        found = remembered.get(word)
-        if found is None:
-            if len(remembered) >= KEPT_WORDS:
-                remembered.clear()
-            found = remembered[word] = zlib.crc32(word.encode("utf-8", "replace")) % terms
-        return found
-
+    known = _words(samples, seed)
     columns = np.arange(samples)
     empty = f"{_NONE:04x}" * samples
 
     def sketch(text: str) -> str:
-        words = text.split()
-        if not words:
+        counted = Counter(text.split())
+        if not counted:
             return empty
-        ids = np.fromiter(map(term, words), dtype=np.int64, count=len(words))
-        ids, weights = np.unique(ids, return_counts=True)
-        once = ids[weights == 1]
+        words = list(counted)
+        counts = np.fromiter(counted.values(), np.int64, len(words))
         best = np.full(samples, np.inf, dtype=np.float32)
-        picked = np.zeros(samples, dtype=np.int64)
+        picked = np.zeros(samples, dtype=np.uint64)
         level = np.zeros(samples, dtype=np.int64)
-        if len(once):
-            values = base[once]
-            at = values.argmin(axis=0)
-            best, picked = values[at, columns], once[at]
-        more = ids[weights > 1]
-        if len(more):
-            r = slope[more]
-            t = np.floor(np.log(weights[weights > 1]).astype(np.float32)[:, None] / r + shift[more])
-            values = base[more] - r * t
-            at = values.argmin(axis=0)
-            least = values[at, columns]
-            wins = (least < best) | ((least == best) & (more[at] < picked))
-            picked = np.where(wins, more[at], picked)
-            level = np.where(wins, t[at, columns].astype(np.int64), level)
-        mixed = (picked * 0x9E3779B1 + level * 0x85EBCA77 + 0x27D4EB2F) & 0xFFFFFFFF
-        mixed ^= mixed >> 15
-        mixed = (mixed * 0x2C1B3C6D) & 0xFFFFFFFF
-        short = ((mixed ^ (mixed >> 16)) % 0xFFFF + 1).astype(">u2")
+        for begin in range(0, len(words), STEP_WORDS):
+            slots = known.find(words[begin : begin + STEP_WORDS])
+            weights = counts[begin : begin + STEP_WORDS]
+            order = np.argsort(known.keys[slots])
+            slots, weights = slots[order], weights[order]
+            once, often = slots[weights == 1], slots[weights > 1]
+            for own, many in ((once, None), (often, weights[weights > 1])):
+                if not len(own):
+                    continue
+                values, t = known.base[own], None
+                if many is not None:
+                    r = known.slope[own]
+                    t = np.floor(np.log(many).astype(np.float32)[:, None] / r + known.shift[own])
+                    values -= r * t
+                at = values.argmin(axis=0)
+                least, keys = values[at, columns], known.keys[own[at]]
+                wins = (least < best) | ((least == best) & (keys < picked))
+                best = np.where(wins, least, best)
+                picked = np.where(wins, keys, picked)
+                level = np.where(wins, 0 if t is None else t[at, columns].astype(np.int64), level)
+        mixed = _mixed(picked + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        short = (mixed % np.uint64(0xFFFF) + np.uint64(1)).astype(">u2")
         return short.tobytes().hex()
 
     return sketch
@@ -109,7 +171,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLE
 
     @F.pandas_udf("string")
     def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sketch = sketcher(samples, TERMS, seed)
+        sketch = sketcher(samples, seed)
         for texts in batches:
             yield texts.fillna("").map(sketch)
 
@@ -185,15 +247,16 @@ def neighbours(docs: DataFrame, samples: int = SAMPLES, *, group_bytes: int = GR
     )
 
     def compared(part: pd.DataFrame) -> pd.DataFrame:
-        sketch = sketcher(samples, TERMS, seed)
+        sketch = sketcher(samples, seed)
         guests = part[part["_guest"]].sort_values("text", ascending=False).head(1)
         own = part[~part["_guest"]].sort_values(["_id", "_tie", "text"], ascending=False)
         texts = [*own["text"].tolist(), *guests["text"].tolist()]
-        prints = [sketch(t) for t in texts]
+        prints = [sketch(t) for t in texts[:1]]
         out = []
         for nth, name in enumerate(own["doc_id"].array):
             text, after = texts[nth], texts[nth + 1]
-            changed = edited(text, after)
+            prints.append(sketch(after))
+            changed = edited(text, after)  # its words are those of the two texts just read
             of_changed = sketch(changed)
             out.append(
                 (

@@ -166,6 +166,15 @@ def test_toxicity_without_labels_of_one_kind(documents):
     assert toxicity.with_toxicity(documents([(1, "a b")]), none).first()["toxicity"] < 0.01
 
 
+def test_long_texts_without_a_common_word_are_unlike():
+    sketch = fingerprints.sketcher()
+    first, second, mixed = (" ".join(f"w{i}" for i in range(b, b + 80_000)) for b in (0, 100_000, 40_000))
+    assert fingerprints.likeness(sketch(first), sketch(second)) <= 1 / 64
+    backwards = " ".join(reversed(first.split()))
+    assert sketch(backwards) == sketch(first)
+    assert abs(fingerprints.likeness(sketch(first), sketch(mixed)) - 1 / 3) < 0.2
+
+
 def test_neighbours_as_one_sorted_list(documents):
     rng = random.Random(9)
     rows = [(i * 3, " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 60)))) for i in range(200)]

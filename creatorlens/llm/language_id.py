@@ -8,7 +8,6 @@ much in common. Phrases weigh log2 of the sample's size, as a pointer into it wo
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +19,10 @@ from pyspark.sql import functions as F
 #: The model is fitted on so many documents of each language and code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 500
 UNKNOWN = "und"
-#: Symbols: letters outside the alphabet, everything that is no letter, then the alphabet.
-_OTHER, _GAP, _SYMBOLS = 0, 1, 64
+#: Symbols: letters that no sample has, everything that is no letter, then the letters of all samples.
+_OTHER, _GAP = 0, 1
+#: Transitions of a language are a table up to so many fields and sorted edges beyond.
+TABLE_FIELDS = 2**23
 #: Texts are parsed in segments of so many symbols, so many symbols at a time.
 SEGMENT, TOGETHER = 1_024, 2_000_000
 
@@ -55,45 +56,93 @@ def collect_samples(
     for row in sorted(rows, key=lambda r: (r["lang"], r["nth"])):
         parts.setdefault(row["lang"], []).append(row["part"])
     names = tuple(sorted(parts))
-    return Samples(names, tuple("\n".join(parts[n])[:32_000] for n in names))
+    return Samples(names, tuple("\n".join(parts[n]) for n in names))
 
 
-def suffix_automaton(symbols: list[int]) -> np.ndarray:
-    """Transitions [state, symbol] of all substrings; 0 (the start) stands for none."""
-    size = 2 * len(symbols) + 1
-    step = np.zeros((size, _SYMBOLS), dtype=np.uint16)
-    link, length = [-1] * size, [0] * size
-    last, made = 0, 1
+@dataclass(frozen=True)
+class Automaton:
+    """Transitions of all substrings of a sample; state 0 is the start and stands for none.
+
+    Symbols are numbered anew from those the sample has: ``own_of`` gives 0 for others.
+    Transitions are a table by state and own symbol or, for a large alphabet, edges sorted
+    by state * width + own symbol.
+    """
+
+    own_of: np.ndarray
+    width: int
+    start: np.ndarray
+    table: np.ndarray | None
+    edges: np.ndarray | None
+    targets: np.ndarray | None
+
+    def follow(self, states: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The states after these, 0 where there is no transition."""
+        if self.table is not None:
+            return self.table[states * self.width + own]
+        following = np.zeros(len(states), dtype=self.targets.dtype)
+        held = np.flatnonzero(own)
+        wanted = states[held] * self.width + own[held]
+        at = np.searchsorted(self.edges, wanted)
+        found = self.edges[at] == wanted  # the last edge is greater than any
+        following[held[found]] = self.targets[at[found]]
+        return following
+
+
+def suffix_automaton(symbols: list[int], many: int, fields: int = TABLE_FIELDS) -> Automaton:
+    """The automaton of a sample over symbols below ``many``."""
+    step: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
     for c in symbols:
-        new, made = made, made + 1
-        length[new] = length[last] + 1
+        new = len(step)
+        step.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         at = last
-        while at >= 0 and not step[at, c]:
-            step[at, c] = new
+        while at >= 0 and c not in step[at]:
+            step[at][c] = new
             at = link[at]
-        if at < 0:
-            link[new] = 0
-        else:
-            target = int(step[at, c])
+        if at >= 0:
+            target = step[at][c]
             if length[target] == length[at] + 1:
                 link[new] = target
             else:
-                clone, made = made, made + 1
-                step[clone] = step[target]
-                length[clone], link[clone] = length[at] + 1, link[target]
-                while at >= 0 and step[at, c] == target:
-                    step[at, c] = clone
+                clone = len(step)
+                step.append(dict(step[target]))
+                link.append(link[target])
+                length.append(length[at] + 1)
+                while at >= 0 and step[at].get(c) == target:
+                    step[at][c] = clone
                     at = link[at]
                 link[target] = link[new] = clone
         last = new
-    return step[:made].copy()
+    held = np.array(sorted(step[0]), dtype=np.int64)
+    own_of = np.zeros(many, dtype=np.int32)
+    own_of[held] = np.arange(1, len(held) + 1)
+    width = len(held) + 1
+    sizes = np.fromiter(map(len, step), np.int64, len(step))
+    states = np.repeat(np.arange(len(step)), sizes)
+    chars = np.fromiter((c for row in step for c in row), np.int64, len(states))
+    kind = np.uint16 if len(step) <= 2**16 else np.uint32
+    targets = np.fromiter((t for row in step for t in row.values()), kind, len(states))
+    edges = states * width + own_of[chars]
+    start = np.zeros(width, dtype=kind)
+    start[edges[: sizes[0]]] = targets[: sizes[0]]
+    if len(step) * width <= fields:
+        table = np.zeros(len(step) * width, dtype=kind)
+        table[edges] = targets
+        return Automaton(own_of, width, start, table, None, None)
+    order = np.argsort(edges)
+    return Automaton(
+        own_of, width, start, None, np.append(edges[order], np.iinfo(np.int64).max), np.append(targets[order], kind(0))
+    )
 
 
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
     symbol_of: np.ndarray
-    automata: tuple[np.ndarray, ...]
+    automata: tuple[Automaton, ...]
     weights: tuple[float, ...]
 
 
@@ -104,18 +153,21 @@ def _letters() -> np.ndarray:
 
 @functools.lru_cache(maxsize=2)
 def fitted(samples: Samples) -> Model:
-    seen = Counter(c for text in samples.texts for c in text.lower() if c.isalpha())
-    alphabet = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: _SYMBOLS - 2])
-    symbol_of = np.where(_letters(), _OTHER, _GAP).astype(np.uint8)
+    """All letters of the samples are symbols; letters that differ in case only are one."""
+    folded = {c: low if len(low := c.lower()) == 1 else c for text in samples.texts for c in set(text) if c.isalpha()}
+    alphabet = sorted(set(folded.values()))
+    symbol_of = np.where(_letters(), _OTHER, _GAP).astype(np.uint8 if len(alphabet) <= 254 else np.int32)
     for nth, letter in enumerate(alphabet, 2):
         symbol_of[ord(letter)] = nth
-        if len(upper := letter.upper()) == 1:
+        if len(upper := letter.upper()) == 1 and upper.lower() == letter:
             symbol_of[ord(upper)] = nth
+    for c, letter in folded.items():
+        symbol_of[ord(c)] = symbol_of[ord(letter)]
     coded = [symbol_of[_points(text)] for text in samples.texts]
     return Model(
         samples.languages,
         symbol_of,
-        tuple(suffix_automaton(c.tolist()) for c in coded),
+        tuple(suffix_automaton(c.tolist(), len(alphabet) + 2) for c in coded),
         tuple(float(np.log2(len(c) + 2)) for c in coded),
     )
 
@@ -124,19 +176,19 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
 
 
-def phrases(step: np.ndarray, columns: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def phrases(automaton: Automaton, columns: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Phrases of each segment; segments are columns, the longest first."""
-    flat, start = step.ravel(), step[0]
-    state = np.zeros(columns.shape[1], dtype=np.int32)
+    start = automaton.start
+    state = np.zeros(columns.shape[1], dtype=np.int64)
     count = np.zeros(columns.shape[1], dtype=np.int32)
     active = columns.shape[1]
     for place in range(columns.shape[0]):
         while active and lengths[active - 1] <= place:
             active -= 1
-        symbol = columns[place, :active]
-        following = flat[state[:active] * _SYMBOLS + symbol]
+        own = automaton.own_of[columns[place, :active]]
+        following = automaton.follow(state[:active], own)
         missed = np.flatnonzero(following == 0)
-        again = start[symbol[missed]]
+        again = start[own[missed]]
         # A phrase ends before the symbol; one that the sample lacks is a phrase of its own.
         count[missed] += (state[missed] != 0).astype(np.int32) + (again == 0)
         following[missed] = again
@@ -155,12 +207,12 @@ def classify(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     whole = [coded[i][b : b + SEGMENT] for i in known for b in range(0, len(coded[i]), SEGMENT)]
     lengths = np.array([len(s) for s in whole])
     order = np.argsort(-lengths, kind="stable")
-    columns = np.full((int(lengths[order[0]]), len(whole)), _GAP, dtype=np.uint8)
+    columns = np.full((int(lengths[order[0]]), len(whole)), _GAP, dtype=model.symbol_of.dtype)
     for at, nth in enumerate(order.tolist()):
         columns[: lengths[nth], at] = whole[nth]
     costs = np.empty((len(model.languages), len(texts)))
-    for nth, (step, weight) in enumerate(zip(model.automata, model.weights)):
-        found = phrases(step, columns, lengths[order])
+    for nth, (automaton, weight) in enumerate(zip(model.automata, model.weights)):
+        found = phrases(automaton, columns, lengths[order])
         costs[nth] = np.bincount(owner[order], weights=found, minlength=len(texts)) * weight
     ranked = np.sort(costs, axis=0)
     best = np.argmin(costs, axis=0)  # the first of equal ones: languages are in order

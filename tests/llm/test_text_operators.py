@@ -126,6 +126,44 @@ def test_phrases_are_greedy_longest_matches():
         assert found == brute.cross_phrases(sample, text)
 
 
+@pytest.mark.parametrize("fields", [0, language_id.TABLE_FIELDS])
+def test_phrases_over_a_large_alphabet(fields):
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    sample = "".join(rng.choice(letters[:200]) for _ in range(3000))
+    model = language_id.fitted(language_id.Samples(("x",), (sample,)))
+    automaton = language_id.suffix_automaton(model.symbol_of[language_id._points(sample)].tolist(), 202, fields)
+    assert (automaton.table is None) == (fields == 0)
+    for _ in range(30):
+        text = sample[(b := rng.randrange(2900)) : b + 50] + "".join(rng.choice(letters) for _ in range(60))
+        coded = model.symbol_of[language_id._points(text)]
+        found = language_id.phrases(automaton, coded[:, None], np.array([len(coded)]))[0]
+        assert found == brute.cross_phrases(sample, text)
+
+
+def test_languages_of_many_letters_are_told_apart():
+    rng = random.Random(5)
+    words = {
+        name: ["".join(chr(rng.randrange(first, first + 400)) for _ in range(rng.randint(1, 3))) for _ in range(150)]
+        for name, first in (("ja", 0x4F00), ("ko", 0xAC00), ("zh", 0x4E00))  # ja and zh share letters
+    }
+    words["ru"] = ["".join(chr(rng.randrange(0x430, 0x450)) for _ in range(5)) for _ in range(150)]
+    words["en"] = ["".join(chr(rng.randrange(97, 123)) for _ in range(5)) for _ in range(150)]
+    prose = lambda name, n: " ".join(rng.choice(words[name]) for _ in range(n))
+    names = tuple(sorted(words))
+    model = language_id.fitted(language_id.Samples(names, tuple(prose(n, 2000) for n in names)))
+    truth = [names[i % 5] for i in range(100)]
+    assert language_id.classify(model, [prose(n, 20) for n in truth])[0] == truth
+
+
+def test_samples_are_as_long_as_asked_for(documents):
+    rows = documents([(i, "abc " * 20_000) for i in range(2)])
+    samples = language_id.collect_samples(rows.select("text", "lang", F.col("doc_id").alias("order")), 2, 50_000)
+    assert len(samples.texts[0]) == 2 * 50_000 + 1
+    found = language_id.classify(language_id.fitted(samples), ["abc abc"])
+    assert found == (["en"], [1.0])
+
+
 def test_language_of_held_out_documents(spark, given):
     from creatorlens.llm.queries import op5_language_id
 

@@ -39,9 +39,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets give way to a mark; every document stays, with its new number of characters."""
+    """Secrets give way to a mark; every document stays, with its new number of characters.
+
+    Beyond ``op1_secret_scan``, whose SQL is fixed, an allowed word clears its own piece of a
+    candidate only, and keys in letters of one case are looked for.
+    """
     text = secret_scan.redacted(F.col("text"), F.col("secret_spans"))
-    cleaned = secret_scan.scan(docs).withColumn("__clean", text)
+    scanned = secret_scan.scan(docs, classes=secret_scan.CLASSES + secret_scan.ONE_CASE, pieces=True)
+    cleaned = scanned.withColumn("__clean", text)
     found = F.size("secret_spans") > 0
     return cleaned.withColumns(
         {"text": F.col("__clean"), "n_chars": F.when(found, F.length("__clean")).otherwise(F.col("n_chars"))}

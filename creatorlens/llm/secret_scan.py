@@ -53,6 +53,13 @@ ALLOWED = (
     "d41d8cd98f00b204e9800998ecf8427e",
 )
 KINDS = ("assign", "access", "hex", *[c.kind for c in CLASSES])
+#: Random keys in letters of one case and digits, as base32: for redaction, beside ``CLASSES``.
+ONE_CASE = (
+    CharacterClass("entropy_lower", "a-z0-9", 3.5, ("[0-9].*[0-9].*[0-9]", "[a-z]")),
+    CharacterClass("entropy_upper", "A-Z0-9", 3.5, ("[0-9].*[0-9].*[0-9]", "[A-Z]")),
+)
+#: What ends a piece of a candidate, if the allow-list is to look at pieces.
+PIECE_ENDS = "/="
 _SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
 
 
@@ -145,16 +152,52 @@ def random_parts(candidate: Column, start: Column, of: CharacterClass, rank: int
     )
 
 
-def _entropy_spans(text: Column, of: CharacterClass, rank: int, window: int, allowed: tuple[str, ...]) -> Column:
+def _without_allowed(m: Column, allowed: tuple[str, ...]) -> Column:
+    """What is left of a candidate on both sides of its allowed pieces, as structs (start, match).
+
+    Pieces end after a character of ``PIECE_ENDS``; neighbours that are not allowed stay together.
+    """
+    empty = F.array().cast("array<struct<start:bigint,match:string>>")
+    zero = F.struct(
+        m["start"].cast("bigint").alias("at"), m["start"].cast("bigint").alias("from"), F.lit("").alias("open"), empty.alias("out")
+    )
+
+    def closed(s: Column) -> Column:
+        done = F.struct(s["from"].alias("start"), s["open"].alias("match"))
+        return F.when(s["open"] != "", F.concat(s["out"], F.array(done))).otherwise(s["out"])
+
+    def step(s: Column, piece: Column) -> Column:
+        passed = F.lit(False)
+        for pattern in allowed:
+            passed = passed | F.regexp_like(F.rtrim(piece, F.lit(PIECE_ENDS)), F.lit(pattern))
+        end = s["at"] + F.length(piece)
+        return F.struct(
+            end.alias("at"),
+            F.when(passed, end).otherwise(s["from"]).alias("from"),
+            F.when(passed, "").otherwise(F.concat(s["open"], piece)).alias("open"),
+            F.when(passed, closed(s)).otherwise(s["out"]).alias("out"),
+        )
+
+    pieces = F.regexp_extract_all(m["match"], F.lit(f"[^{PIECE_ENDS}]*[{PIECE_ENDS}]+|[^{PIECE_ENDS}]+"), F.lit(0))
+    return F.aggregate(pieces, zero, step, closed)
+
+
+def _entropy_spans(
+    text: Column, of: CharacterClass, rank: int, window: int, allowed: tuple[str, ...], pieces: bool = False
+) -> Column:
     def suspect(m: Column) -> Column:
         kept = F.lit(True)
         for pattern in of.needs:
             kept = kept & F.regexp_like(m["match"], F.lit(pattern))
-        for pattern in allowed:
+        for pattern in () if pieces else allowed:
             kept = kept & ~F.regexp_like(m["match"], F.lit(pattern))
         return kept
 
-    candidates = F.filter(matches(text, f"[{of.alphabet}]{{{window},}}"), suspect)
+    found = matches(text, f"[{of.alphabet}]{{{window},}}")
+    if pieces:
+        found = F.flatten(F.transform(found, lambda m: _without_allowed(m, allowed)))
+        found = F.filter(found, lambda m: F.length(m["match"]) >= window)
+    candidates = F.filter(found, suspect)
     return F.flatten(
         F.transform(candidates, lambda m: random_parts(m["match"], m["start"], of, rank, window))
     )
@@ -167,12 +210,15 @@ def scan(
     window: int = WINDOW,
     classes: tuple[CharacterClass, ...] = CLASSES,
     allowed: tuple[str, ...] = ALLOWED,
+    pieces: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and ``base_spans``, ``secret_spans``.
 
     Spans are structs (start, kind, end) in code points, end exclusive, by start and then
     kind as in ``KINDS``; ``secret_spans`` adds the windows of high entropy to the fixed
-    patterns, which no allow-list touches. A NULL text is read as empty and has none.
+    patterns, which no allow-list touches. The allow-list drops a whole candidate or, with
+    ``pieces``, only the piece between ``PIECE_ENDS`` that it matches. A NULL text is read
+    as empty and has none.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     assigned = F.filter(
@@ -182,7 +228,7 @@ def scan(
     base = F.array_sort(
         F.concat(_spans(assigned, 0), _spans(matches(whole, ACCESS), 1), _spans(matches(whole, HEX), 2))
     )
-    more = [_entropy_spans(whole, c, 3 + i, window, allowed) for i, c in enumerate(classes)]
+    more = [_entropy_spans(whole, c, 3 + i, window, allowed, pieces) for i, c in enumerate(classes)]
     kinds = F.array(*map(F.lit, (*KINDS[:3], *[c.kind for c in classes])))
 
     def named(spans: Column) -> Column:

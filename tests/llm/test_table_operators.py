@@ -338,6 +338,21 @@ def test_pipeline_stage_by_stage(spark, documents):
         assert out.collect() == []
 
 
+def test_pipeline_redacts_secrets_beside_allowed_words(spark, documents):
+    import corpus_pipeline as pipeline
+
+    mixed_case, lower, upper = "q7Rk2LmX9vBt4NzC8wYp3HsD6gJf5TaE1uQo0ViK", "k3v9x2m7q4z8w1n6b5t0r3j7", "JBSWY3DPEHPK3PXPMZXW6YTB"
+    texts = [
+        f"EXAMPLE_KEY={mixed_case} end", f"your-service/prod/{mixed_case}", f"example/{mixed_case}", f"a {lower} b", f"a {upper} b",
+        "key EXAMPLEkey0123456789ABCxyz09", "internationalizationandlocalization", "example/placeholder/your-own-text",
+    ]
+    rows = pipeline.without_secrets(spark, documents(list(enumerate(texts))), "unused").orderBy("doc_id").collect()
+    clean = [r["text"] for r in rows]
+    assert not any(secret in text for text in clean for secret in (mixed_case, lower, upper))
+    assert clean[0] == "EXAMPLE_KEY=<secret> end" and clean[2] == "example/<secret>" and clean[3:5] == ["a <secret> b"] * 2
+    assert clean[5:] == texts[5:]
+
+
 def test_documents_stay_when_no_language_is_known(spark, documents):
     import corpus_pipeline as pipeline
 

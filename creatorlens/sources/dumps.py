@@ -16,6 +16,8 @@ from ..functions.scalars import clip, first_filled, iso_day
 from ..operators.ranking import first_per_key
 
 _RECORD = "_record"
+#: Session setting with which a variant keeps the last value of a repeated key, as JSON parsers do.
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def _parse(lines: DataFrame) -> DataFrame:
@@ -24,7 +26,10 @@ def _parse(lines: DataFrame) -> DataFrame:
     Each line is parsed once and field by field: a value of another type than expected
     costs that field only. The map leaves a generator that yields nothing for a line
     that is no JSON object: a filter on fields would be pushed below and parse again.
+    Of a repeated key the last value stays; the session keeps the setting for that, as a
+    stream plans its batches later.
     """
+    lines.sparkSession.conf.set(_REPEATED_KEYS, "true")
     record = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
     return lines.select("*", F.explode(F.filter(F.array(record), lambda r: r.isNotNull())).alias(_RECORD))
 

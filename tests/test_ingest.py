@@ -77,6 +77,14 @@ def test_videos_are_known_by_the_requested_id(spark):
     assert [row.video_id for row in dumps.parse_videos(asked, NOW).collect()] == ["r", "b"]
 
 
+def test_lines_with_repeated_keys_keep_the_last_value(spark):
+    values = ['{"id": "a", "title": "x", "title": "y", "tags": ["t", {"k": 1, "k": 2}], "view_count": 5}', '{"id": "b"', "[1]"]
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    rows = dumps.parse_videos(raw, "now").select("video_id", "title", "tags", "view_count").collect()
+    assert [tuple(r) for r in rows] == [("a", "y", '["t",{"k":2}]', 5)]
+    assert [r["video_id"] for r in dumps.parse_listing(raw).collect()] == ["a"]
+
+
 def test_lines_are_parsed_once(spark):
     plan = dumps.parse_videos(lines(spark, {"id": "a"}), NOW)
     text = plan.filter("view_count > 3")._jdf.queryExecution().optimizedPlan().toString()

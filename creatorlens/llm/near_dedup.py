@@ -94,7 +94,11 @@ def _set_name(hashes: np.ndarray) -> bytes:
 
 
 def least_overlap(k: int, similarity: float) -> int:
-    """Sketch values that two similar large sets share at least (missed once in 10^9 pairs or less)."""
+    """Sketch values that two similar large sets share at least.
+
+    A pair right at the similarity has fewer with the binomial lower tail: with k = 96 in
+    1.6 of 10^8 pairs at 0.85 and 1.0 of 10^8 at 0.8.
+    """
     return max(1, math.floor(k * similarity - DEVIATIONS * math.sqrt(k * similarity * (1 - similarity))))
 
 

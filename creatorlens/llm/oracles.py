@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from . import reply_trees, secret_scan
-from .queries import MIX_SHARE, MIX_WEIGHTS, QUERY_DIVISOR, TOP_K
+from . import host_reputation, reply_trees, secret_scan, spelling
+from .queries import (
+    BEST_DOCUMENTS,
+    MIX_SHARE,
+    MIX_WEIGHTS,
+    PAGE_DOCUMENT,
+    QUERY_DIVISOR,
+    RUN,
+    TOP_K,
+    TYPO_DIVISOR,
+    URL_RULES,
+    WORD_LETTERS,
+    WORD_TIMES,
+)
 
 
 def quoted(text: str) -> str:
@@ -146,5 +158,138 @@ FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)
 WHERE rank <= {TOP_K}"""
 
 
+_LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_LEXICAL = f"""
+WITH terms AS (
+    SELECT row, doc_id, unnest(regexp_extract_all({_LOWERED.format("text")}, {quoted(_TERM)})) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+docs AS (SELECT row, doc_id, count(*) AS n FROM terms GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS all_terms FROM docs),
+shares AS (SELECT row, doc_id, 100 - 50 + ((50 * n * docs) // all_terms) AS m FROM docs, totals),
+times AS (SELECT row, term, count(*) AS tf FROM terms GROUP BY ALL),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM times GROUP BY term), totals),
+asked AS (
+    SELECT DISTINCT query, item_id, term FROM (
+        SELECT query, item_id, unnest(regexp_extract_all({_LOWERED.format("text")}, {quoted(_TERM)})) AS term
+        FROM (SELECT row_number() OVER () AS query, item_id, text FROM benchmark))),
+scores AS (
+    SELECT query, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN times USING (term) JOIN shares USING (row) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= {BEST_DOCUMENTS}"""
+
+
+def _crc32_table() -> list[int]:
+    """What a byte adds to the reflected CRC-32 (polynomial 0xEDB88320)."""
+    found = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        found.append(value)
+    return found
+
+
+_SPELLING = f"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all({_LOWERED.format("text")}, {quoted(RUN)})) AS run
+    FROM documents),
+counted AS (SELECT doc, run, count(*) AS times FROM runs WHERE length(run) >= {WORD_LETTERS} GROUP BY ALL),
+octets AS (
+    SELECT *, list_transform(range(0, octet_length(encode(doc || ':' || run))::BIGINT),
+        lambda i: ('0x' || substr(hex(encode(doc || ':' || run)), 2 * i + 1, 2))::INTEGER::BIGINT) AS bytes
+    FROM counted),
+hashed AS (
+    SELECT *, xor(list_reduce(bytes,
+        lambda crc, b: xor(crc >> 8, {_crc32_table()}[(xor(crc, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+    FROM octets),
+words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM (
+        SELECT times, CASE WHEN h % {TYPO_DIVISOR} = 0
+            THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+        FROM hashed)
+    WHERE length(word) >= {WORD_LETTERS} GROUP BY word HAVING sum(times) >= {WORD_TIMES}),
+lessened AS (
+    SELECT word, n, i, word[:i] || word[i + 2:] AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM lessened a JOIN lessened b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM lessened a JOIN words b ON a.less = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM lessened a JOIN words b ON a.less = b.word),
+best AS (
+    SELECT word, n, count(*) AS n_near, max(other_n) AS most, min(other) FILTER (other_n = most_n) AS form
+    FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most_n FROM near) GROUP BY word, n),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN most >= {spelling.RATIO} * w.n THEN form END AS form, CASE WHEN most >= {spelling.RATIO} * w.n THEN most END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word),
+ways AS (
+    SELECT word, word AS at, form AS onward FROM forms
+    UNION ALL SELECT w.word, f.word, f.form FROM ways w JOIN forms f ON w.onward = f.word)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n
+FROM forms f JOIN ways w ON f.word = w.word AND w.onward IS NULL"""
+
+
+def _url_filter() -> str:
+    rules = ", ".join(f"({quoted(r.verdict)}, {quoted(r.host)}, {quoted(r.path)})" for r in URL_RULES)
+    r = host_reputation
+    levels, above, key_above = "", "SELECT '' AS nothing, (coalesce(sum(bad), 0) + %r) / (coalesce(sum(pages), 0) + %r) AS rate FROM hosts" % (r.PRIOR_BAD, r.PRIOR_PAGES), "nothing"
+    for name in ("suffix", "domain", "host"):
+        key = "''" if key_above == "nothing" else f"c.{key_above}"
+        levels += f""",
+above_{name} AS ({above}),
+of_{name} AS (
+    SELECT c.*, a.rate AS prior
+    FROM (SELECT {"suffix, " if name != "suffix" else ""}{"domain, " if name == "host" else ""}{name}, sum(pages) AS pages, sum(bad) AS bad
+          FROM hosts GROUP BY ALL) c JOIN above_{name} a ON a.{key_above} = {key}),
+weight_{name} AS (
+    SELECT 1 / least({r.MOST_CORRELATION}, greatest({r.LEAST_CORRELATION}, coalesce(
+        sum(pow(bad - pages * prior, 2) / (pages * prior * (1 - prior)) - 1) FILTER (pages > 0)
+        / nullif(sum(pages - 1) FILTER (pages > 0), 0), 0))) - 1 AS weight
+    FROM of_{name}),
+rate_{name} AS (
+    SELECT o.*, (bad + prior * weight) / (pages + weight) AS rate, pages + weight AS total FROM of_{name} o, weight_{name})"""
+        above, key_above = f"SELECT {name}, rate FROM rate_{name}", name
+    return f"""
+WITH rest AS (
+    SELECT page_id, try_cast(nullif(regexp_extract(url, {quoted(PAGE_DOCUMENT)}, 1), '') AS BIGINT) AS document,
+        CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest
+    FROM pages),
+read AS (
+    SELECT page_id, document, {_LOWERED.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest),
+known AS (
+    SELECT doc_id AS document, max((quality = 0 OR toxic = 1)::INTEGER) AS bad FROM labels
+    WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
+hosts AS (
+    SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+        count(bad) AS pages, coalesce(sum(bad), 0)::BIGINT AS bad
+    FROM (SELECT DISTINCT host, document FROM read) LEFT JOIN known USING (document) GROUP BY host){levels},
+fits AS (
+    SELECT d.host, d.path, max_by({{'rule': r.host || r.path, 'verdict': r.verdict}},
+        (length(r.host || r.path), length(r.host), r.verdict)) AS best
+    FROM (SELECT DISTINCT host, path FROM read) d JOIN (VALUES {rules}) r(verdict, host, path)
+        ON (d.host = r.host OR ends_with(d.host, '.' || r.host)) AND starts_with(d.path, r.path)
+    GROUP BY ALL)
+SELECT page_id, read.host, read.path, best.rule AS rule,
+    coalesce(best.verdict, CASE WHEN h.rate - {r.DEVIATIONS} * sqrt(h.rate * (1 - h.rate) / (h.total + 1)) > {r.LIMIT}
+        THEN 'block' ELSE 'allow' END) AS verdict,
+    h.pages::BIGINT AS pages, h.bad::BIGINT AS bad
+FROM read JOIN rate_host h ON h.host = read.host LEFT JOIN fits ON fits.host = read.host AND fits.path = read.path"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": _secret_scan(), "op3_mixing": _MIX, "op7_chat_format": _CHAT, "op10_top_k": _TOP_K}
+    return {
+        "op1_secret_scan": _secret_scan(),
+        "op3_mixing": _MIX,
+        "op7_chat_format": _CHAT,
+        "op10_top_k": _TOP_K,
+        "op11_lexical_search": _LEXICAL,
+        "op12_spelling_variants": _SPELLING,
+        "op13_url_filter": _url_filter(),
+    }

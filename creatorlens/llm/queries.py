@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from ..sources.workspace import materialize
 from . import (
     fingerprints,
+    host_reputation,
     language_id,
+    lexical,
     mixing,
     near_dedup,
     packing,
     reply_trees,
     secret_scan,
+    spelling,
     token_counts,
     top_k,
     toxicity,
@@ -28,6 +31,16 @@ MIX_WEIGHTS, MIX_SHARE = (3, 1, 2), 1.5
 TOKEN_LIMIT = 4096
 SEQUENCE_TOKENS = 2048
 TOP_K, QUERY_DIVISOR = 5, 50
+BEST_DOCUMENTS = 50
+RUN, TYPO_DIVISOR, WORD_LETTERS, WORD_TIMES = "[A-Za-z\u00C0-\u00FF]+", 199, 6, 5
+URL_RULES = (
+    host_reputation.Rule("block", "net"),
+    host_reputation.Rule("allow", "example.net", "/en/"),
+    host_reputation.Rule("block", "example.com", "/de/"),
+    host_reputation.Rule("allow", "org", "/fr/"),
+)
+#: A page shows the document whose number is in its path.
+PAGE_DOCUMENT = r"://[^/?#]*/(?:[^/?#]*/)*([0-9]{1,18})(?:[./?#]|$)"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -155,6 +168,39 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.search(_table(spark, folder, "embeddings"), TOP_K, query_divisor=QUERY_DIVISOR)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return lexical.search(docs, _table(spark, folder, "benchmark").select("item_id", "text"), BEST_DOCUMENTS)
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of letters, some of them with a letter less, as words and their variants."""
+    docs = _table(spark, folder, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"),
+        F.explode(F.regexp_extract_all(lowered, F.lit(RUN), F.lit(0))).alias("run"),
+    ).filter(F.length("run") >= WORD_LETTERS)
+    hashed = runs.withColumn("h", F.crc32(F.concat("doc", F.lit(":"), "run")))
+    gone = F.pmod(F.col("h"), F.length("run")).cast("int")
+    shortened = F.concat(F.substr("run", F.lit(1), gone), F.substr("run", gone + 2))
+    word = F.when(F.col("h") % TYPO_DIVISOR == 0, shortened).otherwise(F.col("run"))
+    words = hashed.groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    words = words.filter((F.col("n") >= WORD_TIMES) & (F.length("word") >= WORD_LETTERS))
+    return spelling.variants(materialize(words, "words"))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.regexp_extract("url", PAGE_DOCUMENT, 1)
+    pages = _table(spark, folder, "pages").select(
+        "page_id", "url", F.when(number != "", number.cast("long")).alias("document")
+    )
+    outcomes = _table(spark, folder, "labels").select(
+        F.col("doc_id").alias("document"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    return host_reputation.judged(pages, outcomes, URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -169,5 +215,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_near_dedup,
             op9_packing,
             op10_top_k,
+            op11_lexical_search,
+            op12_spelling_variants,
+            op13_url_filter,
         )
     }

@@ -9,8 +9,11 @@ two parts. Words with an equal signature are compared; no pair that near is miss
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,20 +28,40 @@ CROWD = 256
 RATIO = 5
 
 
-def _signatures(word: Column, parts: int) -> Column:
-    """An array of hashes: the letters outside of each two parts."""
-    letters = F.array_sort(F.split(word, ""))
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of 64-bit numbers."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
-    def part(p: int) -> Column:
-        return F.array_join(F.filter(letters, lambda x: F.pmod(F.ascii(x), F.lit(parts)) == p), "")
 
-    of_part = [part(p) for p in range(parts)]
-    return F.array(
-        *[
-            F.xxhash64(F.lit(nth), *[part for p, part in enumerate(of_part) if p not in left_out])
-            for nth, left_out in enumerate(combinations(range(parts), DISTANCE))
-        ]
-    )
+def signatures(words: Sequence[str], parts: int) -> np.ndarray:
+    """A row per word, a column per two parts left out: a hash of the bag of all other letters.
+
+    A bag's hash is the sum of its letters' hashes, so leaving out a part is a subtraction.
+    """
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    sums = np.zeros((len(words), parts), np.uint64)
+    np.add.at(sums, (owner, letters % parts), _mixed(letters.astype(np.uint64) + np.uint64(1)))
+    total = sums.sum(axis=1, dtype=np.uint64)
+    rest = [total - sum(sums[:, p] for p in left_out) for left_out in combinations(range(parts), DISTANCE)]
+    return np.stack([_mixed(r + np.uint64(nth)) for nth, r in enumerate(rest, 1)], axis=1).view(np.int64)
+
+
+def _signed(words: DataFrame, parts: int) -> DataFrame:
+    """A written table (word, n, signature), a row per signature."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = signatures(batch.column("word").to_pylist(), parts)
+            own = pa.array(np.repeat(np.arange(len(found)), found.shape[1]))
+            columns = [batch.column("word").take(own), batch.column("n").take(own), pa.array(found.ravel())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "signature"])
+
+    return materialize(words.select("word", "n").mapInArrow(sign, "word string, n long, signature long"), "signatures")
 
 
 def _halves(signature: Column, word: Column, size: Column) -> Column:
@@ -57,7 +80,7 @@ def _halves(signature: Column, word: Column, size: Column) -> Column:
 
 def near_pairs(words: DataFrame, *, parts: int = PARTS, crowd: int = CROWD) -> DataFrame:
     """A written table (a, n_a, b, n_b) of all words (word, n) one edit apart, a before b."""
-    signed = materialize(words.select("word", "n", F.explode(_signatures(F.col("word"), parts)).alias("signature")), "signatures")
+    signed = _signed(words, parts)
     crowded = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > crowd)
     marked = lookup_join(signed, materialize(crowded, "crowded"), "signature")
     size = F.length("word")

@@ -106,3 +106,79 @@ def best_inner_products(rows, divisor, k):
         )[:k]
         out += [(name, rank, other, -score) for rank, (score, other) in enumerate(scores, 1)]
     return sorted(out)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lexical_search(docs, items, k):
+    """docs: (doc_id, text), ids unique; items: (item_id, text); sorted (item, rank, doc, score)."""
+    counts = {d: Counter(TERM.findall((t or "").translate(LOWER))) for d, t in docs}
+    counts = {d: c for d, c in counts.items() if c}
+    total, all_terms = len(counts), sum(c.total() for c in counts.values())
+    having = Counter(t for c in counts.values() for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for d, c in counts.items():
+            m = 100 - 50 + (50 * c.total() * total) // all_terms
+            score = 0
+            for t in set(TERM.findall((text or "").translate(LOWER))) & set(c):
+                w = math.floor(1000 * math.log((2 * total + 2) / (2 * having[t] + 1)))
+                score += w * ((1_000_000_000 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scores.append((-score, d))
+        out += [(item, rank, d, -score) for rank, (score, d) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    a, b = sorted((a, b), key=len)
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[same + 1 :] == b[same + 1 :] if len(a) == len(b) else a[same:] == b[same + 1 :]
+
+
+def variants(rows, ratio=5):
+    """rows: (word, n); (word, form, root, n, n_near, form_n)."""
+    times = dict(rows)
+    near = {w: [o for o in times if one_edit(w, o)] for w in times}
+    form = {}
+    for w, those in near.items():
+        best = min(those, key=lambda o: (-times[o], o), default=None)
+        form[w] = best if best is not None and times[best] >= ratio * times[w] else None
+    out = []
+    for w, n in rows:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), times[form[w]] if form[w] else None))
+    return out
+
+
+def reputations(hosts):
+    """hosts: host -> (pages, bad); host -> (rate, bound), level by level."""
+    names = {h: ("", h.rsplit(".", 1)[-1], ".".join(h.split(".")[-2:]), h) for h in hosts}
+    rate = {}
+    for level in range(4):
+        counts = defaultdict(lambda: [0, 0])
+        above = {}
+        for h, (n, b) in hosts.items():
+            counts[names[h][level]][0] += n
+            counts[names[h][level]][1] += b
+            above[names[h][level]] = names[h][level - 1]
+        if level == 0:
+            n, b = counts[""]
+            now = {"": (b + 1) / (n + 10)}
+        else:
+            over = more = 0
+            for name, (n, b) in counts.items():
+                p = rate[above[name]]
+                if n:
+                    over += (b - n * p) ** 2 / (n * p * (1 - p)) - 1
+                    more += n - 1
+            weight = 1 / min(0.5, max(0.001, over / more if more else 0)) - 1
+            now = {name: (b + rate[above[name]] * weight) / (n + weight) for name, (n, b) in counts.items()}
+        rate = now
+    return {h: (r, r - 2 * math.sqrt(r * (1 - r) / (hosts[h][0] + weight + 1))) for h, r in rate.items()}

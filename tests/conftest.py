@@ -5,11 +5,11 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
-for folder in (ROOT, ROOT / "tools"):
+for folder in (ROOT, ROOT / "tools", ROOT / "tests"):
     if str(folder) not in sys.path:
         sys.path.insert(0, str(folder))
 
-TABLES = "/root/testdata/sf0.001"
+from tables import TABLES  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
-from conftest import TABLES
+from tables import TABLES
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 

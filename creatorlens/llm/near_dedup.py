@@ -21,6 +21,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,8 +133,10 @@ def sketched(docs: DataFrame, width: int, k: int) -> DataFrame:
                 ["_row", "doc_id", "n", "name", "sketch"],
             )
 
-    rows = docs.select(F.col("_row") if "_row" in docs.columns else F.lit(None).cast("long").alias("_row"), "doc_id", "text")
-    made = rows.mapInArrow(sketch, "_row long, doc_id long, n long, name binary, sketch array<long>")
+    row = F.col("_row").cast("string") if "_row" in docs.columns else F.lit(None).cast("string").alias("_row")
+    made = docs.select(row, "doc_id", "text").mapInArrow(
+        sketch, "_row string, doc_id long, n long, name binary, sketch array<long>"
+    )
     return materialize(made.withColumn("rid", F.monotonically_increasing_id()), "sketches")
 
 
@@ -349,7 +352,7 @@ def _joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, *, width: int = 5, similarity: Fraction | str = "0.8", sketch: int = SKETCH
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, and _row if given): its component.
+    """One row per row of ``docs`` (doc_id, text, and _row, cast to text, if given): its component.
 
     Columns: doc_id, n_shingles, component_id (the smallest doc_id that links lead to),
     kept (whether that is its own) and survivor (true for exactly one row of each
@@ -393,10 +396,25 @@ def near_duplicates(
     return out if "_row" in docs.columns else out.drop("_row")
 
 
+def _named_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, text that tells its rows apart and stays the same at every reading.
+
+    Rows read straight from files have their file and place there; others are numbered in a
+    written copy.
+    """
+    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            return docs.withColumn("__row", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index"))
+        except AnalysisException:  # a leaf, but no file
+            pass
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id().cast("string")), "numbered")
+
+
 def survivors(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, all columns."""
-    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(numbered.select(F.col("__row").alias("_row"), "doc_id", "text"), **settings)
-    gone = materialize(found.filter(~F.col("survivor")).select(F.col("_row").alias("__row")), "gone")
+    named = _named_rows(docs)
+    found = near_duplicates(named.select(F.col("__row").alias("_row"), "doc_id", "text"), **settings)
+    lost = found.filter(~F.col("survivor")).select(F.col("_row").alias("__row"))
+    gone = materialize_rows(lost, "gone", docs.count())
     ids = F.broadcast(gone) if measured_bytes(gone) <= BROADCAST_BYTES else gone
-    return numbered.join(ids, "__row", "left_anti").select(*docs.columns)
+    return named.join(ids, "__row", "left_anti").select(*docs.columns)

@@ -9,18 +9,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed_values as fixed
 from ..functions.display import absolute_url, tab_url
+from ..operators.components import components
 from ..operators.joins import known_keys, lookup_join, spread_join, unseen
 from ..operators.ranking import first_per_key
 from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
 from ..sources.workspace import materialize
 
 _LISTED_ORDER = ("tab_order", "position")
+# listed ids of entries that one task goes through in turn
+GROUP_ROWS = 1_000_000
 # parts of the contested entries that a round can read by themselves, and rounds kept apart
 _BUCKETS, _BATCHES = 64, 8
 
@@ -111,6 +115,8 @@ def claims(
     registry: DataFrame,
     videos: DataFrame,
     max_new: int = fixed.MAX_NEW_VIDEOS,
+    *,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Which registry entry loads which new video: (entry, config_url, video_id, has_video).
 
@@ -118,12 +124,12 @@ def claims(
     first ``max_new`` listed ids that are neither loaded before nor taken by an earlier
     entry. An id without a parsed video uses up a place but is not taken from later ones.
 
-    Instead of going through the entries one by one, all of them offer for their first
-    ids at once; an id goes to the earliest entry offering, and those that lost one offer
-    again in the following round. That ends with the same outcome. Entries that share
-    no id with another are done at once; a round reads and writes only what the losers
-    of the round before offer. A chain of entries that displace each other takes as many
-    rounds as it is long, each over a few of them.
+    Entries that share no id with another are done at once. The others fall into groups
+    linked by shared ids; a group is gone through entry by entry in one task, all groups
+    side by side. In a group of more than ``group_rows`` listed ids all entries offer for
+    their first ids at once; an id goes to the earliest entry offering, and those that lost
+    one offer again in the following round. That ends with the same outcome, after as many
+    rounds as its longest chain of entries that displace each other.
     """
     fresh = materialize(unseen(listed, loaded, "video_id"), "fresh")
     parsed = materialize(known_keys(fresh, videos, "video_id"), "parsed")
@@ -135,8 +141,8 @@ def claims(
         F.coalesce("_parsed", F.lit(False)).alias("has_video"),
     )
     candidates = materialize(first_per_key(candidates, ["entry", "video_id"], by_list), "candidates")
-    held = _settled(_contested(candidates), max_new, by_list)
-    open_ids = lookup_join(candidates, materialize(held, "held"), "video_id").filter(_free())
+    held = materialize(_held(_contested(candidates), max_new, by_list, group_rows), "held")
+    open_ids = lookup_join(candidates, held, "video_id").filter(_free())
     taken = first_per_key(open_ids, ["entry"], by_list, max_new)
     return taken.select("entry", "config_url", "video_id", "has_video")
 
@@ -147,21 +153,59 @@ def _free() -> Column:
 
 
 def _contested(candidates: DataFrame) -> DataFrame:
-    """Candidates of the entries that share a video with another, cut into buckets of entries."""
+    """Candidates of the entries that share a video with another, and with which first entry."""
     shared = (
         candidates.filter("has_video")
         .groupBy("video_id")
-        .agg(F.min("entry").alias("_first"), F.max("entry").alias("_last"))
-        .filter(F.col("_first") < F.col("_last"))
-        .select("video_id", F.lit(True).alias("shared"))
+        .agg(F.min("entry").alias("first"), F.max("entry").alias("_last"))
+        .filter(F.col("first") < F.col("_last"))
+        .select("video_id", "first")
     )
     flagged = lookup_join(candidates.drop("config_url"), materialize(shared, "shared"), "video_id")
-    flagged = materialize(flagged.withColumn("shared", F.coalesce("shared", F.lit(False))), "flagged")
-    bidders = flagged.filter("shared").select("entry").distinct()
-    rows = lookup_join(flagged, materialize(bidders, "bidders"), "entry", how="inner")
-    bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
-    rows = rows.withColumn("bucket", bucket).repartition(_BUCKETS, "bucket")
-    return materialize(rows, "contested", partition_by=["bucket"])
+    flagged = materialize(flagged.withColumn("shared", F.col("first").isNotNull() & F.col("has_video")), "flagged")
+    bidders = materialize(flagged.filter("shared").select("entry").distinct(), "bidders")
+    return lookup_join(flagged, bidders, "entry", how="inner")
+
+
+def _held(rows: DataFrame, max_new: int, by_list: Sequence[Column], group_rows: int) -> DataFrame:
+    """Who holds each shared video in the end: (video_id, holder)."""
+    rows = materialize(rows, "contested")
+    links = rows.filter("shared").select(F.col("entry").alias("a"), F.col("first").alias("b"))
+    groups = components(links).select(F.col("node").alias("entry"), F.col("label").alias("group"))
+    grouped = materialize(lookup_join(rows, groups, "entry", how="inner"), "grouped")
+    large = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > group_rows)
+    large = materialize(large.select("group", F.lit(True).alias("large")), "large-groups")
+    found = _in_turn(grouped, max_new)
+    if not large.isEmpty():
+        marked = materialize(lookup_join(grouped, large, "group"), "marked")
+        found = _in_turn(marked.filter("large IS NULL"), max_new)
+        bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
+        spread = marked.filter("large").drop("group", "large").withColumn("bucket", bucket).repartition(_BUCKETS, "bucket")
+        contested = materialize(spread, "contested", partition_by=["bucket"])
+        found = found.unionByName(_settled(contested, max_new, by_list))
+    return found
+
+
+def _in_turn(grouped: DataFrame, max_new: int) -> DataFrame:
+    """Holders (video_id, holder) of the shared videos of each group, entry by entry."""
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        holder: dict[str, int] = {}
+        rows = rows.sort_values(["entry", *_LISTED_ORDER], kind="stable")
+        now, places = None, 0
+        for entry, video, shared in zip(rows["entry"].tolist(), rows["video_id"].tolist(), rows["shared"].tolist()):
+            if entry != now:
+                now, places = entry, 0
+            if places < max_new and video not in holder:
+                places += 1
+                if shared:
+                    holder[video] = entry
+        return pd.DataFrame({"video_id": list(holder), "holder": list(holder.values())}).astype(
+            {"video_id": "object", "holder": "int64"}
+        )
+
+    needed = grouped.select("group", "entry", "video_id", "shared", *_LISTED_ORDER)
+    return needed.groupBy("group").applyInPandas(settle, "video_id string, holder long")
 
 
 def _settled(contested: DataFrame, max_new: int, by_list: Sequence[Column]) -> DataFrame:

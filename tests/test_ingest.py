@@ -204,14 +204,14 @@ def one_by_one(listing, loaded, order, parsed, max_new, per_tab):
     return result
 
 
-def claimed_rows(spark, listing, loaded, order, parsed, max_new, per_tab):
+def claimed_rows(spark, listing, loaded, order, parsed, max_new, per_tab, **settings):
     entries = spark.createDataFrame(
         [(u, u, None, "tech", "ID", place) for place, u in enumerate(order)],
         "name string, url string, channel_id string, niche string, region string, position long",
     )
     listed = ingest.listed_videos(spark.createDataFrame(listing, LISTING), per_tab)
     one_column = lambda values: spark.createDataFrame([(v,) for v in values], "video_id string")
-    return ingest.claims(listed, one_column(loaded), entries, one_column(parsed), max_new).collect()
+    return ingest.claims(listed, one_column(loaded), entries, one_column(parsed), max_new, **settings).collect()
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -230,6 +230,8 @@ def test_claims_equal_the_loop(spark, seed):
     expected = one_by_one(listing, loaded, order, set(parsed), max_new=4, per_tab=8)
     rows = claimed_rows(spark, listing, loaded, order, parsed, 4, 8)
     assert sorted((row.entry, row.video_id) for row in rows) == sorted(expected)
+    in_rounds = claimed_rows(spark, listing, loaded, order, parsed, 4, 8, group_rows=20)
+    assert sorted(map(tuple, in_rounds)) == sorted(map(tuple, rows))
     assert all(row.has_video == (row.video_id in parsed) and row.config_url == order[row.entry] for row in rows)
 
 
@@ -240,8 +242,23 @@ def test_claims_of_chains_and_of_equal_lists(spark):
     order = [f"u{i}" for i in range(12)] + ["alone"] + [f"w{i}" for i in range(12)]
     listing = chain + same + alone
     ids = {row[3] for row in listing}
+    want = sorted(one_by_one(listing, [], order, ids, 3, 10))
+    for settings in ({}, {"group_rows": 0}):
+        rows = claimed_rows(spark, listing, [], order, sorted(ids), 3, 10, **settings)
+        assert sorted((r.entry, r.video_id) for r in rows) == want
+
+
+def test_a_chain_of_a_thousand_entries_needs_no_rounds(spark, monkeypatch):
+    listing = [(f"u{i}", "videos", n, f"v{3 * i + n}") for i in range(1000) for n in range(6)]
+    order, ids = [f"u{i}" for i in range(1000)], {row[3] for row in listing}
+    monkeypatch.setattr(ingest, "_settled", None)
     rows = claimed_rows(spark, listing, [], order, sorted(ids), 3, 10)
-    assert sorted((r.entry, r.video_id) for r in rows) == sorted(one_by_one(listing, [], order, ids, 3, 10))
+    taken, want = set(), set()
+    for i in range(1000):
+        new = [v for v in (f"v{3 * i + n}" for n in range(6)) if v not in taken][:3]
+        want |= {(i, v) for v in new}
+        taken |= set(new)
+    assert {(r.entry, r.video_id) for r in rows} == want and len(rows) == len(want)
 
 
 def test_later_rounds_take_few_rows(spark, monkeypatch):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from creatorlens.operators.components import components
 from creatorlens.operators import joins, quality, ranking, reshape
 
 
@@ -167,3 +168,19 @@ def test_quality_finds_failures(spark):
     }
     orphans = quality.foreign_key(videos, "fact", "channel_id", channels)
     assert [r.failures for r in orphans.collect()] == [1]
+
+
+@pytest.mark.parametrize("together", [0, 25, 10_000])
+def test_components_in_rounds_and_in_one_task(spark, together):
+    rng = random.Random(together)
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (500, 501), (501, 500)]
+    links += [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(30)]
+    rng.shuffle(links)
+    label = {n: n for pair in links if pair[0] != pair[1] for n in pair}
+    for _ in label:
+        for a, b in links:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    found = components(spark.createDataFrame(links, "a long, b long"), together=together).collect()
+    assert dict(map(tuple, found)) == label and len(found) == len(label)
+    assert components(spark.createDataFrame([], "a long, b long"), together=together).count() == 0

@@ -26,6 +26,7 @@ AS_OF = date(2001, 8, 2)
 NICHES = ("automobile", "building", "furniture", "household", "machinery")
 CHANNEL = "UC7"
 MIX_URL = "https://example.com/channel/UCMIX"
+CHAINED = 200
 LAST_POSITION = 10**15
 SCRAPED_AT = "2001-08-01T00:00:00+00:00"
 LOADED_BEFORE = "2001-01-01"
@@ -220,6 +221,22 @@ class Dataset:
             F.inline(entries),
         ).select("config_url", "tab", "position", "video_id")
 
+    @property
+    def chained_listing(self) -> DataFrame:
+        """Every channel also lists the next one's videos, in chains of up to ``CHAINED`` channels.
+
+        In such a chain what an entry takes decides what the next one has left.
+        """
+        number = F.expr("cast(substring(channel_id, 3) as bigint)")
+        before = F.concat(F.lit("https://example.com/channel/UC"), (number - 1).cast("string"))
+        urls = F.array_compact(F.array("channel_url", F.when(number % CHAINED != 0, before)))
+        return self.raw_videos.select(
+            F.explode(urls).alias("config_url"),
+            F.lit("videos").alias("tab"),
+            F.expr("cast(substring(video_id, 2) as bigint)").alias("position"),
+            "video_id",
+        )
+
     @property
     def loaded(self) -> DataFrame:
         return self.loaded_rows.select("video_id")

@@ -6,6 +6,8 @@ channels and videos, then staging, metrics and marts.
 
 from __future__ import annotations
 
+from .fixture import CHAINED
+
 _RAW = """
 cfg AS (
   SELECT c_custkey, c_name, c_acctbal, lower(c_mktsegment) AS niche,
@@ -742,6 +744,27 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT count(*) FROM listed_10 l JOIN parsed p ON p.video_id = l.video_id "
             "WHERE l.config_url = r.url) AS n FROM registry r) s"
         ),
+        "incremental_claims_chain": _ingest(
+            f""", chained AS (
+  SELECT number - step AS number, o_orderkey AS position, video_id, video_id IN (SELECT video_id FROM parsed) AS has_video
+  FROM (SELECT *, CAST(substr(channel_id, 3) AS BIGINT) AS number FROM raw_videos) v, (VALUES (0), (1)) s(step)
+  WHERE step = 0 OR number % {CHAINED} <> 0
+), lists AS MATERIALIZED (
+  SELECT number + 1 AS entry, row_number() OVER (ORDER BY number) AS turn, ids FROM (
+    SELECT number, list({{'video_id': video_id, 'has_video': has_video}} ORDER BY position) AS ids FROM (
+      SELECT *, row_number() OVER (PARTITION BY number ORDER BY position) AS place FROM chained
+      WHERE number IN (SELECT position - 1 FROM registry)) c
+    WHERE place <= 30 GROUP BY number) l
+), walk AS (
+  SELECT CAST(0 AS BIGINT) AS turn, CAST(0 AS BIGINT) AS entry, CAST([] AS VARCHAR[]) AS taken,
+         CAST([] AS STRUCT(video_id VARCHAR, has_video BOOLEAN)[]) AS new
+  UNION ALL
+  SELECT turn, entry, list_concat(taken, [x.video_id FOR x IN new IF x.has_video]), new FROM (
+    SELECT l.turn, l.entry, w.taken, list_filter(l.ids, lambda x: NOT list_contains(w.taken, x.video_id))[1:3] AS new
+    FROM walk w JOIN lists l ON l.turn = w.turn + 1) n
+)
+SELECT entry, new.video_id AS video_id, new.has_video AS has_video FROM (SELECT entry, unnest(new) AS new FROM walk) w"""
+        ).replace("WITH ", "WITH RECURSIVE ", 1),
         "failed_channels": _ingest("SELECT url, name, niche FROM registry WHERE name LIKE 'mix%'"),
         "full_reload": _ingest(
             "SELECT p.video_id, p.channel_id, p.upload_date, p.view_count, r.niche, r.region "

@@ -458,6 +458,14 @@ def incremental_new_videos(d: Dataset) -> DataFrame:
     return rows.select("video_id", "title", "channel_id", "view_count", "niche", "region")
 
 
+@_registered
+def incremental_claims_chain(d: Dataset) -> DataFrame:
+    """Three new videos per entry where every entry's choice depends on the one before."""
+    listed = materialize(ingest.listed_videos(d.chained_listing), "chained")
+    nothing = d.loaded.limit(0)
+    return ingest.claims(listed, nothing, d.registry, d.parsed, 3).select("entry", "video_id", "has_video")
+
+
 @_registered
 def incremental_report(d: Dataset) -> DataFrame:
     return ingest.incremental_outcomes(

@@ -429,6 +429,7 @@ def oracle_sql() -> dict[str, str]:
     kpi = "CAST(sum(view_count) AS BIGINT) AS total_views, round(avg(engagement_rate), 6)"
     found = {
         "stg_channels_latest": _models("SELECT * FROM stg_channels"),
+        "channels_current_merged": _models("SELECT * FROM stg_channels"),
         "stg_videos_clean": _models("SELECT * FROM stg_videos"),
         "video_metrics": _models(
             f"SELECT {_METRIC_COLUMNS}, {_rounded(*_METRIC_RATES)} FROM video_metrics"
@@ -795,6 +796,34 @@ FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
             "SELECT video_id, CASE WHEN max(CASE WHEN tab = 'videos' THEN 1 ELSE 0 END) = 1 "
             "THEN 'videos' ELSE 'streams' END AS tab FROM listing GROUP BY video_id"
         ),
+        "stream_sink_merged": _ingest(
+            "SELECT video_id, CASE WHEN max(CASE WHEN tab = 'videos' THEN 1 ELSE 0 END) = 1 "
+            "THEN 'videos' ELSE 'streams' END AS tab FROM listing GROUP BY video_id"
+        ),
+        "loaded_id_index": _ingest(
+            "SELECT DISTINCT video_id FROM listed WHERE video_id IN (SELECT video_id FROM loaded)"
+        ),
+        "incremental_reload_indexed": _ingest(
+            """, fresh_2 AS (
+  SELECT * FROM fresh WHERE video_id NOT IN (SELECT video_id FROM claimed WHERE has_video)
+), """
+            + _claims("fresh_2", "_2")
+            + """
+), stored AS (
+  SELECT video_id, channel_id FROM raw_videos WHERE upload_date < '2001-01-01'
+  UNION ALL SELECT p.video_id, p.channel_id FROM claimed c JOIN parsed p ON p.video_id = c.video_id
+  UNION ALL SELECT p.video_id, p.channel_id FROM claimed_2 c JOIN parsed p ON p.video_id = c.video_id
+), counted AS (
+  SELECT channel_id, count(*) AS videos, count(DISTINCT video_id) AS distinct_videos
+  FROM stored GROUP BY channel_id
+), snaps AS (
+  SELECT m.channel_id, CAST(1 AS BIGINT) AS newest
+  FROM merged m JOIN registry r ON r.url = m.config_url WHERE m.channel_id IS NOT NULL GROUP BY m.channel_id
+)
+SELECT coalesce(c.channel_id, s.channel_id) AS channel_id, coalesce(videos, 0) AS videos,
+       coalesce(distinct_videos, 0) AS distinct_videos, coalesce(newest, 0) AS newest
+FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
+        ),
         "sink_append_overwrite": _ingest(
             "SELECT step, written AS rows_written, stored AS rows_stored FROM ("
             "SELECT count(*) AS n FROM customer) c, LATERAL (VALUES ('create', n, n), "

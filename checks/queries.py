@@ -24,8 +24,10 @@ from creatorlens import schemas
 from creatorlens.functions import fixed_values as fixed
 from creatorlens.operators import quality, reshape
 from creatorlens.plans import ingest, marts, metrics, reports, serving, staging
+from creatorlens.plans.current import CurrentChannels
 from creatorlens.sources import dumps, registry
 from creatorlens.sources import tables as stores
+from creatorlens.sources.id_index import IdIndex
 from creatorlens.sources.workspace import fresh_folder, materialize, read_parquet
 from creatorlens.streaming import discovery
 
@@ -530,6 +532,56 @@ def incremental_stream(d: Dataset) -> DataFrame:
     return discovery.read_sink(d.spark, sink).select("video_id", "tab")
 
 
+@_registered
+def stream_sink_merged(d: Dataset) -> DataFrame:
+    """The same drops in eight batches, one of them repeated, into a sink that merges early."""
+    sink = fresh_folder(d.spark, "merged-sink")
+    listing = d.listing.select(*discovery.SINK_SCHEMA.names)
+    slices = [listing.filter(F.col("tab") == t).filter(F.pmod(F.xxhash64("config_url"), F.lit(4)) == n) for t in fixed.TAB_ORDER for n in range(4)]
+    for nth, part in enumerate(slices):
+        for _ in range(2 if nth == 5 else 1):
+            discovery.store_batch(part, nth, sink, "s", fan=3)
+    return discovery.read_sink(d.spark, sink).select("video_id", "tab")
+
+
+@_registered
+def loaded_id_index(d: Dataset) -> DataFrame:
+    """Which listed videos were loaded before, asked of an index made in three loads."""
+    index = IdIndex(d.spark, fresh_folder(d.spark, "index"), "video_id", buckets=8)
+    for nth in range(3):
+        index.add(d.loaded.filter(F.pmod(F.xxhash64("video_id"), F.lit(3)) >= nth), 1)
+    return index.known(d.listed)
+
+
+@_registered
+def incremental_reload_indexed(d: Dataset) -> DataFrame:
+    """Two incremental runs as above with an index of loaded ids and a table of newest snapshots."""
+    store = new_store(d.spark, "indexed")
+    index = IdIndex(d.spark, fresh_folder(d.spark, "index"), "video_id", buckets=8)
+    current = CurrentChannels(d.spark, fresh_folder(d.spark, "current"), buckets=8)
+    stores.load(d.loaded_rows, store, "raw_videos")
+    for _ in range(2):
+        ingest.load_incremental(
+            store, d.registry, d.listing, d.parsed_channels, d.parsed, index=index, current=current
+        )
+    videos = store.read("raw_videos", schemas.RAW_VIDEOS)
+    newest = current.read().groupBy("channel_id").agg(F.count(F.lit(1)).alias("newest"))
+    copies = videos.groupBy("channel_id").agg(
+        F.count(F.lit(1)).alias("videos"), F.count_distinct("video_id").alias("distinct_videos")
+    )
+    return copies.join(newest, "channel_id", "full").fillna(0, ["videos", "distinct_videos", "newest"])
+
+
+@_registered
+def channels_current_merged(d: Dataset) -> DataFrame:
+    """The staging model from a table of newest snapshots: loaded newest first, one load twice."""
+    current = CurrentChannels(d.spark, fresh_folder(d.spark, "current"), buckets=8)
+    times = [r["scraped_at"] for r in d.raw_channels.select("scraped_at").distinct().collect()]  # of a few runs
+    for time in sorted(times, key=str, reverse=True) + times[:1]:
+        current.merge(d.raw_channels.filter(F.col("scraped_at").eqNullSafe(F.lit(time))))
+    return staging.stg_channels(current.read())
+
+
 # stores
 
 

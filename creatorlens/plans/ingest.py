@@ -19,8 +19,10 @@ from ..functions.display import absolute_url, tab_url
 from ..operators.components import components
 from ..operators.joins import known_keys, lookup_join, spread_join, unseen
 from ..operators.ranking import first_per_key
+from ..sources.id_index import IdIndex
 from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
 from ..sources.workspace import materialize
+from .current import CurrentChannels
 
 _LISTED_ORDER = ("tab_order", "position")
 # listed ids of entries that one task goes through in turn
@@ -330,12 +332,37 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union_batches(parts)
 
 
-def load_full(store: Store, channel_rows: DataFrame, video_rows: DataFrame) -> dict[str, int]:
+def load_full(
+    store: Store, channel_rows: DataFrame, video_rows: DataFrame, *, index: IdIndex | None = None
+) -> dict[str, int]:
     """Replace both raw tables; an empty input leaves its table alone."""
-    return {
+    written = {
         "channels": load(channel_rows, store, "raw_channels", OVERWRITE),
         "videos": load(video_rows, store, "raw_videos", OVERWRITE),
     }
+    if index and written["videos"]:
+        index.reset()
+        index.add(store.read("raw_videos", schemas.RAW_VIDEOS), written["videos"])
+    return written
+
+
+def _loaded(store: Store, listed: DataFrame, index: IdIndex | None) -> DataFrame:
+    """Ids of videos loaded before; with an index only those that are listed now.
+
+    The index knows how many rows it stands for. If the table has others, a run ended
+    between its load and its note, and all ids are read once.
+    """
+    if index is None:
+        return loaded_keys(store, "raw_videos", schemas.RAW_VIDEOS, "video_id")
+    rows = 0
+    if store.exists("raw_videos"):
+        table = store.read("raw_videos", schemas.RAW_VIDEOS)
+        rows = table.count()  # from the footers
+    if rows != index.covered():
+        index.reset()
+        if rows:
+            index.add(table, rows)
+    return materialize(index.known(listed), "known")
 
 
 def load_incremental(
@@ -347,17 +374,22 @@ def load_incremental(
     *,
     max_new: int = fixed.MAX_NEW_VIDEOS,
     per_tab: int = fixed.LISTING_LIMIT,
+    index: IdIndex | None = None,
+    current: CurrentChannels | None = None,
 ) -> dict[str, int]:
     """Append a snapshot of every channel and the videos not loaded yet.
 
     The videos are settled before the channels are written, so a repeated run adds
-    no video twice.
+    no video twice. With ``index`` the listed ids are compared with their buckets of it
+    instead of all loaded videos; with ``current`` the new snapshots are merged into it.
     """
     listed = materialize(listed_videos(listing, per_tab), "listed")
-    loaded = loaded_keys(store, "raw_videos", schemas.RAW_VIDEOS, "video_id")
-    claimed = claims(listed, loaded, registry, videos, max_new)
-    new_rows = raw_videos(claimed, registry, videos)
-    return {
-        "videos": load(new_rows, store, "raw_videos", APPEND),
-        "channels": load(raw_channels(registry, channels), store, "raw_channels", APPEND),
-    }
+    loaded = _loaded(store, listed, index)
+    claimed = materialize(claims(listed, loaded, registry, videos, max_new), "claimed")
+    written = load(raw_videos(claimed, registry, videos), store, "raw_videos", APPEND)
+    if index and written:
+        index.add(claimed.filter("has_video"), written)
+    rows = materialize(raw_channels(registry, channels), "snapshots")
+    if current:
+        current.merge(rows)
+    return {"videos": written, "channels": load(rows, store, "raw_channels", APPEND)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import duration_category, size_tier
@@ -21,12 +21,15 @@ _NEWEST = (
 )
 
 
+def newest_first() -> list[Column]:
+    """The order of a channel's snapshots; no two different ones are equal in it."""
+    return [F.col(name).desc_nulls_last() for name in _NEWEST]
+
+
 def stg_channels(raw_channels: DataFrame) -> DataFrame:
     """Latest snapshot of every channel that has an id and a name."""
     keyed = raw_channels.filter(F.col("channel_id").isNotNull())
-    latest = first_per_key(
-        keyed, ["channel_id"], [F.col(name).desc_nulls_last() for name in _NEWEST]
-    )
+    latest = first_per_key(keyed, ["channel_id"], newest_first())
     name = F.coalesce("channel_name", "config_name")
     return latest.filter(F.coalesce(name, F.lit("")) != "").select(
         "channel_id",

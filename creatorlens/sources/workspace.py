@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -49,6 +50,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new small file; False, and nothing done, if there is one already."""
+    place, files = _file_system(spark, path)
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if files.exists(place):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    place, files = _file_system(spark, path)
+    source = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def listed_names(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names in a folder with the seconds since 1970 at which they changed; none if it doesn't exist."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return {}
+    return {f.getPath().getName(): f.getModificationTime() / 1000 for f in files.listStatus(place)}
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, files = _file_system(spark, path)
     files.delete(place, True)

@@ -19,7 +19,7 @@ from ..functions import fixed_values as fixed
 from ..operators.joins import unseen
 from ..operators.ranking import first_per_key
 from ..sources.dumps import parse_listing_drops
-from ..sources.workspace import path_exists
+from ..sources.manifest import Conflict, ManifestTable, Part, due, swapped
 
 SINK_SCHEMA = StructType(
     [
@@ -29,33 +29,83 @@ SINK_SCHEMA = StructType(
         StructField("video_id", StringType()),
     ]
 )
+#: Folders of one size that are merged into one, and rows of a file of the merged one at least.
+MERGED, FILE_ROWS = 10, 2_000_000
 _SOURCE = StructField("stream", StringType())
 _BATCH = StructField("batch", LongType())
 
 
+def _table(spark: SparkSession, sink: str) -> ManifestTable:
+    return ManifestTable(spark, sink, StructType([*SINK_SCHEMA.fields, _SOURCE, _BATCH]))
+
+
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     """Everything discovered so far, with the stream and batch that wrote it."""
-    schema = StructType([*SINK_SCHEMA.fields, _SOURCE, _BATCH])
-    if not path_exists(spark, sink):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", sink).parquet(sink)
+    return _table(spark, sink).read()
 
 
-def store_batch(batch: DataFrame, batch_id: int, sink: str, stream: str) -> None:
-    """Write the unseen ids of one batch to that batch's own folder.
+def store_batch(batch: DataFrame, batch_id: int, sink: str, stream: str, *, fan: int = MERGED) -> None:
+    """Write the unseen ids of one batch and commit them to the sink.
 
-    A repeated batch overwrites its folder and is compared with the folders before
-    it only, so a batch that failed half-way leaves neither gaps nor duplicates.
+    A repeated batch takes the place of its first try and is compared with all others, so a
+    batch that failed half-way leaves neither gaps nor duplicates. Only the last batch of a
+    stream is ever repeated; one older than that is refused.
     """
     spark = batch.sparkSession
+    table = _table(spark, sink)
     order = [F.array_position(F.lit(list(fixed.TAB_ORDER)), F.col("tab")), F.col("position")]
     once = first_per_key(batch, ["video_id"], [*order, F.col("config_url")])
     once = once.persist(StorageLevel.MEMORY_AND_DISK)
-    own = (F.col("stream") == stream) & (F.col("batch") >= batch_id)
-    history = read_sink(spark, sink).filter(~own)
-    new = unseen(once, history, "video_id").select(*SINK_SCHEMA.names)
-    new.write.mode("overwrite").parquet(f"{sink}/stream={stream}/batch={batch_id}")
+    while True:
+        parts = table.version().parts
+        own = [p for p in parts if p.labels.get("stream") == stream]
+        if any(p.labels["batch"] > batch_id for p in own):
+            raise ValueError(f"batch {batch_id} is older than stored ones: give a new checkpoint")
+        before = [p for p in own if p.labels["batch"] == batch_id]
+        others = [p for p in parts if p not in before]
+        new = unseen(once, table.read(others), "video_id").select(*SINK_SCHEMA.names)
+        stamped = new.withColumns({"stream": F.lit(stream), "batch": F.lit(batch_id).cast("bigint")})
+        written = table.write(stamped, stream=stream, batch=batch_id, tier=0)
+        try:
+            table.commit(_if_only(before, others, [written]))
+            break
+        except Conflict:  # another stream stored ids meanwhile
+            continue
     once.unpersist()
+    compact(spark, sink, fan=fan)
+
+
+def _if_only(old: list[Part], others: list[Part], new: list[Part]):
+    """Put ``new`` in the place of ``old`` unless the other parts got more meanwhile."""
+
+    def change(parts: list[Part]) -> list[Part]:
+        if {p.folder for p in parts} != {p.folder for p in [*old, *others]}:
+            raise Conflict("the sink has changed")
+        return others + new
+
+    return change
+
+
+def compact(spark: SparkSession, sink: str, *, fan: int = MERGED) -> None:
+    """Merge folders of one size into one of the next size once there are ``fan`` of them.
+
+    The sink has less than ``fan`` folders of each size and the last one of each stream, and
+    a row is written again as often as there are sizes: the logarithm of the batches. The
+    last batch of a stream stays by itself, because it may be repeated. A merge that fails
+    before its commit changes nothing.
+    """
+    table = _table(spark, sink)
+    parts = table.version().parts
+    last = {s: max(p.labels["batch"] for p in parts if p.labels.get("stream") == s) for s in {p.labels.get("stream") for p in parts} - {None}}
+    settled = [p for p in parts if p.labels.get("stream") is None or p.labels["batch"] < last[p.labels["stream"]]]
+    for group in due(settled, fan):
+        files = max(1, -(-sum(p.rows for p in group) // FILE_ROWS))
+        merged = table.write(table.read(group).coalesce(files), tier=group[0].labels["tier"] + 1)
+        try:
+            table.commit(swapped(group, [merged]))
+        except Conflict:  # merged by another stream
+            continue
+    table.sweep()
 
 
 def discover(
@@ -68,8 +118,8 @@ def discover(
 ) -> StreamingQuery:
     """Process all drop files not processed yet, then stop.
 
-    The batch folders are named after the checkpoint, because batch numbers start
-    again with a new one.
+    Batches are known by the checkpoint's path too, because batch numbers start again with a
+    new one; so give a path that no other stream into this sink had.
     """
     lines = spark.readStream
     if files_per_batch:

@@ -3,11 +3,12 @@
 Each source's documents are put into a random order and cut into blocks of words. A
 source's quota is a number of blocks; a tree over the output shards splits all quotas in
 halves, drawing without replacement, down to exact quotas of each shard. Shards take
-disjoint runs of the permuted blocks and shuffle what they got.
+disjoint runs of a permutation of the blocks and shuffle what they got.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,6 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 #: Words of a block, and blocks of an output shard.
 BLOCK_WORDS, SHARD_BLOCKS = 4_096, 1_024
+#: Blocks that a mix may have, so that splits can be drawn exactly; larger ones have larger blocks.
+MOST_BLOCKS = 2**29
 #: Draws up to this measured size are sent to the texts; more are joined by a shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -100,6 +103,30 @@ def shard_quotas(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tupl
     return left_of, here
 
 
+def block_size(words: int, block_words: int) -> int:
+    """Words of a block, ``block_words`` or what keeps all blocks of a mix to ``MOST_BLOCKS``."""
+    return max(block_words, -(-words // MOST_BLOCKS))
+
+
+def permuted(places: np.ndarray, size: int, key: int) -> np.ndarray:
+    """Where a random permutation of 0 to ``size`` - 1 sends each of ``places``; it follows from the key.
+
+    Halves of the bits are swapped and mixed four times, which is one-to-one on all numbers of
+    that many bits; a number that is sent outside is sent on until it comes back.
+    """
+    half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
+    mask, outside = np.uint64((1 << half) - 1), np.arange(len(places))
+    now = places.astype(np.uint64)
+    while len(outside):
+        left, right = now[outside] >> np.uint64(half), now[outside] & mask
+        for nth in range(4):
+            mixed = (right + np.uint64((key + nth * 0x9E3779B97F4A7C15) % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+            left, right = right, left ^ ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(7) & mask)
+        now[outside] = (left << np.uint64(half)) | right
+        outside = outside[now[outside] >= size]
+    return now.astype(np.int64)
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[int],
@@ -132,6 +159,8 @@ def mix(
         ),
         "sources",
     )
+    everything = totals.agg(F.sum("source_size")).first()[0] or 0
+    block_words = block_size(everything * most_passes, block_words)
     wanted = targets(totals.select("source", "source_size"), weights, share, most_passes)
     keyed = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
     goals = materialize(
@@ -154,9 +183,9 @@ def mix(
         for batch in batches:
             for shard in batch["id"].tolist():
                 before, here = shard_quotas(quotas, shards, int(shard), seed)
-                for key, blocks, first, many in zip(keys, sizes, before.tolist(), here.tolist()):
+                for key, blocks, quota, first, many in zip(keys, sizes, quotas.tolist(), before.tolist(), here.tolist()):
                     if many:
-                        nth = np.arange(first, first + many)
+                        nth = permuted(np.arange(first, first + many), quota, zlib.crc32(f"{seed}:{key}".encode()))
                         yield pd.DataFrame(
                             {"_key": key, "_block": nth % blocks, "_pass": nth // blocks, "_shard": shard}
                         )

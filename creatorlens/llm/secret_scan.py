@@ -22,6 +22,8 @@ HEX = "[0-9a-f]{32,}"
 
 #: Characters of a window, and the parts of a bit that entropies are counted in.
 WINDOW, UNIT = 20, 1_000_000
+#: Characters that a window slides over in one go.
+SEGMENT = 512
 
 
 @dataclass(frozen=True)
@@ -199,10 +201,43 @@ def _entropy_spans(
         found = F.filter(found, lambda m: F.length(m["match"]) >= window)
     candidates = F.filter(found, suspect)
     return F.flatten(
-        F.transform(candidates, lambda m: random_parts(m["match"], m["start"], of, rank, window))
+        F.transform(
+            candidates,
+            lambda m: F.when(
+                F.length(m["match"]) <= SEGMENT, random_parts(m["match"], m["start"], of, rank, window)
+            ).otherwise(_by_segments(m, of, rank, window)),
+        )
     )
 
 
+def _by_segments(m: Column, of: CharacterClass, rank: int, window: int) -> Column:
+    """``random_parts`` of a long candidate in time that grows with its length, not its square.
+
+    Finding the n-th character of a text takes n steps, so it is cut into segments first, each
+    with the first characters of the next one: every window lies in the segment it begins in.
+    Spans that touch are joined.
+    """
+    cut = F.regexp_extract_all(m["match"], F.lit(f".{{1,{SEGMENT}}}"), F.lit(0))
+    # An array of one element binds what was cut, so that it isn't cut again at every step.
+    found = F.flatten(F.flatten(F.transform(F.array(cut), lambda parts: F.transform(
+        F.arrays_zip(parts.alias("own"), F.slice(parts, F.lit(2), F.size(parts)).alias("next"), F.sequence(F.lit(0), F.size(parts) - 1).alias("nth")),
+        lambda p: random_parts(
+            F.concat(p["own"], F.coalesce(F.left(p["next"], F.lit(window - 1)), F.lit(""))),
+            m["start"] + p["nth"] * SEGMENT, of, rank, window,
+        ),
+    ))))
+
+    def join(done: Column, span: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), last["rank"].alias("rank"), F.greatest(last["end"], span["end"]).alias("end"))
+        touches = (F.size(done) > 0) & (span["start"] <= F.try_element_at(done, F.lit(-1))["end"])
+        return F.when(touches, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(
+            F.concat(done, F.array(span))
+        )
+
+    return F.aggregate(found, F.array().cast(_SPAN), join)
+
+
 def scan(
     docs: DataFrame,
     text: str = "text",

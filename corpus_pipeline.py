@@ -17,9 +17,20 @@ from creatorlens.llm.shipping import ship
 from creatorlens.llm.tokenizers_by_path import vocabulary
 from creatorlens.sources.workspace import materialize
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS, SIMILARITY = 5, "0.8"
 
 
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with other names for columns that are no part of documents, and those names."""
+    other = {c: f"__given{nth}" for nth, c in enumerate(docs.columns) if c not in DOCUMENT}
+    return docs.withColumnsRenamed(other), other
+
+
+def _put_back(docs: DataFrame, other: dict[str, str], columns: list[str]) -> DataFrame:
+    return docs.select(*[F.col(other.get(c, c)).alias(c) for c in columns])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go; a missing language is filled in.
 
@@ -27,9 +38,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     its missing language is then ``und``.
     """
     ship(spark)
+    columns = docs.columns
+    docs, other = _set_aside(docs)
     named = language_id.with_language(docs, language_samples(docs))
     kept = named.filter(F.col("text").rlike(r"\p{L}") | (F.col("lang_pred") != language_id.UNKNOWN))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return _put_back(kept.withColumn("lang", F.coalesce("lang", "lang_pred")), other, columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +58,15 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     candidate only, and keys in letters of one case are looked for.
     """
     text = secret_scan.redacted(F.col("text"), F.col("secret_spans"))
+    columns = docs.columns
+    docs, other = _set_aside(docs)
     scanned = secret_scan.scan(docs, classes=secret_scan.CLASSES + secret_scan.ONE_CASE, pieces=True)
     cleaned = scanned.withColumn("__clean", text)
     found = F.size("secret_spans") > 0
-    return cleaned.withColumns(
+    changed = cleaned.withColumns(
         {"text": F.col("__clean"), "n_chars": F.when(found, F.length("__clean")).otherwise(F.col("n_chars"))}
-    ).select(*docs.columns)
+    )
+    return _put_back(changed, other, columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

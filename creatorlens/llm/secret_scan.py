@@ -217,13 +217,14 @@ def _by_segments(m: Column, of: CharacterClass, rank: int, window: int) -> Colum
     with the first characters of the next one: every window lies in the segment it begins in.
     Spans that touch are joined.
     """
-    cut = F.regexp_extract_all(m["match"], F.lit(f".{{1,{SEGMENT}}}"), F.lit(0))
+    size = max(SEGMENT, window)
+    cut = F.regexp_extract_all(m["match"], F.lit(f".{{1,{size}}}"), F.lit(0))
     # An array of one element binds what was cut, so that it isn't cut again at every step.
     found = F.flatten(F.flatten(F.transform(F.array(cut), lambda parts: F.transform(
         F.arrays_zip(parts.alias("own"), F.slice(parts, F.lit(2), F.size(parts)).alias("next"), F.sequence(F.lit(0), F.size(parts) - 1).alias("nth")),
         lambda p: random_parts(
             F.concat(p["own"], F.coalesce(F.left(p["next"], F.lit(window - 1)), F.lit(""))),
-            m["start"] + p["nth"] * SEGMENT, of, rank, window,
+            m["start"] + p["nth"] * size, of, rank, window,
         ),
     ))))
 

@@ -8,6 +8,7 @@ no token can cross; without one, the overlap is widened, in the end to the whole
 from __future__ import annotations
 
 import functools
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,8 +44,43 @@ def _starts(model, text: str, begin: int) -> list[int]:
     return [begin + token[0] for token in model.encode(text, return_type="offset_mapping")["offsets"]]
 
 
-def _stable(text: str, place: int) -> bool:
-    return text[place] == " " and text[place - 1] != " "
+class _Stable:
+    """Places of a text that no token crosses, whatever surrounds them: proven from the vocabulary.
+
+    Pieces grow by joining neighbours into longer pieces of the vocabulary. Where no piece has
+    the two characters around a place side by side, none ever lies across it. Both must come
+    through the model's normalisation as they are, so that they meet as in the vocabulary.
+    """
+
+    def __init__(self, model):
+        self._model = model
+        self._sides = {p[i : i + 2] for p in map(model.id_to_piece, range(model.get_piece_size())) for i in range(len(p) - 1)}
+        # Without pieces for bytes, unknown characters side by side become one token.
+        self._bytes = any(model.is_byte(i) for i in range(model.get_piece_size()))
+        self._known: dict[str, bool] = {}
+
+    def __call__(self, text: str, place: int) -> bool:
+        pair = text[place - 1 : place + 1]
+        if pair[1] == " ":
+            return pair[0] != " "
+        if pair[0] == " " or not self._bytes:
+            return False
+        found = self._known.get(pair)
+        if found is None:
+            if len(self._known) > 100_000:
+                self._known.clear()
+            same = self._model.normalize(pair).lstrip(_SPACE) == pair
+            found = self._known[pair] = same and pair not in self._sides
+        return found
+
+    def after(self, text: str, place: int) -> int:
+        """The first such place from here on, or the end."""
+        return next((p for p in range(place, len(text)) if self(text, p)), len(text))
+
+
+@functools.cache
+def _stable_places(path: str) -> _Stable:
+    return _Stable(sentencepiece_model(path))
 
 
 def _chunk(model, text: str, begin: int, end: int) -> list[int]:
@@ -59,35 +95,32 @@ def _chunk(model, text: str, begin: int, end: int) -> list[int]:
     return _starts(model, text[begin:end], begin)
 
 
-def count_long(model, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of one text, encoding at most about a chunk at a time where it can be spliced."""
+def count_long(model, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, stable=None) -> int:
+    """Tokens of one text, encoding about a chunk at a time where it can be spliced.
+
+    Neighbours whose overlap has no stable place in common get one that reaches beyond the
+    next such place of the text, however far that is; a chunk is encoded again at most once
+    for that, so the work grows with the length of the text.
+    """
+    stable = stable or _Stable(model)
     total, begin, kept_from = 0, 0, 0
     end = min(chunk, len(text))
     starts = _chunk(model, text, begin, end)
     while end < len(text):
-        width = overlap
-        while True:
-            following = max(end - width, begin + 1)
-            limit = min(following + max(chunk, 2 * width), len(text))
-            ahead = _chunk(model, text, following, limit)
-            both = set(starts) & set(ahead)
-            common = [p for p in both if max(kept_from, following) < p < end and _stable(text, p)]
-            if common:
-                break
-            if following == begin + 1:  # nothing to align with: one longer chunk
-                end = min(end + chunk, len(text))
-                starts = _chunk(model, text, begin, end)
-                if end == len(text):
-                    break
-                width = overlap
-            else:
-                width *= 2
-        if not common:
-            break
-        splice = max(common)
-        total += sum(kept_from <= s < splice for s in starts)
+        following = max(end - overlap, begin + 1)
+        limit = min(following + max(chunk, 2 * overlap), len(text))
+        ahead = _chunk(model, text, following, limit)
+        lap = set(starts[bisect_right(starts, max(kept_from, following)) : bisect_left(starts, end)])
+        shared = (p for p in reversed(ahead[: bisect_left(ahead, end)]) if p in lap)
+        splice = next((p for p in shared if stable(text, p)), None)
+        if splice is None:
+            place = stable.after(text, max(end, begin + overlap + 1))
+            end = min(place + overlap // 2 + 1, len(text)) if place < len(text) else len(text)
+            starts = _chunk(model, text, begin, end)
+            continue
+        total += bisect_left(starts, splice) - bisect_left(starts, kept_from)
         begin, kept_from, end, starts = following, splice, limit, ahead
-    return total + sum(s >= kept_from for s in starts)
+    return total + len(starts) - bisect_left(starts, kept_from)
 
 
 def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
@@ -106,7 +139,7 @@ def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
                 part = short.iloc[at : at + 64]
                 counts[part.index] = [len(ids) for ids in model.encode(part.tolist(), num_threads=1)]
             for row, text in texts[long].items():
-                counts[row] = count_long(model, text, chunk, overlap)
+                counts[row] = count_long(model, text, chunk, overlap, _stable_places(path))
             yield counts
 
     return n_tokens.asNondeterministic()  # else a filter on the count counts twice

@@ -24,7 +24,25 @@ _HITS = "query_block long, query_row long, query_id long, vec_id long, score lon
 
 
 def scaled(vector: np.ndarray, factor: int) -> np.ndarray:
-    return np.floor(np.asarray(vector, dtype=np.float64) * factor).astype(np.int64)
+    """Whole numbers, as doubles so that any finite component has its place.
+
+    A product beyond all doubles becomes the greatest of them.
+    """
+    with np.errstate(over="ignore"):
+        found = np.floor(np.asarray(vector, dtype=np.float64) * factor)
+    return np.clip(found, -np.finfo(np.float64).max, np.finfo(np.float64).max)
+
+
+def exact(numbers: np.ndarray, most: float) -> np.ndarray:
+    """Whole doubles as 64-bit numbers if sums of products up to ``most`` fit, else as Python's."""
+    if most < 2.0**62:
+        return numbers.astype(np.int64)
+    return np.frompyfunc(int, 1, 1)(numbers) if numbers.size else numbers.astype(object)
+
+
+def _within(score) -> int:
+    """The nearest 64-bit number."""
+    return max(-(2**63), min(2**63 - 1, int(score)))
 
 
 def _packed(factor: int, block_rows: int):
@@ -36,7 +54,7 @@ def _packed(factor: int, block_rows: int):
         def block(size: int) -> pd.DataFrame:
             nonlocal made
             ids, vectors = waiting.pop(size)
-            columns = np.stack(vectors, axis=1) if size else np.empty((0, len(ids)), np.int64)
+            columns = np.stack(vectors, axis=1) if size else np.empty((0, len(ids)), np.float64)
             name = (TaskContext.get().partitionId() << 32) + made
             made += 1
             return pd.DataFrame(
@@ -58,12 +76,13 @@ def _packed(factor: int, block_rows: int):
 
 def _opened(row) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["ids"], dtype=np.int64)
-    return ids, np.frombuffer(row["columns"], dtype=np.int64).reshape(row["dims"], len(ids))
+    return ids, np.frombuffer(row["columns"], dtype=np.float64).reshape(row["dims"], len(ids))
 
 
 def tail_masses(columns: np.ndarray, step: int) -> np.ndarray:
     """Per block of dimensions and vector: the length of what lies beyond that block."""
-    squares = np.square(columns.astype(np.float64))
+    with np.errstate(over="ignore"):
+        squares = np.square(columns.astype(np.float64))
     ends = range(step, columns.shape[0], step)
     return np.array([np.sqrt(squares[end:].sum(axis=0)) for end in ends]).reshape(len(ends), columns.shape[1])
 
@@ -81,7 +100,7 @@ def best_of_block(
     alive = np.arange(rows)
     if skip is not None:
         alive = np.delete(alive, skip)
-    score = np.zeros(len(alive), dtype=np.int64)
+    score = np.zeros(len(alive), dtype=columns.dtype)
     least = None
     for nth, begin in enumerate(range(0, dims, step)):
         end = min(begin + step, dims)
@@ -91,10 +110,14 @@ def best_of_block(
             continue
         if least is None:  # incumbents: the k that lead so far, scored in full
             leaders = alive[np.argpartition(score, len(score) - k)[-k:]]
-            least = int((query @ columns[:, leaders]).min())
-        rest = float(np.sqrt(np.square(query[end:].astype(np.float64)).sum()))
-        most = score + tails[nth, alive] * rest * (1 + 1e-9) + 1
-        stays = most >= least
+            least = _within((query @ columns[:, leaders]).min())
+        with np.errstate(over="ignore", invalid="ignore"):
+            rest = float(np.sqrt(np.square(query[end:].astype(np.float64)).sum()))
+            gain = np.nan_to_num(tails[nth, alive] * rest * (1 + 1e-9) + 1, nan=np.inf, posinf=np.inf)
+        if columns.dtype == object:  # numbers beyond doubles are compared as they are
+            stays = np.array([g == np.inf or s + int(g * (1 + 1e-9)) + 1 >= least for s, g in zip(score, gain.tolist())], bool)
+        else:
+            stays = score + gain >= least
         alive, score = alive[stays], score[stays]
     return alive, score
 
@@ -107,12 +130,17 @@ def _searched(k: int, step: int):
                 tails = tail_masses(columns, step)
                 names = np.frombuffer(row["query_ids"], dtype=np.int64)
                 places = np.frombuffer(row["query_rows"], dtype=np.int64)
-                queries = np.frombuffer(row["queries"], dtype=np.int64).reshape(len(names), row["dims"])
+                queries = np.frombuffer(row["queries"], dtype=np.float64).reshape(len(names), row["dims"])
+                with np.errstate(over="ignore"):
+                    most = np.abs(queries).max(initial=0.0) * np.abs(columns).max(initial=0.0) * max(1, row["dims"])
+                queries, columns = exact(queries, most), exact(columns, most)
                 own = row["block"] == row["query_block"]
                 found = []
                 for name, place, query in zip(names.tolist(), places.tolist(), queries):
                     at, score = best_of_block(query, columns, tails, k, step, place if own else None)
-                    order = np.lexsort((ids[at], -score))[:k]
+                    if score.dtype == object:
+                        score = np.array([_within(s) for s in score], np.int64)
+                    order = np.lexsort((ids[at], ~score))[:k]  # ~ turns the order around, also for the least number
                     found.append(
                         pd.DataFrame(
                             {"query_block": row["query_block"], "query_row": place, "query_id": name, "vec_id": ids[at][order], "score": score[order]}
@@ -170,7 +198,8 @@ def search(
     ties go to the smaller vec_id. Queries are the rows whose vec_id is divisible by
     ``query_divisor``; candidates are all rows but the query's own, so of repeated rows
     the others count. Vectors that aren't usable, and rows without vec_id, take no part;
-    vectors meet those of their own length only. Queries visit every block of candidates:
+    vectors meet those of their own length only. Scores are exact; one that doesn't fit 64 bits
+    counts as the nearest number that does. Queries visit every block of candidates:
     the queries are a fixed part of the rows, so this work is what the question asks for.
     """
     rows = vectors.select("vec_id", F.col(vector).alias("vector")).filter(

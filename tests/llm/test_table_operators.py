@@ -363,3 +363,25 @@ def test_documents_stay_when_no_language_is_known(spark, documents):
 
 def test_fractions_of_similarity():
     assert near_dedup.least_overlap(96, 0.85) < 96 * 0.7 and Fraction("0.85") == Fraction(85, 100)
+
+
+@pytest.mark.parametrize("big", [1.0, 1e7, 1e30, 1e307])
+def test_top_k_of_huge_components(spark, big):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * rng.choice([1, 1, big]) for _ in range(20)]) for i in range(60)]
+    whole = [[int(top_k.scaled(x, 256)) for x in v] for _, v in rows]
+    want = []
+    for i in range(0, 60, 10):
+        scores = [(sum(a * b for a, b in zip(whole[i], whole[j])), j) for j in range(60) if j != i]
+        best = sorted((-max(-(2**63), min(2**63 - 1, s)), j) for s, j in scores)[:5]
+        want += [(i, rank, j, -s) for rank, (s, j) in enumerate(best, 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k.search(vectors, 5, query_divisor=10, block_rows=16).collect())) == want
+
+
+def test_block_permutations_are_one_to_one():
+    for size in (1, 2, 7, 1000, 4097):
+        assert sorted(mixing.permuted(np.arange(size), size, 99).tolist()) == list(range(size))
+    assert mixing.permuted(np.arange(8), 2**29, 1).tolist() != mixing.permuted(np.arange(8), 2**29, 2).tolist()
+    assert mixing.block_size(10**6, 4096) == 4096
+    assert 4 * 10**13 / mixing.block_size(4 * 10**13, 4096) <= mixing.MOST_BLOCKS < 10**9

@@ -1,6 +1,7 @@
 """Secrets, toxicity, token counts, language, fingerprints."""
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -232,3 +233,37 @@ def test_neighbours_of_odd_rows(documents):
     assert fingerprints.neighbours(odd(documents).limit(0)).collect() == []
     repeated = fingerprints.neighbours(documents([(1, "a b c d")] * 3)).collect()
     assert [r["near_next"] for r in repeated] == [1.0] * 3
+
+
+def test_long_unbroken_texts_are_spliced_and_counted_exactly():
+    path = by_path.vocabulary("piece_bpe_32k.model")
+    model, stable = by_path.sentencepiece_model(path), token_counts._stable_places(path)
+    rng = random.Random(2)
+    kinds = ["abcdefgh", "日本語中文字符", "éàüñ ", "\U0001f600x", "a", "  ab", "ﬁ²Å½ é", "\n\t\x00▁<s>"]
+    for _ in range(300):
+        text = "".join(rng.choice(rng.choice(kinds)) if rng.random() < 0.7 else rng.choice(["the ", "ing", "aaaa"]) for _ in range(rng.randint(1, 200)))
+        for chunk, overlap in ((20, 4), (64, 16)):
+            assert token_counts.count_long(model, text, chunk, overlap, stable) == len(model.encode(text)), text
+    for text in ("".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(350_000)), "a" * 300_000):  # 1 MB without a space
+        started = time.perf_counter()
+        assert token_counts.count_long(model, text, stable=stable) == len(model.encode(text))
+        assert time.perf_counter() - started < 10  # encoding it again and again took over 20 s
+
+
+def test_long_candidates_in_segments_as_whole(documents, monkeypatch):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"
+    texts = []
+    for _ in range(6):
+        parts = [rng.choices("aB1" if rng.random() < 0.5 else letters, k=rng.randint(5, 60)) for _ in range(8)]
+        texts.append("".join("".join(p) for p in parts))
+    docs = documents(list(enumerate(texts)))
+
+    def found():
+        return [r[0] for r in secret_scan.scan(docs).select(secret_scan.joined(F.col("secret_spans"))).collect()]
+
+    whole = found()
+    assert any(whole)
+    for size in (1, 19, 20, 64):
+        monkeypatch.setattr(secret_scan, "SEGMENT", size)
+        assert found() == whole

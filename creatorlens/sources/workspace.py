@@ -6,9 +6,11 @@ from every executor, so a lost executor never loses an intermediate result.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +37,23 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/creatorlens/{spark.sparkContext.applicationId}"
 
 
+_within: contextvars.ContextVar[str] = contextvars.ContextVar("within", default="")
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path of this application that nothing was written to before."""
-    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{_within.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def gathered(spark: SparkSession, label: str) -> Iterator[str]:
+    """Fresh folders made meanwhile lie in one folder, which can be discarded as a whole."""
+    path = fresh_folder(spark, label)
+    token = _within.set(path.removeprefix(_application_folder(spark) + "/") + "/")
+    try:
+        yield path
+    finally:
+        _within.reset(token)
 
 
 def _file_system(spark: SparkSession, path: str):

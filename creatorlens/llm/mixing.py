@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join, measured_bytes
 from ..sources.workspace import materialize
-from .spread import SLICE_ROWS, running, shuffled_order
+from .spread import SLICE_ROWS, named_rows, running, shuffled_order
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,7 +28,7 @@ BLOCK_WORDS, SHARD_BLOCKS = 4_096, 1_024
 #: Blocks that a mix may have, so that splits can be drawn exactly; larger ones have larger blocks.
 MOST_BLOCKS = 2**29
 #: Draws up to this measured size are sent to the texts; more are joined by a shuffle.
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 4 * 1024 * 1024
 
 
 def n_words(text: str = "text") -> Column:
@@ -240,7 +240,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int], share: float, **set
     document of which the mix takes a part ends with its last word taken, and its n_chars,
     if there, follows. Rows come by ``in_shards``: a partition per shard, shuffled within.
     """
-    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    numbered = named_rows(docs)
     sized = materialize(numbered.select("__row", "doc_id", "source", n_words("text").alias("size")), "sized")
     drawn = mix(sized, weights, share, **settings).select("__row", F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
     draws = materialize(

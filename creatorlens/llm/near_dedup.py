@@ -20,15 +20,15 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import measured_bytes, spread_join
 from ..sources.workspace import materialize
 from .components import labelled
-from .spread import FILE_ROWS, materialize_rows
+from .spread import FILE_ROWS, materialize_rows, named_rows
 
 #: Values of a sketch, and how far below the threshold a pair's estimate may lie (in deviations).
 SKETCH, DEVIATIONS = 96, 6.0
@@ -40,6 +40,8 @@ PIVOTS = (1, 8)
 SKETCH_ROWS, SET_ROWS = FILE_ROWS // 10, FILE_ROWS // 20
 #: Texts or pairs that a task holds the sets of at a time.
 TOGETHER = 256
+#: Numbers of the sets, as many as its pairs ask for, that a cell of pairs holds on average.
+CELL_NUMBERS = 2_000_000
 #: Words whose hashes a task remembers.
 KEPT_WORDS = 100_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -148,7 +150,7 @@ def _only(table: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, k: int, similarity: Fraction) -> DataFrame:
-    """A written table (value, cid): inverted lists of the rarest values of each sketch."""
+    """A written table (value, cid, n): inverted lists of the rarest values of each sketch."""
     large = least_overlap(k, float(similarity))
     # A set of up to similarity * k shingles meets only sets that are whole in their sketch.
     needed = F.when(
@@ -166,8 +168,8 @@ def _prefixes(classes: DataFrame, k: int, similarity: Fraction) -> DataFrame:
     kept = shared.join(sizes, "cid").withColumn(
         "_take", F.greatest(F.lit(0), F.col("_prefix") - (F.col("_m") - F.size("_shared"))).cast("int")
     )
-    lists = kept.select("cid", F.explode(F.slice("_shared", F.lit(1), F.col("_take"))).alias("_v")).select(
-        F.col("_v.value").alias("value"), "cid"
+    lists = kept.select("cid", "n", F.explode(F.slice("_shared", F.lit(1), F.col("_take"))).alias("_v")).select(
+        F.col("_v.value").alias("value"), "cid", "n"
     )
     return materialize(lists, "lists")
 
@@ -241,20 +243,49 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    return _judged(_with_both(pairs, sets), similarity).filter(F.col("verdict") == 1).select("a", "b")
+    """The pairs (a, b) whose whole sets are similar enough. Give written tables.
 
+    Pairs are dealt to the cells of a square by both ends, and a set goes once to each cell
+    that asks for it, however many pairs it has there: to as many cells as one side is long.
+    """
+    num, den = similarity.numerator, similarity.denominator
+    mean = sets.agg(F.avg("n")).first()[0] or 0
+    side = max(1, math.ceil(math.sqrt(2 * mean * pairs.count() / CELL_NUMBERS)))
+    row, column = (F.pmod(F.xxhash64(F.lit(end), end), F.lit(side)) for end in ("a", "b"))
+    dealt = pairs.select("a", "b", (row * side + column).alias("cell"))
+    asked = dealt.select("cell", F.col("a").alias("cid")).unionByName(dealt.select("cell", F.col("b").alias("cid")))
+    given = asked.distinct().join(sets.select("cid", "hashes"), "cid").withColumnRenamed("cell", "in_cell")
+
+    def similar(first: np.ndarray, second: np.ndarray) -> bool:
+        small, great = sorted((len(first), len(second)))
+        if small * den < great * num:
+            return False
+        common = len(np.intersect1d(first, second, assume_unique=True))
+        return den * common >= num * (small + great - common)
+
+    def confirm(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        hashes = dict(zip(held["cid"].tolist(), held["hashes"]))
+        found = [similar(hashes[a], hashes[b]) for a, b in zip(own["a"].tolist(), own["b"].tolist())]
+        return own.loc[np.array(found, bool), ["a", "b"]]
+
+    return dealt.groupBy("cell").cogroup(given.groupBy("in_cell")).applyInPandas(confirm, "a long, b long")
+
+
+def _listed(now: DataFrame, done: int, pivots: int, similarity: Fraction) -> DataFrame:
+    """Pairs (a, b) of each list's members ``done`` to ``pivots`` with all its later members.
 
-def _listed(now: DataFrame, done: int, pivots: int) -> DataFrame:
-    """Pairs (a, b) of each list's members ``done`` to ``pivots`` with all its later members."""
+    Only sets whose sizes allow for the similarity are paired.
+    """
+    num, den = similarity.numerator, similarity.denominator
     nth = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
     chosen = (
         now.withColumn("nth", nth)
         .filter(F.col("nth") <= pivots)
         .filter(F.col("nth") > done)
-        .select("value", F.col("cid").alias("a"), F.col("label").alias("_label"))
+        .select("value", F.col("cid").alias("a"), F.col("label").alias("_label"), F.col("n").alias("_n"))
     )
     later = (F.col("a") < F.col("cid")) & (F.col("_label") != F.col("label"))
+    later = later & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
     return now.join(chosen, "value").filter(later).select("a", F.col("cid").alias("b")).distinct()
 
 
@@ -309,14 +340,14 @@ def _components(docs: DataFrame, classes: DataFrame, width: int, k: int, similar
         many = now.count()
         if not many:
             break
-        lists = now.select("value", "cid")
+        lists = now.select("value", "cid", "n")
         if pivots:
-            pairs = materialize_rows(_listed(now, done, pivots), "pairs", many)
+            pairs = materialize_rows(_listed(now, done, pivots, similarity), "pairs", many)
             many = pairs.count()
             known = materialize_rows(_only(sketches, _ends(pairs), "cid"), "pair-sketches", many, SKETCH_ROWS, sifted=True)
             judged = materialize_rows(_judged(_with_both(pairs, known), similarity, k), "judged", many, SKETCH_ROWS)
             sure = judged.filter(F.col("verdict") == 1).select("a", "b")
-            asked = judged.filter(F.col("verdict") == 2).select("a", "b")
+            asked = materialize_rows(judged.filter(F.col("verdict") == 2).select("a", "b"), "asked-pairs", many)
             ends = materialize_rows(_ends(asked), "asked", many)
             sets = _whole_sets(ends, docs, classes, width)
             links = sure.unionByName(_confirmed(asked, sets, similarity))
@@ -396,23 +427,9 @@ def near_duplicates(
     return out if "_row" in docs.columns else out.drop("_row")
 
 
-def _named_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__row``, text that tells its rows apart and stays the same at every reading.
-
-    Rows read straight from files have their file and place there; others are numbered in a
-    written copy.
-    """
-    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().children().isEmpty():
-        try:
-            return docs.withColumn("__row", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index"))
-        except AnalysisException:  # a leaf, but no file
-            pass
-    return materialize(docs.withColumn("__row", F.monotonically_increasing_id().cast("string")), "numbered")
-
-
 def survivors(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, all columns."""
-    named = _named_rows(docs)
+    named = named_rows(docs)
     found = near_duplicates(named.select(F.col("__row").alias("_row"), "doc_id", "text"), **settings)
     lost = found.filter(~F.col("survivor")).select(F.col("_row").alias("__row"))
     gone = materialize_rows(lost, "gone", docs.count())

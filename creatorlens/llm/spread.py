@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,3 +70,17 @@ def running(
         .withColumn(name, F.coalesce(_SUM, F.lit(0)) + F.coalesce(_BASE, F.lit(0)))
         .drop(_SLICE, _SUM, _BASE)
     )
+
+
+def named_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, text that tells its rows apart and stays the same at every reading.
+
+    Rows read straight from files have their file and place there; others are numbered in a
+    written copy.
+    """
+    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            return docs.withColumn("__row", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index"))
+        except AnalysisException:  # a leaf, but no file
+            pass
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id().cast("string")), "numbered")

@@ -6,6 +6,7 @@ DataFrame; all but the last return the columns of documents. Nothing is capped o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from creatorlens.llm import language_id, mixing, near_dedup, packing, secret_sca
 from creatorlens.llm.queries import MIX_SHARE, MIX_WEIGHTS, SEQUENCE_TOKENS, language_samples
 from creatorlens.llm.shipping import ship
 from creatorlens.llm.tokenizers_by_path import vocabulary
-from creatorlens.sources.workspace import materialize
+from creatorlens.sources.workspace import discard, gathered, materialize
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS, SIMILARITY = 5, "0.8"
@@ -81,12 +82,37 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), SEQUENCE_TOKENS)
 
 
+_scratch: dict[str, list[str]] = {}
+
+
+def _tidy(stage: Callable) -> Callable:
+    """``stage`` with intermediate tables in a folder of its own, that a later stage removes.
+
+    When a stage begins, the results of those before it have been written and are its ``docs``;
+    what they were made from goes, unless ``docs`` is still to be read from it.
+    """
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        folders = _scratch.setdefault(spark.sparkContext.applicationId, [])
+        if folders:
+            read = docs.inputFiles()
+            for folder in [f for f in folders if not any(f.rsplit("/", 1)[-1] in file for file in read)]:
+                discard(spark, folder)
+                folders.remove(folder)
+        with gathered(spark, stage.__name__) as folder:
+            folders.append(folder)
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", known_language),
-    ("near_dedup", one_of_each),
-    ("secret_scan", without_secrets),
-    ("mixing", mixed),
-    ("packing", packed),
+    ("language_id", _tidy(known_language)),
+    ("near_dedup", _tidy(one_of_each)),
+    ("secret_scan", _tidy(without_secrets)),
+    ("mixing", _tidy(mixed)),
+    ("packing", _tidy(packed)),
 ]
 #: SQL can't express the language model or the search for fillings.
 ORACLE_SQL: str | None = None

@@ -9,7 +9,8 @@ values of each (prefix filter). Each list is first worked off against a few of i
 those already in one component need no further comparing, so a large group of copies takes
 a pair or two per document. Members of lists that are not settled then (groups of texts a
 little too different) are searched once more, over their whole sets: rarest shingles first,
-a pair's overlap is bounded by what follows the first shingle it shares. No list is cut.
+a pair's overlap is bounded by what follows the first shingle it shares, and a share of the pairs
+is compared before the others, most of which it joins. No list is cut.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SKETCH, DEVIATIONS = 96, 6.0
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: How many members of a list the others have been compared with after each round by lists.
 PIVOTS = (1, 8)
+#: One in how many pairs of whole sets each round compares, until all are compared or joined.
+SHARES = (16, 4, 1)
 #: Rows of a written file that hold a sketch, and that hold a whole set.
 SKETCH_ROWS, SET_ROWS = FILE_ROWS // 10, FILE_ROWS // 20
 #: Texts or pairs that a task holds the sets of at a time.
@@ -271,31 +274,67 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataF
     return dealt.groupBy("cell").cogroup(given.groupBy("in_cell")).applyInPandas(confirm, "a long, b long")
 
 
-def _listed(now: DataFrame, done: int, pivots: int, similarity: Fraction) -> DataFrame:
-    """Pairs (a, b) of each list's members ``done`` to ``pivots`` with all its later members.
+def _open(lists: DataFrame, labels: DataFrame | None, done: int) -> tuple[DataFrame, int]:
+    """A written table of the lists with members of several components, with labels, and its rows.
 
-    Only sets whose sizes allow for the similarity are paired.
+    Lists of which all have been compared with the first ``done`` are left out as well.
     """
+    now = lists if labels is None else lists.join(labels, "cid", "left")
+    now = now.withColumn("label", F.col("cid") if labels is None else F.coalesce("label", "cid"))
+    unsettled = (
+        now.groupBy("value")
+        .agg(F.count(F.lit(1)).alias("_members"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        .filter((F.col("_low") != F.col("_high")) & (F.col("_members") > done + 1))
+        .select("value")
+    )
+    found = materialize_rows(now.join(unsettled, "value", "left_semi"), "open-lists", lists.count())
+    return found, found.count()
+
+
+def _meeting(now: DataFrame, first: DataFrame, fits: Column, similarity: Fraction) -> DataFrame:
+    """Pairs (a, b) of different components and fitting sizes that meet in a list."""
     num, den = similarity.numerator, similarity.denominator
-    nth = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
-    chosen = (
-        now.withColumn("nth", nth)
-        .filter(F.col("nth") <= pivots)
-        .filter(F.col("nth") > done)
-        .select("value", F.col("cid").alias("a"), F.col("label").alias("_label"), F.col("n").alias("_n"))
+    other = first.select("value", *[F.col(c).alias(f"_{c}") for c in now.columns if c != "value"])
+    fits = (
+        (F.col("_cid") < F.col("cid"))
+        & (F.col("_label") != F.col("label"))
+        & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
+        & fits
     )
-    later = (F.col("a") < F.col("cid")) & (F.col("_label") != F.col("label"))
-    later = later & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
-    return now.join(chosen, "value").filter(later).select("a", F.col("cid").alias("b")).distinct()
+    return now.join(other, "value").filter(fits).select(F.col("_cid").alias("a"), F.col("cid").alias("b")).distinct()
 
 
-def _searched(members: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs (a, b) of different components among ``members`` (cid, label) that may be similar.
+def _listed(now: DataFrame, similarity: Fraction, done: int, pivots: int) -> DataFrame:
+    """Pairs (a, b) of each list's members ``done`` to ``pivots`` with all its later members."""
+    nth = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
+    chosen = now.withColumn("_place", nth).filter(F.col("_place") <= pivots).filter(F.col("_place") > done)
+    return _meeting(now, chosen, F.lit(True), similarity)
+
 
-    Over whole sets in the order of how many members have a shingle. What both have is at
-    most what follows, in either, the first shingle they share; that must be enough.
+def _searched(now: DataFrame, similarity: Fraction, k: int, done: int | None, share: int) -> DataFrame:
+    """Pairs (a, b) of lists over whole sets that may be similar: one in ``share`` of them.
+
+    What both have is at most what follows in either (``rest``, the value included), and must
+    be enough; and the sketches must share what those of similar sets do, as the members' own
+    lists took for granted. Shares are parts of each other; what a share of one in ``done``
+    had is left out.
     """
     num, den = similarity.numerator, similarity.denominator
+    most = F.least("rest", "_rest")
+    common = F.size(F.array_intersect("sketch", "_sketch"))
+    alike = F.when(F.greatest("n", "_n") > k, common >= least_overlap(k, float(similarity))).otherwise(
+        common * (den + num) >= (F.col("n") + F.col("_n")) * num
+    )
+    dealt = F.xxhash64("_cid", "cid")
+    turn = F.pmod(dealt, F.lit(share)) == 0
+    if done:
+        turn = turn & (F.pmod(dealt, F.lit(done)) != 0)
+    return _meeting(now, now, turn & (most * den >= (F.col("n") + F.col("_n") - most) * num) & alike, similarity)
+
+
+def _whole_lists(sets: DataFrame, similarity: Fraction, k: int) -> DataFrame:
+    """A written table (value, cid, n, rest, sketch): inverted lists over whole sets, rarest shingles first."""
+    num, den = similarity.numerator, similarity.denominator
     postings = sets.select("cid", F.explode("hashes").alias("value"))
     often = postings.groupBy("value").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > 1)
     shared = postings.join(often, "value").groupBy("cid").agg(
@@ -303,60 +342,53 @@ def _searched(members: DataFrame, sets: DataFrame, similarity: Fraction) -> Data
     )
     alone = F.col("n") - F.size("_shared")
     take = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * num / den) + 1 - alone).cast("int")
-    lists = materialize(
-        shared.join(sets.select("cid", "n"), "cid")
-        .join(members, "cid")
-        .select("cid", "label", "n", (F.col("n") - alone).alias("_rest"), F.posexplode(F.slice("_shared", F.lit(1), take)))
-        .select("cid", "label", "n", F.col("col.value").alias("value"), (F.col("_rest") - F.col("pos")).alias("rest")),
-        "whole-lists",
+    sketch = F.slice("hashes", 1, k).alias("sketch")
+    cut = shared.join(sets.select("cid", "n", sketch), "cid").select(
+        "cid", "n", "sketch", (F.col("n") - alone).alias("_rest"), F.posexplode(F.slice("_shared", F.lit(1), take))
     )
-    other = lists.select(*[F.col(c).alias(c if c == "value" else f"_{c}") for c in lists.columns])
-    most: Column = F.least("rest", "_rest")
-    enough = (
-        (F.col("cid") < F.col("_cid"))
-        & (F.col("label") != F.col("_label"))
-        & (F.least("n", "_n") * den >= F.greatest("n", "_n") * num)
-        & (most * den >= (F.col("n") + F.col("_n") - most) * num)
+    return materialize(
+        cut.select(F.col("col.value").alias("value"), "cid", "n", (F.col("_rest") - F.col("pos")).alias("rest"), "sketch"), "whole-lists"
     )
-    pairs = lists.join(other, "value").filter(enough)
-    return pairs.select(F.col("cid").alias("a"), F.col("_cid").alias("b")).distinct()
 
 
 def _components(docs: DataFrame, classes: DataFrame, width: int, k: int, similarity: Fraction) -> DataFrame | None:
-    """(cid, label) of all classes that have links; None if no two meet."""
+    """(cid, label) of all classes that have links; None if no two meet.
+
+    Lists of sketch values are worked off against a few of their members at a time; what is
+    open then goes through lists over whole sets, a share of the pairs first: they join most of
+    a large family of copies, whose other pairs need no comparing then. The last share is all.
+    """
     lists = _prefixes(classes, k, similarity)
     sketches = classes.select("cid", "n", F.col("sketch").alias("hashes"))
     labels: DataFrame | None = None
-    for done, pivots in zip((0, *PIVOTS), (*PIVOTS, None)):
-        now = lists if labels is None else lists.join(labels, "cid", "left")
-        now = now.withColumn("label", F.col("cid") if labels is None else F.coalesce("label", "cid"))
-        open_lists = (
-            now.groupBy("value")
-            .agg(F.count(F.lit(1)).alias("_members"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-            .filter((F.col("_low") != F.col("_high")) & (F.col("_members") > done + 1))
-            .select("value")
-        )
-        now = materialize_rows(now.join(open_lists, "value", "left_semi"), "open-lists", lists.count())
-        many = now.count()
+    for done, pivots in zip((0, *PIVOTS), PIVOTS):
+        now, many = _open(lists, labels, done)
+        if not many:
+            return labels
+        lists = now.drop("label")
+        pairs = materialize_rows(_listed(now, similarity, done, pivots), "pairs", many)
+        many = pairs.count()
+        known = materialize_rows(_only(sketches, _ends(pairs), "cid"), "pair-sketches", many, SKETCH_ROWS, sifted=True)
+        judged = materialize_rows(_judged(_with_both(pairs, known), similarity, k), "judged", many, SKETCH_ROWS)
+        sure = judged.filter(F.col("verdict") == 1).select("a", "b")
+        asked = materialize_rows(judged.filter(F.col("verdict") == 2).select("a", "b"), "asked-pairs", many)
+        sets = _whole_sets(materialize_rows(_ends(asked), "asked", many), docs, classes, width)
+        links = sure.unionByName(_confirmed(asked, sets, similarity))
+        labels = _joined_labels(labels, materialize_rows(links, "found-links", many, SET_ROWS))
+    now, many = _open(lists, labels, PIVOTS[-1])
+    if not many:
+        return labels
+    members = materialize_rows(now.select("cid").distinct(), "members", many)
+    sets = _whole_sets(members, docs, classes, width)
+    lists = _whole_lists(sets, similarity, k)
+    for done, share in zip((None, *SHARES), SHARES):
+        now, many = _open(lists, labels, 0)
         if not many:
             break
-        lists = now.select("value", "cid", "n")
-        if pivots:
-            pairs = materialize_rows(_listed(now, done, pivots, similarity), "pairs", many)
-            many = pairs.count()
-            known = materialize_rows(_only(sketches, _ends(pairs), "cid"), "pair-sketches", many, SKETCH_ROWS, sifted=True)
-            judged = materialize_rows(_judged(_with_both(pairs, known), similarity, k), "judged", many, SKETCH_ROWS)
-            sure = judged.filter(F.col("verdict") == 1).select("a", "b")
-            asked = materialize_rows(judged.filter(F.col("verdict") == 2).select("a", "b"), "asked-pairs", many)
-            ends = materialize_rows(_ends(asked), "asked", many)
-            sets = _whole_sets(ends, docs, classes, width)
-            links = sure.unionByName(_confirmed(asked, sets, similarity))
-        else:
-            members = materialize_rows(now.select("cid", "label").distinct(), "members", many)
-            sets = _whole_sets(members.select("cid"), docs, classes, width)
-            pairs = materialize_rows(_searched(members, sets, similarity), "pairs", many)
-            links = _confirmed(pairs, sets, similarity)
-        labels = _joined_labels(labels, materialize_rows(links, "found-links", pairs.count(), SET_ROWS))
+        lists = now.drop("label")
+        pairs = materialize_rows(_searched(now, similarity, k, done, share), "pairs", many)
+        links = materialize_rows(_confirmed(pairs, sets, similarity), "found-links", pairs.count(), SET_ROWS)
+        labels = _joined_labels(labels, links)
     return labels
 
 

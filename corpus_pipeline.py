@@ -20,6 +20,10 @@ from creatorlens.sources.workspace import discard, gathered, materialize
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS, SIMILARITY = 5, "0.8"
+#: Whole texts go to Python workers in batches of at most so many bytes (or one text), so that
+#: a worker's memory doesn't depend on how long 10,000 texts are.
+BATCH_BYTES = 4 << 20
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -94,6 +98,8 @@ def _tidy(stage: Callable) -> Callable:
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        # The session keeps it: the stage's result is planned when its caller writes it.
+        spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
         folders = _scratch.setdefault(spark.sparkContext.applicationId, [])
         if folders:
             read = docs.inputFiles()

@@ -7,6 +7,7 @@ DataFrame; all but the last return the columns of documents. Nothing is capped o
 from __future__ import annotations
 
 import functools
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,7 +94,9 @@ def _tidy(stage: Callable) -> Callable:
     """``stage`` with intermediate tables in a folder of its own, that a later stage removes.
 
     When a stage begins, the results of those before it have been written and are its ``docs``;
-    what they were made from goes, unless ``docs`` is still to be read from it.
+    what they were made from goes, unless ``docs`` is still to be read from it. Spark removes
+    shuffle files and broadcasts once the driver has collected the plans that used them, so
+    it is asked to do that before the next stage.
     """
 
     @functools.wraps(stage)
@@ -106,6 +109,8 @@ def _tidy(stage: Callable) -> Callable:
             for folder in [f for f in folders if not any(f.rsplit("/", 1)[-1] in file for file in read)]:
                 discard(spark, folder)
                 folders.remove(folder)
+        gc.collect()  # Python's handles on plans first
+        spark.sparkContext._jvm.System.gc()
         with gathered(spark, stage.__name__) as folder:
             folders.append(folder)
             return stage(spark, docs, sf_dir)

@@ -835,6 +835,11 @@ FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
             "LATERAL (VALUES ('absent', -1), ('created', n), ('refused', n), ('appended', 3 * n), "
             "('replaced', 2 * n), ('namespace', 2 * n), ('dropped', -1)) v(step, stored)"
         ),
+        "catalog_version_steps": (
+            "SELECT step, stored AS rows_stored FROM (SELECT count(*) AS n FROM customer) c, "
+            "LATERAL (VALUES ('created', n), ('appended', 3 * n), ('replacement failed', 3 * n), ('replaced', 2 * n), "
+            "('planned before', 3 * n), ('saved twice', n), ('versions', 2)) v(step, stored)"
+        ),
         "channel_rows_stamped_now": (
             "SELECT count(*) AS rows, count(*) AS iso_rows, CAST(1 AS BIGINT) AS times, count(*) AS recent_rows FROM customer"
         ),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -653,6 +654,37 @@ def catalog_table_steps(d: Dataset) -> DataFrame:
     return d.spark.createDataFrame(steps, "step string, done boolean, rows_stored long")
 
 
+@_registered
+def catalog_version_steps(d: Dataset) -> DataFrame:
+    """A table of versions behind a view: rows after each step, a failed replacement among them."""
+    prefix = f"versions_{d.spark.sparkContext.applicationId.replace('-', '_')}"
+    store = stores.VersionedCatalogStore(d.spark, prefix)
+    store.drop("raw_channels") if store.exists("raw_channels") else None
+    steps: list[tuple[str, int]] = []
+
+    def step(name: str, df: DataFrame | None = None) -> None:
+        steps.append((name, (df or store.read("raw_channels")).count()))
+
+    stores.load(d.current_channels, store, "raw_channels", stores.CREATE)
+    step("created")
+    stores.load(d.raw_channels, store, "raw_channels", stores.APPEND)
+    step("appended")
+    before = store.read("raw_channels")
+    try:
+        store.publish(f"{store.locate('raw_channels')}_lost", "raw_channels")
+    except AnalysisException:
+        step("replacement failed")
+    stores.load(d.raw_channels, store, "raw_channels", stores.OVERWRITE)
+    step("replaced")
+    step("planned before", before)
+    for _ in range(2):
+        stores.save(d.current_channels, store, "raw_channels")
+    step("saved twice")
+    steps.append(("versions", len(store.versions("raw_channels"))))
+    d.spark.sql(f"DROP DATABASE {store.locate('raw_channels').split('.')[0]} CASCADE")
+    return d.spark.createDataFrame(steps, "step string, rows_stored long")
+
+
 @_registered
 def channel_rows_stamped_now(d: Dataset) -> DataFrame:
     """Channel rows of a run that takes its own time: ISO text in UTC, the same on every row."""

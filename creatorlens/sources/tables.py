@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from datetime import date, timedelta
@@ -107,6 +108,78 @@ class CatalogStore:
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
+class VersionedCatalogStore(CatalogStore):
+    """Every state of a table is a managed table of its own, behind a view of the table's name.
+
+    Replacing a table changes one catalog entry, the view, and nothing else: whatever fails
+    before or after that, the name shows all rows of one version. The last ``kept`` versions
+    stay, so a query planned before a replacement still finds its files. A writer that
+    ``kept`` others overtake fails without harm and may be repeated. A plain table of the
+    name is refused, not replaced.
+    """
+
+    def __init__(self, spark: SparkSession, prefix: str, *, kept: int = 2):
+        super().__init__(spark, prefix)
+        self.kept = kept
+
+    def live(self, name: str) -> str | None:
+        """The version that the view shows; None before the first."""
+        if not self.exists(name):
+            return None
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.locate(name)}")
+        text = described.filter("col_name = 'View Text'").first()
+        if text is None:
+            raise ValueError(f"not a view: {self.locate(name)}")
+        return text["data_type"].rsplit(" ", 1)[-1]
+
+    def versions(self, name: str) -> dict[str, int]:
+        """Numbers of all versions there are, published or not, by table."""
+        space, table = self.locate(name).split(".")
+        if not self.spark.catalog.databaseExists(space):
+            return {}
+        names = [r["tableName"] for r in self.spark.sql(f"SHOW TABLES IN {space} LIKE '{table}_v*'").collect()]
+        found = {n: re.fullmatch(rf"{re.escape(table)}_v(\d+)_[0-9a-f]{{32}}", n) for n in names}
+        return {f"{space}.{n}": int(match[1]) for n, match in found.items() if match}
+
+    def _number(self, name: str) -> int:
+        live = self.live(name)
+        return 0 if live is None else self.versions(name)[live]
+
+    def write(self, df: DataFrame, name: str, mode: str) -> None:
+        live = self.live(name)
+        if mode == APPEND and live is not None:
+            df.write.mode(APPEND).options(**_WRITE_OPTIONS.get(name, {})).format("parquet").saveAsTable(live)
+        elif mode == CREATE and live is not None:
+            raise ValueError(f"table already exists: {self.locate(name)}")
+        else:
+            self.publish(self.staged(df, name)[0], name)
+
+    def staged(self, df: DataFrame, name: str) -> tuple[str, int]:
+        table = f"{self.locate(name)}_v{self._number(name) + 1:06d}_{uuid.uuid4().hex}"
+        ensure_namespace(self.spark, table.split(".")[0])
+        df.write.options(**_WRITE_OPTIONS.get(name, {})).format("parquet").saveAsTable(table)
+        return table, self.spark.table(table).count()
+
+    def publish(self, staged: str, name: str) -> None:
+        view, text = self.locate(name), f"SELECT * FROM {staged}"
+        self.spark.sql(f"CREATE VIEW IF NOT EXISTS {view} AS {text}")
+        if self.live(name) != staged:
+            self.spark.sql(f"ALTER VIEW {view} AS {text}")
+        self._expire(name)
+
+    def _expire(self, name: str) -> None:
+        oldest = self._number(name) - self.kept + 1
+        for table, number in self.versions(name).items():
+            if number < oldest:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def drop(self, name: str) -> None:
+        """The view first, so that no reader finds a name without rows; then all versions."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.locate(name)}")
+        for table in self.versions(name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 Store = FolderStore | CatalogStore
 
 

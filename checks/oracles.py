@@ -683,6 +683,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "listing_parse": _ingest("SELECT config_url, tab, position, video_id FROM listing"),
         "video_dump_parse": _ingest("SELECT * FROM parsed"),
+        "video_lines_sorted_out": _ingest(
+            "SELECT video_id, fate, count(*) OVER (PARTITION BY fate) AS lines_of_fate FROM (SELECT video_id, "
+            "CASE WHEN o_orderkey % 47 = 0 THEN 'empty line' WHEN o_orderkey % 43 = 0 THEN 'no JSON object' "
+            "WHEN duration_seconds IS NULL THEN 'no JSON' "
+            "WHEN o_orderkey % 41 = 0 AND upload_date IS NOT NULL THEN 'no upload day' ELSE 'parsed' END AS fate FROM raw_videos)"
+        ),
         "channel_dump_merge": _ingest("SELECT * FROM merged"),
         "channel_probe_urls": _ingest(
             "SELECT channel_url AS config_url, concat('https://www.youtube.com/watch?v=x', channel_id) "

@@ -26,13 +26,13 @@ from creatorlens.functions import fixed_values as fixed
 from creatorlens.operators import quality, reshape
 from creatorlens.plans import ingest, marts, metrics, reports, serving, staging
 from creatorlens.plans.current import CurrentChannels
-from creatorlens.sources import dumps, registry
+from creatorlens.sources import dumps, quarantine, registry
 from creatorlens.sources import tables as stores
 from creatorlens.sources.id_index import IdIndex
 from creatorlens.sources.workspace import fresh_folder, materialize, read_parquet
 from creatorlens.streaming import discovery
 
-from .fixture import AS_OF, CHANNEL, NICHES, Dataset, dataset, new_store
+from .fixture import AS_OF, CHANNEL, NICHES, SCRAPED_AT, Dataset, dataset, new_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -388,6 +388,22 @@ def video_dump_parse(d: Dataset) -> DataFrame:
     return d.parsed_videos
 
 
+@_registered
+def video_lines_sorted_out(d: Dataset) -> DataFrame:
+    """Each video line with its fate, and the counts of the run beside it; some lines are spoilt here."""
+    number = F.expr("cast(substring(requested_id, 2) as bigint)")
+    no_day = F.regexp_replace("value", r'"upload_date":"\d{8}"', '"upload_date":"20231345"')
+    spoilt = (
+        F.when(number % 47 == 0, " ").when(number % 43 == 0, "[1]").when(number % 41 == 0, no_day).otherwise(F.col("value"))
+    )
+    done = quarantine.sort_videos(d.video_lines.withColumn("value", spoilt), SCRAPED_AT)
+    fates = done.rows.select("video_id", F.lit(quarantine.PARSED).alias("fate")).unionByName(
+        done.set_aside.select(F.col("requested_id").alias("video_id"), F.col("reason").alias("fate"))
+    )
+    counts = F.create_map(*[F.lit(x) for pair in done.counts.items() for x in pair])
+    return fates.withColumn("lines_of_fate", F.element_at(counts, F.col("fate")).cast("long"))
+
+
 @_registered
 def channel_dump_merge(d: Dataset) -> DataFrame:
     return d.parsed_channels

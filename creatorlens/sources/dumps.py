@@ -20,9 +20,11 @@ _RECORD = "_record"
 _REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
-def _parse(lines: DataFrame) -> DataFrame:
+def _parse(lines: DataFrame, *, all_lines: bool = False) -> DataFrame:
     """Adds the parsed line, a map from its keys to variants; other lines are gone.
 
+    With ``all_lines`` they stay, with NULL for the map.
+
     Each line is parsed once and field by field: a value of another type than expected
     costs that field only. The map leaves a generator that yields nothing for a line
     that is no JSON object: a filter on fields would be pushed below and parse again.
@@ -31,7 +33,8 @@ def _parse(lines: DataFrame) -> DataFrame:
     """
     lines.sparkSession.conf.set(_REPEATED_KEYS, "true")
     record = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
-    return lines.select("*", F.explode(F.filter(F.array(record), lambda r: r.isNotNull())).alias(_RECORD))
+    held = F.array(record) if all_lines else F.filter(F.array(record), lambda r: r.isNotNull())
+    return lines.select("*", F.explode(held).alias(_RECORD))
 
 
 def _variant(name: str) -> Column:
@@ -102,8 +105,12 @@ def parse_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
     The key of a video is the id it was asked for, in column ``requested_id`` if the
     lines have it; the dump's own id may be another.
     """
+    return _parse(lines).select(*_video_columns(lines, scraped_at))
+
+
+def _video_columns(lines: DataFrame, scraped_at: Column | str) -> list[Column]:
     requested = [F.col("requested_id")] if "requested_id" in lines.columns else []
-    return _parse(lines).select(
+    return [
         F.coalesce(*requested, _text("id")).alias("video_id"),
         _value_or("title", _text("title"), "").alias("title"),
         clip(_text("description"), fixed.VIDEO_TEXT_LIMIT).alias("description"),
@@ -122,7 +129,33 @@ def parse_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
         _flag("is_live").alias("is_live"),
         _flag("was_live").alias("was_live"),
         _stamp(scraped_at),
+    ]
+
+
+#: Why a video line can't be loaded; of several reasons the first one counts.
+EMPTY_LINE, NO_JSON, NO_OBJECT, NO_ID, NO_DAY = "empty line", "no JSON", "no JSON object", "no id", "no upload day"
+REASONS = (EMPTY_LINE, NO_JSON, NO_OBJECT, NO_ID, NO_DAY)
+
+
+def judged_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
+    """Every line: columns of ``lines``, ``reason`` and ``video``, the raw video row.
+
+    ``reason`` says why the line can't be loaded and is NULL for a good one; ``video`` is
+    NULL where the line is no JSON object. A day that no date can be made of is a reason,
+    because the models would fail on it; no day at all is none.
+    """
+    value = F.coalesce("value", F.lit(""))
+    video = F.when(F.col(_RECORD).isNotNull(), F.struct(*_video_columns(lines, scraped_at)))
+    day = F.col("video.upload_date")
+    reason = (
+        F.when(F.trim(value) == "", EMPTY_LINE)
+        .when(F.col("video").isNull() & F.try_parse_json(value).isNull(), NO_JSON)
+        .when(F.col("video").isNull(), NO_OBJECT)
+        .when(F.col("video.video_id").isNull(), NO_ID)
+        .when(day.isNotNull() & day.try_cast("date").isNull(), NO_DAY)
     )
+    columns = [c for c in lines.columns if c not in ("video", "reason")]
+    return _parse(lines.select(*columns), all_lines=True).select(*columns, video.alias("video")).withColumn("reason", reason)
 
 
 def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column | str) -> DataFrame:

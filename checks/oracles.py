@@ -857,6 +857,30 @@ FROM counted c FULL JOIN snaps s ON c.channel_id = s.channel_id"""
             "UNION ALL SELECT 'described', 2 * count(*) FROM customer "
             "UNION ALL SELECT 'videos', count(*) FROM orders"
         ),
+        "channel_summary_daily": _SUMMARY,
+        "channel_summary_daily_earlier": _SUMMARY.replace("DATE '2001-08-02'", "DATE '1996-03-05'"),
+        "channel_rolling_uploads": _models(
+            "SELECT channel_id, upload_date, videos, CAST(sum(videos) OVER (PARTITION BY channel_id "
+            "ORDER BY upload_date) AS BIGINT) AS total_videos, CAST(sum(videos) OVER (PARTITION BY channel_id "
+            "ORDER BY upload_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS videos_last_30d, "
+            "CAST(sum(videos) OVER (PARTITION BY channel_id ORDER BY upload_date "
+            "RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS videos_last_7d "
+            "FROM (SELECT channel_id, upload_date, count(*) AS videos FROM stg_videos "
+            "WHERE upload_date IS NOT NULL AND channel_id IS NOT NULL GROUP BY 1, 2) u"
+        ),
+        "niche_medians_merged": _models(
+            "SELECT niche, count(subscriber_count) AS channels, "
+            "quantile_disc(subscriber_count, 0.5) AS median_subscribers FROM channel_summary GROUP BY niche"
+        ),
+        "view_quantiles_bounded": _models(
+            "SELECT niche, fraction, count(view_count) AS videos, true AS near FROM fact "
+            "CROSS JOIN (SELECT unnest([CAST(0.25 AS DOUBLE), 0.5, 0.75]) AS fraction) q GROUP BY niche, fraction"
+        ),
+        "retention_day_table": _ingest(
+            "SELECT u.rows, channel_id, scraped_at, subscriber_count FROM raw_channels "
+            "CROSS JOIN (SELECT unnest(['retained', 'left']) AS rows) u "
+            "WHERE CAST(substr(scraped_at, 1, 10) AS DATE) >= DATE '2001-09-16' - INTERVAL 60 DAY"
+        ),
         "retention_60d": _ingest(
             "SELECT channel_id, scraped_at, subscriber_count FROM raw_channels "
             "WHERE CAST(substr(scraped_at, 1, 10) AS DATE) >= DATE '2001-09-16' - INTERVAL 60 DAY"

@@ -7,6 +7,7 @@ rounded, whole numbers widened to bigint, timestamps shown as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +24,17 @@ from pyspark.sql.types import (
 
 from creatorlens import schemas
 from creatorlens.functions import fixed_values as fixed
-from creatorlens.operators import quality, reshape
-from creatorlens.plans import ingest, marts, metrics, reports, serving, staging
+from creatorlens.operators import quality, quantiles, reshape
+from creatorlens.plans import daily, ingest, marts, metrics, reports, serving, staging
 from creatorlens.plans.current import CurrentChannels
 from creatorlens.sources import dumps, quarantine, registry
 from creatorlens.sources import tables as stores
+from creatorlens.sources.day_table import DayTable
 from creatorlens.sources.id_index import IdIndex
 from creatorlens.sources.workspace import fresh_folder, materialize, read_parquet
 from creatorlens.streaming import discovery
 
-from .fixture import AS_OF, CHANNEL, NICHES, SCRAPED_AT, Dataset, dataset, new_store
+from .fixture import AS_OF, CHANNEL, EARLIER, NICHES, SCRAPED_AT, Dataset, dataset, new_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -599,6 +601,50 @@ def channels_current_merged(d: Dataset) -> DataFrame:
     return staging.stg_channels(current.read())
 
 
+@_registered
+def channel_summary_daily(d: Dataset) -> DataFrame:
+    """The summary from daily sums that were added in three loads, one of them given twice."""
+    return daily.channel_summary(d.daily_sums, d.written_channels, AS_OF)
+
+
+@_registered
+def channel_summary_daily_earlier(d: Dataset) -> DataFrame:
+    """The same sums, another reporting day: no video is read for it."""
+    return daily.channel_summary(d.daily_sums, d.written_channels, EARLIER)
+
+
+@_registered
+def channel_rolling_uploads(d: Dataset) -> DataFrame:
+    return daily.rolling_uploads(d.daily_sums)
+
+
+@_registered
+def niche_medians_merged(d: Dataset) -> DataFrame:
+    """Median subscribers of niches, from sketches per niche, region and tier."""
+    parts = quantiles.sketches(d.marts.agg_channel_metrics, "subscriber_count", "niche", "region", "size_tier")
+    return quantiles.merged(parts, "niche").select(
+        "niche", quantiles.sketched_rows().alias("channels"), quantiles.quantile(0.5).alias("median_subscribers")
+    )
+
+
+@_registered
+def view_quantiles_bounded(d: Dataset) -> DataFrame:
+    """Quartiles of views per niche from sketches of 256, and whether their ranks are as near as stated.
+
+    Near: within twice the error of 99 in 100 cases.
+    """
+    size, views = 256, F.col("view_count")
+    fact = d.marts.fct_video_performance
+    parts = quantiles.sketches(fact, "view_count", "niche", "region", "duration_category", size=size)
+    quartiles = F.array(*[F.struct(F.lit(q).alias("fraction"), quantiles.quantile(q).alias("value")) for q in (0.25, 0.5, 0.75)])
+    merged = quantiles.merged(parts, "niche", size=size)
+    found = merged.select("niche", quantiles.sketched_rows().alias("videos"), F.inline(quartiles))
+    ranked = fact.select("niche", "view_count").join(F.broadcast(found), "niche")  # three rows per niche
+    rank, slack = F.col("fraction") * F.col("videos"), 2 * quantiles.rank_error(size) * F.col("videos")
+    below, up_to = F.count_if(views < F.col("value")), F.count_if(views <= F.col("value"))
+    return ranked.groupBy("niche", "fraction", "videos").agg(((below <= rank + slack) & (up_to >= rank - slack)).alias("near"))
+
+
 # stores
 
 
@@ -743,6 +789,22 @@ def retention_60d(d: Dataset) -> DataFrame:
     return kept.select("channel_id", "scraped_at", "subscriber_count")
 
 
+@_registered
+def retention_day_table(d: Dataset) -> DataFrame:
+    """The same rows from a table by day: what is retained before expiry, and all there is after it."""
+    from datetime import timedelta
+
+    as_of = AS_OF + timedelta(days=45)
+    table = DayTable(d.spark, fresh_folder(d.spark, "by-day"), schemas.RAW_CHANNELS)
+    for nth in range(2):
+        table.append(d.raw_channels.filter(F.pmod(F.xxhash64("channel_id"), F.lit(2)) == nth))
+    before = table.retained(as_of)
+    table.expire(as_of)
+    columns = ("channel_id", "scraped_at", "subscriber_count")
+    found = {"retained": before, "left": table.read()}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("rows"), *columns) for name, df in found.items()])
+
+
 # data tests
 
 

@@ -13,10 +13,11 @@ from ..operators.joins import lookup_join
 Day = date | Column | None
 
 _RATES = ("engagement_rate", "like_rate", "comment_rate", "views_per_day")
+PARTIAL_KEYS = ("channel_id", "channel_name", "niche", "region")
 _CHANNEL_KEYS = ("channel_id", "channel_name", "niche", "region", "subscriber_count", "size_tier")
 
 
-def _own_metrics(as_of: Day) -> dict[str, Column]:
+def own_metrics(as_of: Day) -> dict[str, Column]:
     """Measures that need the video alone."""
     views, likes, comments = F.col("view_count"), F.col("like_count"), F.col("comment_count")
     days = days_between(as_of, F.col("upload_date"))
@@ -43,7 +44,7 @@ def video_metrics(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = N
         "size_tier",
     )
     joined = lookup_join(stg_videos, channels, "channel_id")
-    own = _own_metrics(as_of)
+    own = own_metrics(as_of)
     return joined.select(
         "video_id",
         "title",
@@ -76,33 +77,49 @@ def video_metrics(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = N
     )
 
 
-def channel_summary(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = None) -> DataFrame:
-    """Statistics per channel (and niche and region, which come from the videos).
-
-    Videos are summed up per channel id before they meet the channel table: only
-    one partial row per channel and task is shuffled and joined, however many
-    videos a channel has. Sums and counts are kept so that means stay exact.
-    """
-    own = _own_metrics(as_of)
-    days = own["days_since_upload"]
-    measures = {
+def measures(own: dict[str, Column]) -> dict[str, Column]:
+    """Measures of a video whose sums and counts make up the means of its channel."""
+    return {
         "view_count": F.col("view_count"),
         "duration": F.col("duration_seconds"),
         "title_length": own["title_length"],
         **{rate: own[rate] for rate in _RATES},
     }
-    partial = stg_videos.groupBy("channel_id", "channel_name", "niche", "region").agg(
+
+
+def additive(measured: dict[str, Column]) -> list[Column]:
+    """What a group of videos adds to its channel, whatever the reporting day."""
+    return [
         F.count(F.lit(1)).alias("n"),
-        F.count_if(days <= 30).alias("n_30d"),
-        F.count_if(days <= 7).alias("n_7d"),
         F.max("view_count").alias("max_views"),
         F.min("view_count").alias("min_views"),
         F.min("upload_date").alias("earliest_video"),
         F.max("upload_date").alias("latest_video"),
         F.count_if(F.col("is_live") | F.col("was_live")).alias("n_live"),
-        *[F.sum(column).alias(f"sum_{name}") for name, column in measures.items()],
-        *[F.count(column).alias(f"n_{name}") for name, column in measures.items()],
+        *[F.sum(column).alias(f"sum_{name}") for name, column in measured.items()],
+        *[F.count(column).alias(f"n_{name}") for name, column in measured.items()],
+    ]
+
+
+def channel_summary(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = None) -> DataFrame:
+    """Statistics per channel (and niche and region, which come from the videos).
+
+    Videos are summed up per channel id before they meet the channel table: only
+    one partial row per channel and task is shuffled and joined, however many
+    videos a channel has. Sums and counts are kept so that means stay exact.
+    """
+    own = own_metrics(as_of)
+    days = own["days_since_upload"]
+    partial = stg_videos.groupBy(*PARTIAL_KEYS).agg(
+        F.count_if(days <= 30).alias("n_30d"),
+        F.count_if(days <= 7).alias("n_7d"),
+        *additive(measures(own)),
     )
+    return summary_of(partial, stg_channels)
+
+
+def summary_of(partial: DataFrame, stg_channels: DataFrame) -> DataFrame:
+    """The channel summary from partial sums by ``PARTIAL_KEYS``."""
     channels = stg_channels.select(
         "channel_id",
         F.col("channel_name").alias("_channel_name"),

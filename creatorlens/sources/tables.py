@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -227,9 +228,26 @@ def loaded_keys(store: Store, name: str, schema: StructType, key: str) -> DataFr
 
 
 def query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None, **args) -> DataFrame:
-    """Run SQL text with bound parameters over named DataFrames."""
-    publish_views(tables or {})
-    return spark.sql(text, args=args)
+    """Run SQL text with bound parameters over named DataFrames.
+
+    The names hold for this text alone: temporary views of the session that have one of them
+    are back afterwards, and no others stay.
+    """
+    with _borrowed(spark, tables or {}):
+        return spark.sql(text, args=args)
+
+
+@contextmanager
+def _borrowed(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
+    own = {r["viewName"] for r in spark.sql("SHOW VIEWS").filter("isTemporary").collect()} if tables else set()
+    before = {name: spark.table(name) for name in tables if name.lower() in own}
+    try:
+        publish_views(tables)
+        yield
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        publish_views(before)
 
 
 def publish_views(tables: Mapping[str, DataFrame]) -> None:

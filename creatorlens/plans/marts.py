@@ -98,16 +98,20 @@ def build(
     nothing is computed twice and the size of every lookup is known before a join.
     ``cluster_fact`` range-partitions the fact by niche and channel (one more shuffle),
     which lets pages of one niche or channel read a few files only; hot channels are split.
+    What is made of a row is made after that shuffle: its rates are never shuffled.
     """
     channels = save(staging.stg_channels(raw_channels), store, "stg_channels")
     videos = staging.stg_videos(raw_videos)
     dimension = save(dim_channels(channels), store, "dim_channels")
     summary = save(metrics.channel_summary(videos, channels, as_of), store, "agg_channel_metrics")
     niches = save(metrics.niche_benchmarks(summary), store, "agg_niche_overview")
-    fact = fct_video_performance(metrics.video_metrics(videos, channels, as_of), niches)
+    joined = metrics.with_channels(videos, channels)
+    layout = ("niche", "channel_id", "video_id")
     if cluster_fact:
-        layout = ("niche", "channel_id", "video_id")
-        fact = fact.repartitionByRange(*layout).sortWithinPartitions(*layout)
+        joined = joined.repartitionByRange(*layout)
+    fact = fct_video_performance(metrics.rated(joined, as_of), niches)
+    if cluster_fact:
+        fact = fact.sortWithinPartitions(*layout)
     return Marts(dimension, save(fact, store, "fct_video_performance"), summary, niches)
 
 

@@ -32,18 +32,27 @@ def own_metrics(as_of: Day) -> dict[str, Column]:
     }
 
 
-def video_metrics(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = None) -> DataFrame:
-    """Every video with its rates; the channel adds name, subscribers and size tier.
-
-    Niche and region are the video's own; videos without a channel row stay.
-    """
+def with_channels(stg_videos: DataFrame, stg_channels: DataFrame) -> DataFrame:
+    """Every video, and what its channel adds to it; videos without a channel row stay."""
     channels = stg_channels.select(
         "channel_id",
         F.col("channel_name").alias("_channel_name"),
         "subscriber_count",
         "size_tier",
     )
-    joined = lookup_join(stg_videos, channels, "channel_id")
+    return lookup_join(stg_videos, channels, "channel_id")
+
+
+def video_metrics(stg_videos: DataFrame, stg_channels: DataFrame, as_of: Day = None) -> DataFrame:
+    """Every video with its rates; the channel adds name, subscribers and size tier.
+
+    Niche and region are the video's own; videos without a channel row stay.
+    """
+    return rated(with_channels(stg_videos, stg_channels), as_of)
+
+
+def rated(joined: DataFrame, as_of: Day = None) -> DataFrame:
+    """The video metrics of rows from ``with_channels``, made row by row."""
     own = own_metrics(as_of)
     return joined.select(
         "video_id",

@@ -86,7 +86,8 @@ def make_raw_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     owners = configured(spark, sf_dir).select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "niche", "region"
     )
-    orders = _read(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    # dealt by key: files of the given table may be few, and what is made of a row is much wider
+    orders = _read(spark, sf_dir, "orders").repartition("o_orderkey").join(lines, "o_orderkey", "left")
     level = F.floor(F.col("o_totalprice") / 5000).cast("bigint")
     title = F.concat(
         F.col("o_orderpriority"), F.lit("  "), F.col("o_orderstatus"), F.lit(" "), F.col("c_name")
@@ -309,6 +310,10 @@ class Dataset:
         line = F.when(F.col("is_live"), F.to_json(record, {"ignoreNullFields": "false"})).otherwise(
             F.to_json(record)
         )
+        # each step is a projection of its own: nested in each other, the steps would repeat the line 96 times
+        lines = self.raw_videos.select(
+            F.col("video_id").alias("requested_id"), number.alias("number"), "duration_seconds", line.alias("value")
+        )
         for every, pattern, other in (
             (17, r'"duration":(\d+)', '"duration":$1.0'),
             (19, r'"view_count":(\d+)', '"view_count":"$1"'),
@@ -316,10 +321,11 @@ class Dataset:
             (29, '"is_live":true', '"is_live":"true"'),
             (31, r'"like_count":(\d+)', '"like_count":{"n":$1}'),
         ):
-            line = F.when(number % every == 0, F.regexp_replace(line, pattern, other)).otherwise(line)
-        cut = F.substring(line, F.lit(1), F.length(line) - 1)
-        value = F.when(F.col("duration_seconds").isNull(), cut).otherwise(line)
-        return self.raw_videos.select(F.col("video_id").alias("requested_id"), value.alias("value"))
+            other_type = F.regexp_replace("value", pattern, other)
+            lines = lines.withColumn("value", F.when(F.col("number") % every == 0, other_type).otherwise(F.col("value")))
+        cut = F.substring("value", F.lit(1), F.length("value") - 1)
+        value = F.when(F.col("duration_seconds").isNull(), cut).otherwise(F.col("value"))
+        return lines.select("requested_id", value.alias("value"))
 
     @property
     def parsed_videos(self) -> DataFrame:

@@ -7,6 +7,8 @@ Lines that are not JSON objects are skipped; no other line is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,23 +18,32 @@ from ..functions.scalars import clip, first_filled, iso_day
 from ..operators.ranking import first_per_key
 
 _RECORD = "_record"
+_VIDEO_FIELDS = (
+    "id", "title", "description", "channel", "channel_id", "channel_url", "upload_date", "duration", "view_count",
+    "like_count", "comment_count", "tags", "categories", "thumbnail", "language", "is_live", "was_live",
+)
+_LISTED_FIELDS = ("channel", "uploader", "channel_id", "channel_url", "description", "url", "webpage_url")
+_EXTRACT_FIELDS = ("channel", "channel_id", "channel_url", "channel_description", "channel_follower_count")
 #: Session setting with which a variant keeps the last value of a repeated key, as JSON parsers do.
 _REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
-def _parse(lines: DataFrame, *, all_lines: bool = False) -> DataFrame:
-    """Adds the parsed line, a map from its keys to variants; other lines are gone.
+def _parse(lines: DataFrame, names: Sequence[str], *, all_lines: bool = False) -> DataFrame:
+    """Adds the parsed line, a struct of variants of the fields ``names``; other lines are gone.
 
-    With ``all_lines`` they stay, with NULL for the map.
+    With ``all_lines`` they stay, with NULL for the struct.
 
     Each line is parsed once and field by field: a value of another type than expected
-    costs that field only. The map leaves a generator that yields nothing for a line
-    that is no JSON object: a filter on fields would be pushed below and parse again.
+    costs that field only. A field is NULL where its key is absent; an explicit null is a
+    variant. The struct leaves a generator that yields nothing for a line that is no JSON
+    object: a filter on fields would be pushed below and parse again. A field of a struct is
+    found by its place; in a map every use of it would go through the keys.
     Of a repeated key the last value stays; the session keeps the setting for that, as a
     stream plans its batches later.
     """
     lines.sparkSession.conf.set(_REPEATED_KEYS, "true")
-    record = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
+    fields = ",".join(f"{name}:variant" for name in names)
+    record = F.try_variant_get(F.try_parse_json("value"), "$", f"struct<{fields}>")
     held = F.array(record) if all_lines else F.filter(F.array(record), lambda r: r.isNotNull())
     return lines.select("*", F.explode(held).alias(_RECORD))
 
@@ -67,7 +78,7 @@ def _json_list(name: str) -> Column:
 
 def _value_or(name: str, value: Column, default) -> Column:
     """The value, or ``default`` when its key is absent; an explicit null stays NULL."""
-    return F.when(F.map_contains_key(_RECORD, name), value).otherwise(F.lit(default))
+    return F.when(_variant(name).isNotNull(), value).otherwise(F.lit(default))
 
 
 def _stamp(scraped_at: Column | str) -> Column:
@@ -78,7 +89,7 @@ def _stamp(scraped_at: Column | str) -> Column:
 def parse_listing(lines: DataFrame) -> DataFrame:
     """Listing lines as ``video_id`` next to the other columns of ``lines``."""
     return (
-        _parse(lines)
+        _parse(lines, ("id", "url"))
         .withColumn("video_id", first_filled(_text("id"), _text("url")))
         .drop(_RECORD, "value")
         .filter(F.col("video_id").isNotNull())
@@ -88,7 +99,7 @@ def parse_listing(lines: DataFrame) -> DataFrame:
 def parse_listing_drops(lines: DataFrame) -> DataFrame:
     """Self-describing listing lines: (config_url, tab, position, video_id)."""
     return (
-        _parse(lines)
+        _parse(lines, ("config_url", "tab", "position", "id", "url"))
         .select(
             _text("config_url").alias("config_url"),
             _text("tab").alias("tab"),
@@ -105,7 +116,7 @@ def parse_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
     The key of a video is the id it was asked for, in column ``requested_id`` if the
     lines have it; the dump's own id may be another.
     """
-    return _parse(lines).select(*_video_columns(lines, scraped_at))
+    return _parse(lines, _VIDEO_FIELDS).select(*_video_columns(lines, scraped_at))
 
 
 def _video_columns(lines: DataFrame, scraped_at: Column | str) -> list[Column]:
@@ -155,7 +166,7 @@ def judged_videos(lines: DataFrame, scraped_at: Column | str) -> DataFrame:
         .when(day.isNotNull() & day.try_cast("date").isNull(), NO_DAY)
     )
     columns = [c for c in lines.columns if c not in ("video", "reason")]
-    return _parse(lines.select(*columns), all_lines=True).select(*columns, video.alias("video")).withColumn("reason", reason)
+    return _parse(lines.select(*columns), _VIDEO_FIELDS, all_lines=True).select(*columns, video.alias("video")).withColumn("reason", reason)
 
 
 def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column | str) -> DataFrame:
@@ -166,7 +177,7 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
     when empty. Without an extract an absent channel id is empty text; with one, an id
     that neither record has is NULL.
     """
-    listed = _parse(listing).select(
+    listed = _parse(listing, _LISTED_FIELDS).select(
         "config_url",
         F.struct(
             _text("channel").alias("channel"),
@@ -178,7 +189,7 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
             first_filled(_text("url"), _text("webpage_url")).alias("address"),
         ).alias("listed"),
     )
-    extracted = _parse(extracts).select(
+    extracted = _parse(extracts, _EXTRACT_FIELDS).select(
         "config_url",
         F.struct(
             _text("channel").alias("channel"),
@@ -216,7 +227,7 @@ def channel_probe_urls(listing: DataFrame) -> DataFrame:
     """Address of the video to extract for each listed channel."""
     address = first_filled(_text("url"), _text("webpage_url"))
     return (
-        _parse(listing)
+        _parse(listing, ("url", "webpage_url"))
         .select("config_url", absolute_url(address).alias("video_url"))
         .filter(F.col("video_url").isNotNull())
     )
@@ -225,7 +236,7 @@ def channel_probe_urls(listing: DataFrame) -> DataFrame:
 def first_hits(lines: DataFrame) -> DataFrame:
     """First search hit with a channel URL per (name, niche), in ``position`` order."""
     hits = (
-        _parse(lines)
+        _parse(lines, ("channel", "uploader", "channel_id", "channel_url"))
         .select(
             "name",
             "niche",
@@ -241,7 +252,7 @@ def first_hits(lines: DataFrame) -> DataFrame:
 
 def observed_channels(lines: DataFrame) -> DataFrame:
     """What a working registry URL (column ``url``) answered."""
-    return _parse(lines).select(
+    return _parse(lines, ("channel", "channel_id", "channel_url")).select(
         "url",
         _text("channel").alias("channel"),
         _text("channel_id").alias("channel_id"),

@@ -33,8 +33,10 @@ LAYERS = {
     "agg_channel_metrics": "marts",
     "agg_niche_overview": "marts",
 }
-# point lookups by channel skip row groups that do not hold the channel
+# point lookups by channel skip row groups that do not hold the channel; videos compress well and
+# take long per byte, so their files are made of many row groups that tasks can share evenly
 _WRITE_OPTIONS = {
+    "raw_videos": {"parquet.block.size": str(4 * 1024 * 1024)},
     "fct_video_performance": {"parquet.bloom.filter.enabled#channel_id": "true"},
 }
 

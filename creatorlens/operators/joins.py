@@ -26,6 +26,8 @@ from pyspark.sql.types import (
 from ..sources.workspace import materialize
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+#: Wide rows that one task of a join sorts.
+TASK_ROWS = 50_000
 _ROW_OVERHEAD = 48
 _SALT = "_salt"
 _TASKS = "_tasks"
@@ -46,6 +48,16 @@ def measured_bytes(lookup: DataFrame) -> int:
     return lookup.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
+def dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df`` by its key in as many tasks as ``rows`` rows need, each of about ``TASK_ROWS``.
+
+    The number of tasks is not cut down to their compressed bytes. Two sides of a join dealt
+    by the same ``rows`` are joined as they lie, and broadcast only if one measured small.
+    """
+    tasks = max(-(-rows // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

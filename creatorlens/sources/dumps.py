@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.display import absolute_url
 from ..functions.scalars import clip, first_filled, iso_day
+from ..operators.joins import dealt
 from ..operators.ranking import first_per_key
 
 _RECORD = "_record"
@@ -176,7 +177,12 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
     Fields of the extract come first; its description replaces the listing's even
     when empty. Without an extract an absent channel id is empty text; with one, an id
     that neither record has is NULL.
+
+    Texts are cut before the join, and its tasks follow the number of lines. Dealt out first,
+    they are joined by their true size: from that of compressed files Spark would take a
+    side for small and hold all of it in each task.
     """
+    rows = listing.count()
     listed = _parse(listing, _LISTED_FIELDS).select(
         "config_url",
         F.struct(
@@ -185,7 +191,7 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
             _text("channel_id").alias("channel_id"),
             _value_or("channel_id", _text("channel_id"), "").alias("id_or_empty"),
             _text("channel_url").alias("channel_url"),
-            _text("description").alias("description"),
+            clip(_text("description"), fixed.CHANNEL_TEXT_LIMIT).alias("description"),
             first_filled(_text("url"), _text("webpage_url")).alias("address"),
         ).alias("listed"),
     )
@@ -195,11 +201,11 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
             _text("channel").alias("channel"),
             F.nullif(_text("channel_id"), F.lit("")).alias("channel_id"),
             _text("channel_url").alias("channel_url"),
-            _text("channel_description").alias("description"),
+            clip(_text("channel_description"), fixed.CHANNEL_TEXT_LIMIT).alias("description"),
             _whole("channel_follower_count").alias("subscribers"),
         ).alias("extract"),
     )
-    joined = listed.join(extracted, "config_url", "left")
+    joined = dealt(listed, rows, "config_url").join(dealt(extracted, rows, "config_url"), "config_url", "left")
     line = F.col("listed")
     full = F.when(line["address"].isNotNull(), F.col("extract"))
     extended = full.isNotNull()
@@ -215,10 +221,7 @@ def parse_channels(listing: DataFrame, extracts: DataFrame, scraped_at: Column |
             "channel_url"
         ),
         full["subscribers"].alias("subscriber_count"),
-        clip(
-            F.when(extended, full["description"]).otherwise(line["description"]),
-            fixed.CHANNEL_TEXT_LIMIT,
-        ).alias("description"),
+        F.when(extended, full["description"]).otherwise(line["description"]).alias("description"),
         _stamp(scraped_at),
     )
 

@@ -6,6 +6,7 @@ from datetime import date
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from creatorlens.operators import joins
 from creatorlens.plans import marts
 from creatorlens.sources import dumps
 from creatorlens.sources.tables import FolderStore, save
@@ -42,6 +43,21 @@ def test_videos_are_stored_in_pieces_that_tasks_can_share(spark, tmp_path):
     assert pq.ParquetFile(file).num_row_groups >= 5
 
 
+def test_channel_join_has_tasks_by_rows(spark, monkeypatch):
+    """Lines that compress well are no reason for few tasks; texts are cut before they are sorted."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 4)
+    lines = spark.range(200).select(
+        F.concat(F.lit("u"), F.col("id")).alias("config_url"),
+        F.to_json(F.struct(F.lit("c").alias("channel"), F.lit("w").alias("url"), F.repeat(F.lit("d"), F.lit(3000)).alias("description"))).alias("value"),
+    )
+    extracts = lines.filter("config_url <> 'u7'").withColumn("value", F.replace("value", F.lit('"description"'), F.lit('"channel_description"')))
+    found = dumps.parse_channels(lines, extracts, "now")
+    assert {tuple(r) for r in found.select("channel_name", F.length("description")).distinct().collect()} == {("c", 500)}
+    assert found.count() == 200 and found.rdd.getNumPartitions() == 50
+    below = plan(found).split("Join LeftOuter")[1]
+    assert below.count("substring(coalesce(") == 2
+
+
 def test_rates_are_not_shuffled(spark, data, tmp_path, monkeypatch):
     """The shuffle that clusters the fact carries what rates are made of, not the rates."""
     plans = []

@@ -484,7 +484,8 @@ def incremental_claims_chain(d: Dataset) -> DataFrame:
     """Three new videos per entry where every entry's choice depends on the one before."""
     listed = materialize(ingest.listed_videos(d.chained_listing), "chained")
     nothing = d.loaded.limit(0)
-    return ingest.claims(listed, nothing, d.registry, d.parsed, 3).select("entry", "video_id", "has_video")
+    # of the parsed videos only the ids are read, once: no table of all their fields is written for it
+    return ingest.claims(listed, nothing, d.registry, d.parsed_videos, 3).select("entry", "video_id", "has_video")
 
 
 @_registered

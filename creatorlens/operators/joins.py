@@ -65,15 +65,16 @@ def lookup_join(
     *,
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Join many facts to a lookup with one row per key.
 
     Give a written (or otherwise cheap) lookup holding only the columns needed:
-    it is measured first.
+    it is measured first. ``hot`` as for ``spread_join``.
     """
     if measured_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, how)
-    return spread_join(facts, lookup, key, how=how)
+    return spread_join(facts, lookup, key, how=how, hot=hot)
 
 
 def hot_keys(facts: DataFrame, key: str, slots: int) -> list[tuple]:
@@ -96,6 +97,14 @@ def hot_keys(facts: DataFrame, key: str, slots: int) -> list[tuple]:
     ]
 
 
+def hot_counts(counts: DataFrame, key: str, rows: str) -> list[tuple]:
+    """As ``hot_keys`` for facts whose ``rows`` per key are counted already."""
+    slots = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    hot = counts.filter(F.col(rows) * slots > total).select(key, rows).collect()  # fewer than slots
+    return [(row[key], math.ceil(2 * slots * row[rows] / total)) for row in hot]
+
+
 def spread_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -191,3 +200,25 @@ def unseen(
     """Rows of ``batch`` whose key is not in ``history`` (NULL keys stay)."""
     known = known_keys(batch, history, key, broadcast_bytes=broadcast_bytes)
     return batch.join(known, key, "left_anti")
+
+
+def found_in(
+    batch: DataFrame,
+    key: str,
+    histories: dict[str, DataFrame],
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """A written ``batch`` of one row per key with flags whether its key occurs in each history.
+
+    Its keys are sent to the scans of the histories when their measured size allows, as by
+    ``known_keys``; otherwise each side is shuffled by its keys once.
+    """
+    keys = batch.select(key)
+    small = measured_bytes(keys) <= broadcast_bytes
+    for name, history in histories.items():
+        seen = history.select(key)
+        if small:
+            seen = seen.join(F.broadcast(keys), key, "left_semi")
+        batch = batch.join(seen.distinct().withColumn(name, F.lit(True)), key, "left").fillna(False, [name])
+    return batch

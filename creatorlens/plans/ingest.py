@@ -6,10 +6,10 @@ which tab and which place in it. Registry rows come from ``sources.registry``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from .. import schemas
 from ..functions import fixed_values as fixed
 from ..functions.display import absolute_url, tab_url
 from ..operators.components import components
-from ..operators.joins import known_keys, lookup_join, spread_join, unseen
+from ..operators.joins import found_in, hot_counts, lookup_join, spread_join, unseen
 from ..operators.ranking import first_per_key
 from ..sources.id_index import IdIndex
 from ..sources.tables import APPEND, OVERWRITE, Store, coerce, load, loaded_keys
@@ -126,88 +126,126 @@ def claims(
     first ``max_new`` listed ids that are neither loaded before nor taken by an earlier
     entry. An id without a parsed video uses up a place but is not taken from later ones.
 
-    Entries that share no id with another are done at once. The others fall into groups
-    linked by shared ids; a group is gone through entry by entry in one task, all groups
-    side by side. In a group of more than ``group_rows`` listed ids all entries offer for
-    their first ids at once; an id goes to the earliest entry offering, and those that lost
-    one offer again in the following round. That ends with the same outcome, after as many
-    rounds as its longest chain of entries that displace each other.
+    An id that no earlier entry lists is free when its entry's turn comes, and so is one
+    without a parsed video. Behind ``max_new`` of these an entry takes nothing, whatever the
+    others do, so its list ends there. Entries that are left without a contested id take all
+    they have. The others fall into groups linked by shared ids; a group is gone through entry
+    by entry in one task, all groups side by side. In a group of more than ``group_rows``
+    listed ids all entries offer for their first ids at once; an id goes to the earliest entry
+    offering, and those that lost one offer again in the following round. That ends with the
+    same outcome, after as many rounds as its longest chain of entries that displace each other.
     """
-    fresh = materialize(unseen(listed, loaded, "video_id"), "fresh")
-    parsed = materialize(known_keys(fresh, videos, "video_id"), "parsed")
     entries = registry.select(F.col("position").alias("entry"), F.col("url").alias("config_url"))
-    offered = lookup_join(fresh, entries, "config_url", how="inner")
-    by_list = [F.col(name) for name in _LISTED_ORDER]
-    candidates = lookup_join(offered, parsed.withColumn("_parsed", F.lit(True)), "video_id").select(
-        "entry", "config_url", "video_id", *_LISTED_ORDER,
-        F.coalesce("_parsed", F.lit(False)).alias("has_video"),
-    )
-    candidates = materialize(first_per_key(candidates, ["entry", "video_id"], by_list), "candidates")
-    held = materialize(_held(_contested(candidates), max_new, by_list, group_rows), "held")
-    open_ids = lookup_join(candidates, held, "video_id").filter(_free())
-    taken = first_per_key(open_ids, ["entry"], by_list, max_new)
+    offered = lookup_join(listed, entries, "config_url", how="inner").select(
+        "entry", "config_url", "video_id", *_LISTED_ORDER
+    )
+    offered = materialize(offered, "candidates")
+    fresh, often = _fresh_ids(offered, loaded, videos)
+    known = lookup_join(offered, fresh, "video_id", hot=often)
+    known = known.filter("has_video IS NOT NULL OR video_id IS NULL").fillna(False, ["has_video"])
+    reach = materialize(_within_reach(known.filter("entry IS NOT NULL"), max_new), "within-reach")
+    taken = _taken(reach, max_new, group_rows)
+    if not offered.filter("entry IS NULL").isEmpty():
+        taken = materialize(taken, "taken")
+        taken = taken.unionByName(_without_place(known, taken, max_new), allowMissingColumns=True)
     return taken.select("entry", "config_url", "video_id", "has_video")
 
 
-def _free() -> Column:
-    """Whether no earlier entry holds the id."""
-    return F.col("holder").isNull() | (F.col("holder") >= F.col("entry"))
+def _fresh_ids(offered: DataFrame, loaded: DataFrame, videos: DataFrame) -> tuple[DataFrame, list[tuple]]:
+    """Ids not loaded before: (video_id, has_video, first), and those that very many entries list.
+
+    ``first`` is the first entry that lists the id if it has a parsed video and several list it.
+    """
+    per_id = offered.groupBy("video_id").agg(
+        F.min("entry").alias("first"), F.max("entry").alias("_last"), F.count(F.lit(1)).alias("_rows")
+    )
+    ids = materialize(per_id.filter("video_id IS NOT NULL"), "ids")
+    shared = F.col("has_video") & (F.col("first") < F.col("_last"))
+    fresh = materialize(
+        found_in(ids, "video_id", {"_loaded": loaded, "has_video": videos})
+        .filter("NOT _loaded")
+        .select("video_id", "has_video", F.when(shared, F.col("first")).alias("first"), "_rows"),
+        "fresh",
+    )
+    return fresh.drop("_rows"), hot_counts(fresh, "video_id", "_rows")
 
 
-def _contested(candidates: DataFrame) -> DataFrame:
-    """Candidates of the entries that share a video with another, and with which first entry."""
-    shared = (
-        candidates.filter("has_video")
-        .groupBy("video_id")
-        .agg(F.min("entry").alias("first"), F.max("entry").alias("_last"))
-        .filter(F.col("first") < F.col("_last"))
-        .select("video_id", "first")
+def _within_reach(rows: DataFrame, max_new: int) -> DataFrame:
+    """The rows of each entry up to its ``max_new``-th that nobody can take from it, with their place."""
+    rows = rows.repartition("entry")
+    rows = first_per_key(rows, ["entry", "video_id"], [F.col(c) for c in (*_LISTED_ORDER, "config_url")])
+    in_order = Window.partitionBy("entry").orderBy(*_LISTED_ORDER, "video_id")
+    sure = (F.col("first").isNull() | (F.col("first") == F.col("entry"))).cast("int")
+    so_far = F.sum(sure).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        rows.withColumn("place", F.row_number().over(in_order))
+        .withColumn("_sure", so_far - sure)
+        .filter(F.col("_sure") < max_new)
+        .select("entry", "config_url", "video_id", "has_video", "first", "place")
     )
-    flagged = lookup_join(candidates.drop("config_url"), materialize(shared, "shared"), "video_id")
-    flagged = materialize(flagged.withColumn("shared", F.col("first").isNotNull() & F.col("has_video")), "flagged")
-    bidders = materialize(flagged.filter("shared").select("entry").distinct(), "bidders")
-    return lookup_join(flagged, bidders, "entry", how="inner")
 
 
-def _held(rows: DataFrame, max_new: int, by_list: Sequence[Column], group_rows: int) -> DataFrame:
-    """Who holds each shared video in the end: (video_id, holder)."""
-    rows = materialize(rows, "contested")
-    links = rows.filter("shared").select(F.col("entry").alias("a"), F.col("first").alias("b"))
+def _taken(reach: DataFrame, max_new: int, group_rows: int) -> DataFrame:
+    """The rows of ``reach`` that their entries take."""
+    links = reach.filter("first < entry").select(F.col("entry").alias("a"), F.col("first").alias("b"))
     groups = components(links).select(F.col("node").alias("entry"), F.col("label").alias("group"))
-    grouped = materialize(lookup_join(rows, groups, "entry", how="inner"), "grouped")
-    large = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > group_rows)
-    large = materialize(large.select("group", F.lit(True).alias("large")), "large-groups")
-    found = _in_turn(grouped, max_new)
-    if not large.isEmpty():
-        marked = materialize(lookup_join(grouped, large, "group"), "marked")
-        found = _in_turn(marked.filter("large IS NULL"), max_new)
-        bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
-        spread = marked.filter("large").drop("group", "large").withColumn("bucket", bucket).repartition(_BUCKETS, "bucket")
-        contested = materialize(spread, "contested", partition_by=["bucket"])
-        found = found.unionByName(_settled(contested, max_new, by_list))
-    return found
+    grouped = materialize(lookup_join(reach, groups, "entry", hot=()), "grouped")
+    large = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("_rows"))
+    large = large.filter(F.col("_rows") > group_rows).select("group", F.lit(True).alias("large"))
+    large = materialize(large, "large-groups")
+    alone, contested = grouped.filter("group IS NULL"), grouped.filter("group IS NOT NULL")
+    if large.isEmpty():
+        return union_batches([alone.drop("group"), _in_turn(contested, max_new)])
+    marked = materialize(lookup_join(contested, large, "group"), "marked")
+    small = marked.filter("large IS NULL").drop("large")
+    rows = marked.filter("large").drop("group", "large").withColumn("shared", F.col("first").isNotNull())
+    bucket = F.pmod(F.xxhash64("entry"), F.lit(_BUCKETS)).cast("int")
+    rows = rows.withColumn("bucket", bucket).repartition(_BUCKETS, "bucket")
+    rows = materialize(rows, "contested", partition_by=["bucket"])
+    by_place = [F.col("place")]
+    held = materialize(_settled(rows, max_new, by_place), "held")
+    free = lookup_join(rows.drop("shared", "bucket"), held, "video_id").filter(_free()).drop("holder")
+    in_rounds = first_per_key(free, ["entry"], by_place, max_new)
+    return union_batches([alone.drop("group"), _in_turn(small, max_new), in_rounds])
+
+
+def _free() -> Column:
+    """Whether no earlier entry holds the id."""
+    return F.col("holder").isNull() | (F.col("holder") >= F.col("entry"))
 
 
 def _in_turn(grouped: DataFrame, max_new: int) -> DataFrame:
-    """Holders (video_id, holder) of the shared videos of each group, entry by entry."""
-
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        holder: dict[str, int] = {}
-        rows = rows.sort_values(["entry", *_LISTED_ORDER], kind="stable")
-        now, places = None, 0
-        for entry, video, shared in zip(rows["entry"].tolist(), rows["video_id"].tolist(), rows["shared"].tolist()):
-            if entry != now:
-                now, places = entry, 0
-            if places < max_new and video not in holder:
-                places += 1
-                if shared:
-                    holder[video] = entry
-        return pd.DataFrame({"video_id": list(holder), "holder": list(holder.values())}).astype(
-            {"video_id": "object", "holder": "int64"}
-        )
-
-    needed = grouped.select("group", "entry", "video_id", "shared", *_LISTED_ORDER)
-    return needed.groupBy("group").applyInPandas(settle, "video_id string, holder long")
+    """Rows that the entries of each group take, entry by entry; a task holds the shared ids of one group."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at, places, held = None, None, 0, set()
+        for batch in batches:
+            take = []
+            columns = (batch.column(name).to_pylist() for name in ("group", "entry", "video_id", "first"))
+            for group, entry, video, first in zip(*columns):
+                if group != now:
+                    now, at, held = group, None, set()
+                if entry != at:
+                    at, places = entry, 0
+                free = places < max_new and video not in held
+                take.append(free)
+                if free:
+                    places += 1
+                    if first is not None:
+                        held.add(video)
+            yield batch.filter(pa.array(take, pa.bool_()))
+
+    by_turn = grouped.repartition("group").sortWithinPartitions("group", "entry", "place")
+    return by_turn.mapInArrow(settle, by_turn.schema).drop("group")
+
+
+def _without_place(known: DataFrame, taken: DataFrame, max_new: int) -> DataFrame:
+    """What entries without a place take: together the first ids of theirs that no entry contested and took."""
+    by_list = [F.col(name) for name in _LISTED_ORDER]
+    rows = first_per_key(known.filter("entry IS NULL"), ["entry", "video_id"], by_list)
+    held = taken.filter("first IS NOT NULL").select("video_id", F.lit(True).alias("held")).distinct()
+    free = lookup_join(rows, materialize(held, "held"), "video_id").filter("held IS NULL").drop("held")
+    return first_per_key(free, ["entry"], by_list, max_new).drop(*_LISTED_ORDER)
 
 
 def _settled(contested: DataFrame, max_new: int, by_list: Sequence[Column]) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creatorlens import schemas
+from creatorlens.operators.joins import found_in
 from creatorlens.plans import ingest
 from creatorlens.sources import dumps, registry, tables
 from creatorlens.sources.tables import CatalogStore, FolderStore
@@ -445,3 +446,45 @@ def test_union_batches_and_query(spark):
 def test_utc_now(spark):
     text = spark.range(1).select(dumps.utc_now().alias("t")).first().t
     assert text.endswith("+00:00") and "T" in text
+
+
+def test_lists_end_where_nobody_can_take_more(spark, monkeypatch):
+    """Of an entry only the ids go on up to its last that no earlier entry lists."""
+    written = {}
+
+    def counted(df, label, partition_by=()):
+        done = materialize(df, label, partition_by)
+        written.setdefault(label, []).append(done.count())
+        return done
+
+    from creatorlens.sources.workspace import materialize
+
+    monkeypatch.setattr(ingest, "materialize", counted)
+    chain = [(f"u{i}", "videos", n, f"v{i + n}") for i in range(6) for n in range(4)]
+    alone = [(f"a{i}", "videos", n, f"a{i}-{n}") for i in range(5) for n in range(4)]
+    order = [f"u{i}" for i in range(6)] + [f"a{i}" for i in range(5)]
+    ids = {r[3] for r in chain + alone}
+    rows = claimed_rows(spark, chain + alone, [], order, sorted(ids), 2, 10)
+    assert sorted((r.entry, r.video_id) for r in rows) == sorted(one_by_one(chain + alone, [], order, ids, 2, 10))
+    # two of the first entry's, all four of the five behind it, two of each that shares none
+    assert written["within-reach"] == [2 + 5 * 4 + 5 * 2]
+
+
+def test_entries_without_a_place_take_what_is_left(spark):
+    listing = [("a", "videos", 1, "x"), ("b", "videos", 1, "x"), ("b", "videos", 2, "y"),
+               ("none", "videos", 1, "x"), ("none", "videos", 2, "y"), ("none", "videos", 3, None)]
+    entries = spark.createDataFrame([("a", 0), ("b", 1), ("none", None)], "url string, position long")
+    videos = spark.createDataFrame([("x",), ("y",)], "video_id string")
+    listed = ingest.listed_videos(spark.createDataFrame(listing, LISTING))
+    rows = ingest.claims(listed, videos.limit(0), entries, videos).collect()
+    assert {tuple(r) for r in rows} == {
+        (0, "a", "x", True), (1, "b", "y", True), (None, "none", "y", True), (None, "none", None, False),
+    }
+
+
+def test_histories_too_large_to_send_keys_to(spark):
+    ids = spark.createDataFrame([("a",), ("b",), ("c",)], "video_id string")
+    history = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "video_id string")
+    for bound in (0, 10**6):
+        found = found_in(ids, "video_id", {"old": history, "new": history.limit(0)}, broadcast_bytes=bound)
+        assert sorted(map(tuple, found.collect())) == [("a", True, False), ("b", False, False), ("c", False, False)]

@@ -50,19 +50,22 @@ def _joining_up():
     """A function of its own for tasks: nothing of this package is imported there."""
 
     def join_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        above: dict[int, int] = {}
-
-        def top(node: int) -> int:
-            while (up := above.setdefault(node, node)) != node:
-                above[node] = above[up]
-                node = up
-            return node
-
-        for batch in batches:
-            for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
-                a, b = top(a), top(b)
-                above[max(a, b)] = min(a, b)
-        if above:
-            yield pd.DataFrame({"node": list(above), "label": [top(n) for n in above]})
+        import numpy as np
+
+        parts = [batch[["a", "b"]].to_numpy("int64") for batch in batches]
+        if not parts:
+            return
+        nodes, ends = np.unique(np.concatenate(parts), return_inverse=True)
+        del parts
+        a, b = ends.reshape(-1, 2).T
+        above = np.arange(len(nodes))  # places follow the numbers, so the least place is the least node
+        while len(apart := np.flatnonzero(above[a] != above[b])):
+            a, b = a[apart], b[apart]
+            np.minimum.at(above, np.maximum(above[a], above[b]), np.minimum(above[a], above[b]))
+            while not np.array_equal(above, higher := above[above]):
+                above = higher
+        for start in range(0, len(nodes), 100_000):
+            here = slice(start, start + 100_000)
+            yield pd.DataFrame({"node": nodes[here], "label": nodes[above[here]]})
 
     return join_up

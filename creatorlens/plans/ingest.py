@@ -27,6 +27,8 @@ from .current import CurrentChannels
 _LISTED_ORDER = ("tab_order", "position")
 # listed ids of entries that one task goes through in turn
 GROUP_ROWS = 1_000_000
+# links between entries that one task joins up, in about 130 bytes each; beyond, rounds go over all of them
+GROUP_LINKS = 6_000_000
 # parts of the contested entries that a round can read by themselves, and rounds kept apart
 _BUCKETS, _BATCHES = 64, 8
 
@@ -188,7 +190,7 @@ def _within_reach(rows: DataFrame, max_new: int) -> DataFrame:
 def _taken(reach: DataFrame, max_new: int, group_rows: int) -> DataFrame:
     """The rows of ``reach`` that their entries take."""
     links = reach.filter("first < entry").select(F.col("entry").alias("a"), F.col("first").alias("b"))
-    groups = components(links).select(F.col("node").alias("entry"), F.col("label").alias("group"))
+    groups = components(links, together=GROUP_LINKS).select(F.col("node").alias("entry"), F.col("label").alias("group"))
     grouped = materialize(lookup_join(reach, groups, "entry", hot=()), "grouped")
     large = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("_rows"))
     large = large.filter(F.col("_rows") > group_rows).select("group", F.lit(True).alias("large"))

@@ -48,6 +48,15 @@ def measured_bytes(lookup: DataFrame) -> int:
     return lookup.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
+def never_sent(side: DataFrame) -> DataFrame:
+    """``side`` for a join that shuffles it and is not planned by its estimated size.
+
+    Spark estimates a side by its files and by the width of its columns: ids out of parsed lines
+    count as little beside the record they were in, and so would be sent through the driver.
+    """
+    return side.hint("merge")
+
+
 def dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
     """``df`` by its key in as many tasks as ``rows`` rows need, each of about ``TASK_ROWS``.
 
@@ -181,13 +190,13 @@ def known_keys(
     A batch is small next to everything loaded before, so its distinct keys are
     sent to the history scan when their measured size allows: the history is then
     read once, one column wide, without a shuffle. A larger batch is matched by a
-    shuffle of distinct keys on both sides.
+    shuffle of distinct keys on both sides, and so is what is joined to the result.
     """
     keys = batch.select(key).filter(F.col(key).isNotNull()).distinct()
     seen = history.select(key)
     if measured_bytes(keys) <= broadcast_bytes:
         return seen.join(F.broadcast(keys), key, "left_semi").distinct()
-    return keys.join(seen.distinct(), key, "left_semi")
+    return never_sent(keys.join(never_sent(seen.distinct()), key, "left_semi"))
 
 
 def unseen(
@@ -220,5 +229,6 @@ def found_in(
         seen = history.select(key)
         if small:
             seen = seen.join(F.broadcast(keys), key, "left_semi")
-        batch = batch.join(seen.distinct().withColumn(name, F.lit(True)), key, "left").fillna(False, [name])
+        found = seen.distinct().withColumn(name, F.lit(True))
+        batch = batch.join(found if small else never_sent(found), key, "left").fillna(False, [name])
     return batch

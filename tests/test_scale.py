@@ -71,3 +71,16 @@ def test_rates_are_not_shuffled(spark, data, tmp_path, monkeypatch):
     fact = dict(plans)["fct_video_performance"]
     below = re.split(r"RepartitionByExpression", fact)[1]
     assert "try_divide" not in below.lower() and " / " not in below and "views_per_day" not in below
+
+
+def test_ids_out_of_parsed_lines_are_not_broadcast_unmeasured(spark):
+    """Spark takes ids beside a wide record for few bytes; where many were measured, they are shuffled."""
+    lines = spark.range(300).select(F.to_json(F.struct(F.concat(F.lit("v"), F.col("id")).alias("id"))).alias("value"))
+    videos = dumps.parse_videos(lines, "now")
+    ids = spark.range(200, 400).select(F.concat(F.lit("v"), F.col("id")).alias("video_id"))
+    found = joins.found_in(ids, "video_id", {"has_video": videos}, broadcast_bytes=0)
+    new = joins.unseen(ids, videos, "video_id", broadcast_bytes=0)
+    for df in (found, new):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert found.filter("has_video").count() == 100 and found.count() == 200
+    assert sorted(r["video_id"] for r in new.collect()) == [f"v{i}" for i in range(300, 400)]

@@ -25,7 +25,8 @@ from pyspark.sql.types import (
 
 from ..sources.workspace import materialize
 
-BROADCAST_BYTES = 256 * 1024 * 1024
+#: The driver needs up to about four times as much for a moment.
+BROADCAST_BYTES = 128 * 1024 * 1024
 #: Wide rows that one task of a join sorts.
 TASK_ROWS = 50_000
 _ROW_OVERHEAD = 48

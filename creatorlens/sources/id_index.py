@@ -2,17 +2,16 @@
 
 A batch of ids is compared with the buckets its ids fall into and no others. Ids travel to
 the scan of those buckets, never the other way, so loaded ids are neither shuffled nor sent.
+Only for a batch too large to send are both sides shuffled.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..operators.joins import BROADCAST_BYTES, measured_bytes
+from ..operators.joins import BROADCAST_BYTES, measured_bytes, never_sent
 from .manifest import Conflict, ManifestTable, Part, due, swapped
 
 #: Buckets, folders of one size per bucket that are merged, and ids of a batch up to which
@@ -37,22 +36,18 @@ class IdIndex:
     def known(self, batch: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Distinct ids of ``batch`` that the index has. NULL is no id.
 
-        Beyond ``broadcast_bytes`` the batch goes bucket group by bucket group, each of about
-        that size; every bucket is still read once.
+        Beyond ``broadcast_bytes`` the batch is not sent to the scan: its ids and those of its
+        buckets are shuffled. Every bucket is read once in either case.
         """
-        ids = batch.select(self.key).filter(F.col(self.key).isNotNull()).distinct().withColumn("_bucket", self._bucket())
-        sizes = ids.groupBy("_bucket").count().collect()  # at most a row per bucket
-        parts = self.table.version().parts
-        groups = max(1, -(-measured_bytes(ids) // broadcast_bytes))
-        found = [self.table.spark.createDataFrame([], self.table.schema)]
-        for group in range(min(groups, self.buckets)):
-            wanted = {r["_bucket"] for r in sizes if r["_bucket"] % groups == group}
-            scan = self.table.read([p for p in parts if p.labels.get("_bucket") in wanted])
-            own = ids.filter(F.col("_bucket").isin(*sorted(wanted))).select(self.key) if wanted else ids.select(self.key).limit(0)
-            if sum(r["count"] for r in sizes) <= FEW_IDS:
-                scan = scan.filter(F.col(self.key).isin([r[self.key] for r in own.collect()]))
-            found.append(scan.join(F.broadcast(own), self.key, "left_semi"))
-        return reduce(DataFrame.unionByName, found).distinct()
+        ids = batch.select(self.key).filter(F.col(self.key).isNotNull()).distinct()
+        sizes = ids.groupBy(self._bucket().alias("_bucket")).count().collect()  # at most a row per bucket
+        wanted = {r["_bucket"] for r in sizes}
+        scan = self.table.read([p for p in self.table.version().parts if p.labels.get("_bucket") in wanted])
+        if measured_bytes(ids) > broadcast_bytes:
+            return ids.join(never_sent(scan), self.key, "left_semi")
+        if sum(r["count"] for r in sizes) <= FEW_IDS:
+            scan = scan.filter(F.col(self.key).isin([r[self.key] for r in ids.collect()]))
+        return scan.join(F.broadcast(ids), self.key, "left_semi").distinct()
 
     def add(self, ids: DataFrame, covered: int) -> None:
         """Store ids that the index may have or not; ``covered``: rows of the table they stand for."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from creatorlens.operators import joins
 from creatorlens.plans import marts
 from creatorlens.sources import dumps
+from creatorlens.sources.id_index import IdIndex
 from creatorlens.sources.tables import FolderStore, save
 
 
@@ -84,3 +85,18 @@ def test_ids_out_of_parsed_lines_are_not_broadcast_unmeasured(spark):
         assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
     assert found.filter("has_video").count() == 100 and found.count() == 200
     assert sorted(r["video_id"] for r in new.collect()) == [f"v{i}" for i in range(300, 400)]
+
+
+def test_index_takes_a_large_batch_without_the_driver(spark, tmp_path):
+    """Groups of buckets, each broadcast, would together be the whole batch on the driver."""
+    name = F.concat(F.lit("v"), F.col("id")).alias("video_id")
+    index = IdIndex(spark, str(tmp_path), "video_id", buckets=4)
+    index.add(spark.range(0, 2000, 2).select(name), 1000)
+    index.add(spark.range(0, 400, 4).select(name), 100)  # ids that it has already
+    batch = spark.range(1000, 3000).select(name)
+    asked = batch.unionByName(batch).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS video_id"))
+    known = index.known(asked, broadcast_bytes=1000)
+    assert "BroadcastExchange" not in known._jdf.queryExecution().executedPlan().toString()
+    want = sorted(f"v{i}" for i in range(1000, 2000, 2))
+    for found in (known, index.known(asked)):
+        assert sorted(r["video_id"] for r in found.collect()) == want
